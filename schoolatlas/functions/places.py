@@ -9,7 +9,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import collapse_spaces, strip
+from .text import collapse_spaces, is_ascii, let, strip
 
 # Roman numerals one to ten.
 ROMAN = ["I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X"]
@@ -44,20 +44,28 @@ def _ascii_forms() -> tuple[str, str, dict[str, str]]:
 def ascii_letters(col: Column) -> Column:
     """Replace accented and compatibility characters by their ASCII form.
 
-    Rows that are plain ASCII skip the work; only rows with an expanding
-    character (a ligature, a fraction) are looked at one character at a time.
+    Plain ASCII rows skip the work.  Only rows that still hold other characters
+    after the one-to-one replacement (a ligature, a fraction) are looked at one
+    character at a time.
     """
     source, target, wide = _ascii_forms()
-    expand = F.create_map(*[F.lit(x) for pair in wide.items() for x in pair])
-    expanded = F.array_join(
-        F.transform(F.split(col, ""), lambda ch: F.coalesce(expand[ch], ch)), ""
+    forms = F.array(*[F.lit(form) for form in wide.values()])
+
+    def expand(rest: Column) -> Column:
+        spelled = F.transform(
+            F.split(rest, ""),
+            lambda ch: F.coalesce(
+                F.get(forms, F.position(ch, F.lit("".join(wide))) - 1), ch
+            ),
+        )
+        return F.regexp_replace(F.array_join(spelled, ""), r"[^\x00-\x7F]", "")
+
+    return F.when(is_ascii(col), col).otherwise(
+        let(
+            F.translate(col, source, target),
+            lambda rest: F.when(is_ascii(rest), rest).otherwise(expand(rest)),
+        )
     )
-    wide_class = "[" + "".join(wide) + "]"
-    spelled = F.when(col.rlike(wide_class), expanded).otherwise(col)
-    return F.when(
-        col.rlike(r"[^\x00-\x7F]"),
-        F.regexp_replace(F.translate(spelled, source, target), r"[^\x00-\x7F]", ""),
-    ).otherwise(col)
 
 
 def region_name(col: Column) -> Column:
@@ -74,9 +82,8 @@ def place_name(col: Column) -> Column:
     """
     plain = ascii_letters(strip(F.lower(col)))
     plain = strip(F.regexp_replace(plain, r"\(.*?\)", ""))
-    plain = F.regexp_replace(plain, r"[.,]", "")
-    plain = F.regexp_replace(plain, r"\bsto\b", "santo")
-    plain = F.regexp_replace(plain, r"\bsta\b", "santa")
+    plain = F.translate(plain, ".,", "")
+    plain = F.regexp_replace(plain, r"\bst([oa])\b", "sant$1")
     plain = F.regexp_replace(plain, r"(?s)^city of \s*(.*?)\s*$", "$1 city")
     return collapse_spaces(plain)
 
@@ -84,12 +91,14 @@ def place_name(col: Column) -> Column:
 def trailing_roman(col: Column) -> Column:
     """Write a Roman numeral I-X at the end of a name in Arabic digits."""
     ending = r"(?iU)\b(" + "|".join(ROMAN) + r")\b\.?$"
-    numeral = F.upper(F.regexp_extract(col, ending, 1))
-    arabic = F.lit(None).cast("string")
-    for value in range(len(ROMAN), 0, -1):
-        arabic = F.when(numeral == ROMAN[value - 1], F.lit(str(value))).otherwise(arabic)
-    return F.when(col.isNull() | (numeral == ""), col).otherwise(
-        F.concat(F.regexp_replace(col, ending, ""), arabic)
+
+    def arabic(name: Column) -> Column:
+        numeral = F.upper(F.regexp_extract(name, ending, 1))
+        value = F.array_position(F.array(*[F.lit(r) for r in ROMAN]), numeral)
+        return F.concat(F.regexp_replace(name, ending, ""), value.cast("string"))
+
+    return let(
+        col, lambda name: F.when(name.rlike(ending), arabic(name)).otherwise(name)
     )
 
 

@@ -6,16 +6,30 @@ way the source files (which hold no-break spaces and accented names) need.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Street-address texts that stand for "no address".
 ADDRESS_PLACEHOLDERS = r"^(not applicable|na|n\s*/\s*a|null|none|0)$"
 
+# Every character that Unicode counts as whitespace.
+WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
+def let(col: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(col)`` with ``col`` computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(col), body), F.lit(0))
+
+
+def is_ascii(col: Column) -> Column:
+    return F.octet_length(col) == F.char_length(col)
+
 
 def strip(col: Column) -> Column:
     """Remove Unicode whitespace from both ends (``trim`` knows only U+0020)."""
-    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
+    return F.btrim(col, F.lit(WHITESPACE))
 
 
 def collapse_spaces(col: Column) -> Column:

@@ -8,7 +8,7 @@ every lookup, so one decision serves all joins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.counts import (
@@ -241,52 +241,60 @@ def attach_barangay(
     return found.select(*meta.columns, "psgc_brgy_id")
 
 
+CORRECTION_SCHEMA = "psgc_muni_id string, old string, new string, position bigint"
+
+
+def correction_table(spark: SparkSession, rules: list[dict[str, str]]) -> DataFrame:
+    rows = [
+        (r["psgc_muni_id"], r["old"], r["new"], i) for i, r in enumerate(rules)
+    ]
+    return spark.createDataFrame(rows, CORRECTION_SCHEMA)
+
+
 def correct_barangays(
-    meta: DataFrame, codes: DataFrame, corrections: list[dict[str, str]]
+    meta: DataFrame, codes: DataFrame, rules: DataFrame, small: bool | None = None
 ) -> DataFrame:
     """Rename barangays that have no code, by rule, and give them their code.
 
     A rule names a municipality code, an old and a new barangay name; of
-    several rules for one place the first counts.  Rules are joined to codes
-    once, so a table of rules costs one join and not one pass per rule.
+    several rules for one place the one with the least ``position`` counts.
+    Rules are joined to codes once, so a table of rules costs one join and not
+    one pass per rule.  ``small`` tells whether rules and codes are both known
+    to fit a broadcast.
     """
-    rules: dict[tuple[str, str], str] = {}
-    for rule in corrections:
-        rules.setdefault((rule["psgc_muni_id"], rule["old"].upper()), rule["new"])
-    if not rules:
-        return meta
-    spark = meta.sparkSession
-    table = spark.createDataFrame(
-        [(muni, old, new) for (muni, old), new in rules.items()],
-        "psgc_muni_id string, _old string, _new string",
+    first = (
+        rules.groupBy("psgc_muni_id", F.upper("old").alias("_old"))
+        .agg(F.min(F.struct("position", "new")).alias("_rule"))
+        .select(
+            "psgc_muni_id",
+            "_old",
+            F.col("_rule.new").alias("_new"),
+            municipality_part(F.col("psgc_muni_id")).alias("_scope"),
+            F.upper("_rule.new").alias("_upper"),
+        )
     )
-    # The rules are a list in driver memory, so their broadcast is bounded; the
-    # code side is cut down to the places that the rules name before it moves.
-    scoped = table.select(
-        "*", municipality_part(F.col("psgc_muni_id")).alias("_scope")
-    ).withColumn("_upper", F.upper("_new"))
-    found = (
+    named = (
         codes.where("geo = 'Bgy'")
-        .select(
-            "id",
+        .groupBy(
             municipality_part(F.col("id")).alias("_scope"),
             F.upper("name").alias("_upper"),
         )
-        .join(F.broadcast(scoped.select("_scope", "_upper").distinct()), ["_scope", "_upper"])
-        .groupBy("_scope", "_upper")
         .agg(_least(F.col("id"), "_found"))
     )
-    resolved = scoped.join(F.broadcast(found), ["_scope", "_upper"], "left").select(
+    small = is_bounded(codes) and is_bounded(rules) if small is None else small
+    resolved = lookup_join(first, named, ["_scope", "_upper"], small).select(
         "psgc_muni_id", "_old", "_new", "_found"
     )
-    open_key = F.when(F.col("psgc_brgy_id").isNull(), F.upper("barangay"))
-    return (
-        meta.withColumn("_old", open_key)
-        .join(F.broadcast(resolved), ["psgc_muni_id", "_old"], "left")
-        .withColumn("barangay", F.coalesce("_new", "barangay"))
-        .withColumn("psgc_brgy_id", F.coalesce("psgc_brgy_id", "_found"))
-        .select(*meta.columns)
+    open_name = F.when(F.col("psgc_brgy_id").isNull(), F.upper("barangay"))
+    found = lookup_join(
+        meta.withColumn("_old", open_name), resolved, ["psgc_muni_id", "_old"], small
     )
+    return found.withColumns(
+        {
+            "barangay": F.coalesce("_new", "barangay"),
+            "psgc_brgy_id": F.coalesce("psgc_brgy_id", "_found"),
+        }
+    ).select(*meta.columns)
 
 
 def backfill_special_area(
@@ -309,7 +317,7 @@ def backfill_special_area(
         codes.where(
             (F.col("geo") == "Bgy")
             & F.col("cc").startswith(old_code)
-            & F.col("id").startswith(area.rstrip("0"))
+            & F.col("id").startswith(area[:5])
         )
         .groupBy(fold(F.col("name")).alias("_barangay"))
         .agg(_least(F.col("id"), "_area_id"))
@@ -420,7 +428,9 @@ def match_places(meta: DataFrame, codes: DataFrame, rules: dict) -> DataFrame:
     matched = attach_province(matched, codes, small)
     matched = attach_municipality(matched, codes, small)
     matched = attach_barangay(matched, codes, small)
-    matched = correct_barangays(matched, codes, rules.get("barangay_corrections", []))
+    if corrections := rules.get("barangay_corrections"):
+        table = correction_table(meta.sparkSession, corrections)
+        matched = correct_barangays(matched, codes, table, small)
     matched = backfill_special_area(matched, codes, small=small)
     matched = matched.withColumn("province", title_words(F.col("province")))
     return leading_columns(attach_division(matched), MATCHED_ORDER)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +32,12 @@ def melt_sheet(rows: DataFrame) -> DataFrame:
         "source_row",
         F.element_at("values", 1).alias("raw_school_id"),
         F.posexplode(
-            F.arrays_zip(
-                F.slice("column_labels", 2, 16384).alias("label"),
-                F.slice("values", 2, 16384).alias("value"),
+            F.zip_with(
+                F.slice("column_labels", 2, 16384),
+                F.slice("values", 2, 16384),
+                lambda label, value: F.struct(
+                    label.alias("label"), value.alias("value")
+                ),
             )
         ).alias("col_pos", "cell"),
     )
@@ -102,7 +107,7 @@ def dropout_tables(
     melted = melt_sheet(labelled_rows(grid, layouts))
     parsed = parse_melted(melted, F.col("labels"))
     valid, rejected = judge(parsed)
-    stamped = valid.withColumn("ingested_at", F.current_timestamp())
+    stamped = valid.withColumn("ingested_at", F.lit(datetime.now(timezone.utc)))
     facts = require_rows(latest_facts(stamped), "dropout reading")
     return {
         "dropouts": facts,

@@ -26,7 +26,7 @@ def csv_files(spark: SparkSession, folder: str, latest_only: bool = False) -> li
     paths = sorted((r["path"] for r in listing.toLocalIterator()), key=lambda p: PurePosixPath(p).name)
     if not paths:
         raise ValueError(f"no CSV files in {folder}")
-    if len(paths) == 1 and paths[0].rstrip("/").endswith(PurePosixPath(folder).name):
+    if paths[0].endswith(folder.rstrip("/")):
         raise ValueError(f"expected a folder, got a file: {folder}")
     return paths[-1:] if latest_only else paths
 
