@@ -12,36 +12,42 @@ from pyspark.sql import functions as F
 from .text import blank_to_null, strip
 
 CODE_LENGTH = 10
+DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def whole_count(col: Column) -> Column:
-    """Student count: commas and outer spaces go, digits only, else null."""
-    text = strip(F.replace(col.cast("string"), F.lit(","), F.lit("")))
-    return F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint"))
+    """Student count: commas and outer spaces go, digits only, else null.
+
+    The text is tested before it is cast: a cast that fails is caught as an
+    exception, which costs far more than the pattern.
+    """
+    bare = F.replace(col.cast("string"), F.lit(","), F.lit(""))
+    digits = F.regexp_extract(bare, r"(?U)^\s*([0-9]+)\s*$", 1)
+    return F.when(digits != "", digits.try_cast("bigint"))
 
 
 def lenient_double(col: Column) -> Column:
-    return strip(F.replace(col, F.lit(","), F.lit(""))).try_cast("double")
+    """Decimal number text, commas ignored; anything else is null."""
+    text = strip(F.replace(col, F.lit(","), F.lit("")))
+    return F.when(text.rlike(DECIMAL), text.try_cast("double"))
 
 
 def lenient_long(col: Column) -> Column:
     """Integer text, or a decimal text with an integral value (``12.0``)."""
     text = strip(col)
-    as_double = text.try_cast("double")
-    return F.coalesce(
-        F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint")),
-        F.when(as_double == F.floor(as_double), as_double.try_cast("bigint")),
-    )
+    as_double = F.when(text.rlike(DECIMAL), text.try_cast("double"))
+    return F.when(
+        text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint")
+    ).otherwise(F.when(as_double == F.floor(as_double), as_double.try_cast("bigint")))
 
 
 def truncated_number(col: Column) -> Column:
     """Comma-grouped number text; fractions are cut, NaN and blanks are null."""
-    number = lenient_double(col)
-    return F.when(~F.isnan(number), number.try_cast("bigint"))
+    return lenient_double(col).try_cast("bigint")
 
 
 def count_as_long(col: Column) -> Column:
-    return col.try_cast("double").try_cast("bigint")
+    return F.when(col.rlike(DECIMAL), col.try_cast("double")).try_cast("bigint")
 
 
 def cell_text(col: Column) -> Column:
@@ -65,12 +71,12 @@ def school_id_text(col: Column) -> Column:
 def school_id_from(lis: Column, beis: Column) -> Column:
     """First identifier that is present, digits only; no digits gives ``0``."""
     digits = digits_only(school_id_text(F.coalesce(lis, beis)))
-    return F.coalesce(digits.try_cast("bigint"), F.lit(0)).cast("string")
+    return F.regexp_replace(F.concat(F.lit("0"), digits), "^0+(?=.)", "")
 
 
 def place_code(col: Column) -> Column:
     """Code of a place as ten digits.  Longer numbers are kept, not cut."""
-    digits = col.try_cast("decimal(20,0)").cast("string")
+    digits = F.when(col.rlike(DECIMAL), col.try_cast("decimal(20,0)")).cast("string")
     return F.when(F.length(digits) >= CODE_LENGTH, digits).otherwise(
         F.lpad(digits, CODE_LENGTH, "0")
     )

@@ -25,13 +25,14 @@ def split_label(col: Column) -> Column:
     The first part is the grade and the last the sex; whatever lies between is
     the strand, underscores included.  A single part is a grade alone.
     """
-    parts = F.split(blank_to_null(col), "_")
-    count = F.size(parts)
-    return _label(
-        parts[0],
-        F.when(count > 2, F.array_join(F.slice(parts, 2, F.greatest(count - 2, F.lit(1))), "_")),
-        F.when(count > 1, F.element_at(parts, -1)),
+    label = blank_to_null(col)
+    grade = F.substring_index(label, "_", 1)
+    sex = F.when(label.contains("_"), F.substring_index(label, "_", -1))
+    between = F.length(label) - F.length(grade) - F.length(sex) - 1
+    strand = F.when(
+        between > 0, F.substring(label, F.length(grade) + 2, between - 1)
     )
+    return _label(grade, strand, sex)
 
 
 def _sex(is_male: Column, is_female: Column) -> Column:

@@ -49,7 +49,8 @@ def ascii_letters(col: Column) -> Column:
     character at a time.
     """
     source, target, wide = _ascii_forms()
-    forms = F.array(*[F.lit(form) for form in wide.values()])
+    # One literal, folded to an array once; no form holds the separator.
+    forms = F.split(F.lit("\u0001".join(wide.values())), "\u0001")
 
     def expand(rest: Column) -> Column:
         spelled = F.transform(

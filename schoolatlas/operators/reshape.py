@@ -34,6 +34,22 @@ def wide_to_long(
     return texts.unpivot(ids, values, name, value)
 
 
+def wide_to_cells(
+    df: DataFrame, ids: list[str], cells: dict[str, dict[str, Column]]
+) -> DataFrame:
+    """One row per identifier row and entry of ``cells``, with its columns.
+
+    A generator with computed columns: what depends on the column alone (its
+    label, parsed) is a literal, what depends on the cell is computed once.
+    Like unpivot it is a map-side expansion.
+    """
+    entries = [
+        F.struct(*[value.alias(name) for name, value in columns.items()])
+        for columns in cells.values()
+    ]
+    return df.select(*ids, F.inline(F.array(*entries)))
+
+
 def with_label_parts(df: DataFrame, label: str) -> DataFrame:
     """Add grade, strand and sex columns parsed from a compound label."""
     return df.withColumn("_parts", split_label(F.col(label))).select(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.counts import school_id_text, whole_count
+from ..functions.labels import split_label
 from ..functions.school_names import clean_school_name
 from ..functions.text import annex_status, collapse_spaces, street_address
 from ..operators.cleaning import clean_locations
@@ -20,8 +21,7 @@ from ..operators.reshape import (
     flags_to_levels,
     union_all,
     value_columns,
-    wide_to_long,
-    with_label_parts,
+    wide_to_cells,
 )
 from ..sources.csv_folder import read_yearly_csvs
 
@@ -59,15 +59,32 @@ def clean_wide(wide: DataFrame) -> DataFrame:
 
 
 def raw_counts(wide: DataFrame, ids: list[str]) -> DataFrame:
-    """Long form before any row is dropped: label, raw text, parsed count."""
-    long = wide_to_long(wide, ids, "grade_sex", "raw_count", value_columns(wide, IDS))
-    return long.withColumn("num_students", whole_count(F.col("raw_count")))
+    """Long form before any row is dropped: raw text and parsed count."""
+    cells = {
+        c: {
+            "raw_count": F.col(c).cast("string"),
+            "num_students": whole_count(F.col(c)),
+        }
+        for c in value_columns(wide, IDS)
+    }
+    return wide_to_cells(wide, ids, cells)
 
 
 def melt_enrollment(wide: DataFrame, ids: list[str]) -> DataFrame:
-    """Non-zero counts with grade, strand and sex."""
-    counted = raw_counts(wide, ids).where("num_students <> 0").drop("raw_count")
-    return with_label_parts(counted, "grade_sex").drop("grade_sex")
+    """Non-zero counts with grade, strand and sex.
+
+    The labels are column names, so they are parsed when the plan is made and
+    not once per cell.
+    """
+    cells = {
+        c: {
+            "_parts": split_label(F.lit(c)),
+            "num_students": whole_count(F.col(c)),
+        }
+        for c in value_columns(wide, IDS)
+    }
+    counted = wide_to_cells(wide, ids, cells).where("num_students <> 0")
+    return counted.select(*ids, "_parts.*", "num_students")
 
 
 def enrollment_facts(wides: list[DataFrame]) -> DataFrame:

@@ -29,7 +29,9 @@ def spread(df: DataFrame) -> DataFrame:
     splits than cores and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, df.columns[0])
 
 
 def derive(spark: SparkSession, sf_dir: str, sql: str, wide: bool = False) -> DataFrame:
