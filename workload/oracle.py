@@ -24,7 +24,7 @@ def collapse(x: str) -> str:
 
 def title(x: str, word: str = r"\p{L}") -> str:
     runs = f"regexp_extract_all(lower({x}), '[{word}]+|[^{word}]+')"
-    return f"array_to_string(list_transform({runs}, lambda w: upper(w[1]) || w[2:]), '')"
+    return f"array_to_string(list_transform({runs}, lambda w: replace(upper(w[1]), 'ẞ', 'Ss') || w[2:]), '')"
 
 
 def region_text(x: str) -> str:
@@ -97,7 +97,7 @@ def long_text(x: str) -> str:
 _LABELS = inputs._COUNT_LABELS
 _LONG = (
     _with(w=inputs.WIDE_ENROLLMENT)
-    + f", l AS (UNPIVOT INCLUDE NULLS w ON {', '.join(_LABELS)} INTO NAME label VALUE raw),"
+    + f", l AS (SELECT * FROM w UNPIVOT INCLUDE NULLS (raw FOR label IN ({', '.join(_LABELS)}))),"
     " p AS (SELECT *, string_split(nullif(label, ''), '_') AS s, " + whole("raw") + " AS n FROM l)"
 )
 _PARTS = (
@@ -112,7 +112,7 @@ FROM (SELECT school_year, {_PARTS}, n FROM p WHERE n <> 0) GROUP BY ALL"""
 SQL["q02_unpivot_all"] = """
 WITH w AS (SELECT o_orderkey AS order_id, CAST(o_custkey AS VARCHAR) AS customer, o_orderstatus AS status,
   CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS priority FROM orders)
-UNPIVOT INCLUDE NULLS w ON customer, status, priority INTO NAME name VALUE value"""
+SELECT * FROM w UNPIVOT INCLUDE NULLS (value FOR name IN (customer, status, priority))"""
 
 SQL["q03_sanitize_counts"] = _with(t=inputs.DIRTY_NUMBERS) + rf"""
 SELECT id, {whole('raw')} AS whole, {number('raw')} AS as_double, {long_text('cell')} AS as_long,
@@ -139,9 +139,8 @@ SQL["q06_school_year_from_name"] = _with(t=inputs.FILE_NAMES) + r"""
 SELECT file_name, count(*) AS orders_seen, regexp_extract(file_name, '[0-9]{4}-[0-9]{4}') AS school_year
 FROM t GROUP BY file_name"""
 
-_LEVELS = """SELECT school_id, school_year, {0} AS level, offered FROM (
-  UNPIVOT INCLUDE NULLS (SELECT * FROM j) ON offers_es AS es, offers_jhs AS jhs, offers_shs AS shs
-  INTO NAME name VALUE offered)"""
+_LEVELS = """SELECT school_id, school_year, {0} AS level, offered FROM j
+  UNPIVOT INCLUDE NULLS (offered FOR name IN (offers_es AS 'es', offers_jhs AS 'jhs', offers_shs AS 'shs'))"""
 SQL["q07_offered_levels"] = _with(t=inputs.SCHOOL_OFFERS) + """, r AS (
 SELECT *, row_number() OVER (PARTITION BY school_id ORDER BY school_year DESC, offers_es DESC NULLS LAST,
   offers_jhs DESC NULLS LAST, offers_shs DESC NULLS LAST) AS k FROM t),
