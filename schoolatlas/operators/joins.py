@@ -6,12 +6,13 @@ its counted size.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import is_bounded
+from ..session import durable, is_bounded
 
 # A key is hot when it holds more than this share of the rows; there can be at
 # most 1 / HOT_SHARE such keys.
@@ -55,3 +56,28 @@ def _skewed_lookup_join(left: DataFrame, lookup: DataFrame, on: list[str]) -> Da
     stayed = left.where(stays).join(F.broadcast(lookup.where(is_hot)), on, "left")
     moved = left.where(~stays).join(lookup.where(~is_hot), on, "left")
     return stayed.unionByName(moved)
+
+
+def per_distinct(
+    df: DataFrame, columns: list[str], resolve: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Apply a costly row-wise ``resolve`` once per distinct value combination.
+
+    Names and addresses repeat over years and copies, so the patterns run on a
+    table that is orders of magnitude shorter; equal values are merged inside
+    each map task before they move.  ``resolve`` gets the distinct rows, may
+    change or add columns and drop rows; rows it drops are dropped here.  The
+    result is stored once, then joined back by size.  Null values are values.
+    """
+    key = F.struct(*columns)
+    resolved = durable(
+        resolve(df.select(*columns).distinct().withColumn("_values", key))
+    )
+    changed = [c for c in resolved.columns if c != "_values"]
+    kept = [c for c in df.columns if c not in changed]
+    answer = resolved.select("_values", F.struct(*changed).alias("_answer"))
+    joined = lookup_join(
+        df.select(*kept, key.alias("_values")), answer, ["_values"]
+    ).where("_answer IS NOT NULL")
+    order = [*df.columns, *[c for c in changed if c not in df.columns]]
+    return joined.select(*kept, "_answer.*").select(*order)

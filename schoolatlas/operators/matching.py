@@ -23,7 +23,7 @@ from ..functions.places import barangay_name, place_name, region_name
 from ..functions.text import fold, title_words
 from ..session import is_bounded
 from .distinct import first_per_key
-from .joins import lookup_join
+from .joins import lookup_join, per_distinct
 from .ordinals import with_group_ordinal
 from .reshape import leading_columns
 
@@ -417,20 +417,31 @@ def province_list(
 
 # --- all steps ---------------------------------------------------------------
 
+ADDRESS = ["region", "province", "municipality", "barangay"]
 
-def match_places(meta: DataFrame, codes: DataFrame, rules: dict) -> DataFrame:
-    """Full place codes for a school table: every step in order.
 
-    ``rules`` is a rule file as ``sources.rules.load_rules`` gives it.
-    """
+def match_addresses(addresses: DataFrame, codes: DataFrame, rules: dict) -> DataFrame:
+    """Place codes for a table of address texts: every step in order."""
     small = is_bounded(codes)
-    matched = attach_region(meta, codes, rules.get("region_psgc_map", {}))
+    matched = attach_region(addresses, codes, rules.get("region_psgc_map", {}))
     matched = attach_province(matched, codes, small)
     matched = attach_municipality(matched, codes, small)
     matched = attach_barangay(matched, codes, small)
     if corrections := rules.get("barangay_corrections"):
-        table = correction_table(meta.sparkSession, corrections)
+        table = correction_table(codes.sparkSession, corrections)
         matched = correct_barangays(matched, codes, table, small)
     matched = backfill_special_area(matched, codes, small=small)
-    matched = matched.withColumn("province", title_words(F.col("province")))
+    return matched.withColumn("province", title_words(F.col("province")))
+
+
+def match_places(meta: DataFrame, codes: DataFrame, rules: dict) -> DataFrame:
+    """Full place codes, division ids and column order for a school table.
+
+    Codes depend on the four address texts alone, so distinct addresses are
+    matched and the answers joined back.  ``rules`` is a rule file as
+    ``sources.rules.load_rules`` gives it.
+    """
+    matched = per_distinct(
+        meta, ADDRESS, lambda addresses: match_addresses(addresses, codes, rules)
+    )
     return leading_columns(attach_division(matched), MATCHED_ORDER)

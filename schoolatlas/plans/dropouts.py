@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.counts import school_id_text, truncated_number
@@ -23,35 +23,29 @@ FACTS = [*KEY, "num_dropouts", "source_file", "source_row", "ingested_at"]
 def melt_sheet(rows: DataFrame) -> DataFrame:
     """Cells of labelled rows with a count of one or more.
 
-    The first cell of a row is the school; every other cell is a count.
+    The first cell of a row is the school; every other cell is a count under a
+    label that has been parsed with its header.
     """
-    cells = rows.select(
+    cells = F.transform(
+        "values",
+        lambda value, i: F.struct(
+            F.get("column_labels", i).alias("raw_col"),
+            F.get("label_parts", i).alias("parts"),
+            value.alias("raw_count"),
+            truncated_number(value).alias("num_dropouts"),
+        ),
+    )
+    counted = rows.select(
         "school_year",
-        "labels",
+        school_id_text(F.element_at("values", 1)).alias("school_id"),
+        F.posexplode(F.slice(cells, 2, 16384)).alias("col_pos", "cell"),
         "source_file",
         "source_row",
-        F.element_at("values", 1).alias("raw_school_id"),
-        F.posexplode(
-            F.zip_with(
-                F.slice("column_labels", 2, 16384),
-                F.slice("values", 2, 16384),
-                lambda label, value: F.struct(
-                    label.alias("label"), value.alias("value")
-                ),
-            )
-        ).alias("col_pos", "cell"),
-    )
-    return cells.select(
-        "*", F.col("cell.label").alias("raw_col"), F.col("cell.value").alias("raw_count")
-    ).drop("cell").withColumn(
-        "num_dropouts", truncated_number(F.col("raw_count"))
-    ).where("num_dropouts >= 1")
-
-
-def parse_melted(melted: DataFrame, layout: Column | str) -> DataFrame:
-    return melted.withColumn("_parts", dropout_label(F.col("raw_col"), layout)).select(
-        "*", "_parts.*"
-    ).drop("_parts").withColumn("school_id", school_id_text(F.col("raw_school_id")))
+    ).where("cell.num_dropouts >= 1")
+    return counted.select(
+        "school_year", "school_id", "cell.parts.*", "cell.num_dropouts",
+        "cell.raw_col", "cell.raw_count", "col_pos", "source_file", "source_row",
+    )
 
 
 def judge(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -104,8 +98,7 @@ def dropout_tables(
     # Parsed once and stored: headers, facts, rejects and metrics all read it.
     grid = durable(read_workbooks(spark, paths, sorted({l.sheet for l in layouts})))
     check_sheets(grid, layouts)
-    melted = melt_sheet(labelled_rows(grid, layouts))
-    parsed = parse_melted(melted, F.col("labels"))
+    parsed = melt_sheet(labelled_rows(grid, layouts, parse=dropout_label))
     valid, rejected = judge(parsed)
     stamped = valid.withColumn("ingested_at", F.lit(datetime.now(timezone.utc)))
     facts = require_rows(latest_facts(stamped), "dropout reading")

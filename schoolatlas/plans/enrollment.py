@@ -16,6 +16,7 @@ from ..functions.school_names import clean_school_name
 from ..functions.text import annex_status, collapse_spaces, street_address
 from ..operators.cleaning import clean_locations
 from ..operators.distinct import first_per_key
+from ..operators.joins import per_distinct
 from ..operators.quality import invalid_values
 from ..operators.reshape import (
     flags_to_levels,
@@ -115,8 +116,17 @@ def school_rows(wides: list[DataFrame], keep_empty_schools: bool = False) -> Dat
 def school_year_meta(schools: DataFrame, rules: dict) -> DataFrame:
     """One row per school and year with cleaned names."""
     one = first_per_key(schools.select(*META), ["school_year", "school_id"])
-    return clean_locations(one, rules).withColumn(
-        "school_name", clean_school_name(F.col("school_name"))
+    return with_clean_names(clean_locations(one, rules))
+
+
+def with_clean_names(meta: DataFrame) -> DataFrame:
+    """Clean school names; a school keeps its name over years, so each once."""
+    return per_distinct(
+        meta,
+        ["school_name"],
+        lambda names: names.withColumn(
+            "school_name", clean_school_name(F.col("school_name"))
+        ),
     )
 
 

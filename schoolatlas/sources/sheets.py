@@ -7,7 +7,9 @@ sheets of all years and levels go through one plan.  A sheet holds at most
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.counts import cell_text, school_year
@@ -65,12 +67,19 @@ def check_sheets(grid: DataFrame, layouts: list[Layout]) -> None:
                 )
 
 
-def labelled_rows(grid: DataFrame, layouts: list[Layout]) -> DataFrame:
+def labelled_rows(
+    grid: DataFrame,
+    layouts: list[Layout],
+    parse: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
     """Data rows with the column labels and the chosen cells as arrays.
 
     A header of several rows is filled to the right before its rows are joined
     by spaces.  Blank labels are named by position, repeated ones numbered, and
     a layout's ``id_label`` replaces the first label.
+
+    ``parse(label, style)`` is applied to each label of a header, so once per
+    column and not once per cell; its answers go along as ``label_parts``.
     """
     # The layouts are a list in driver memory: a handful of rows.
     table = F.broadcast(layout_table(grid, layouts))
@@ -89,6 +98,7 @@ def labelled_rows(grid: DataFrame, layouts: list[Layout]) -> DataFrame:
             F.first("indexes").alias("indexes"),
             F.first("id_label").alias("id_label"),
             F.first("header_rows").alias("header_rows"),
+            F.first("labels").alias("style"),
             F.array_sort(F.collect_list(F.struct("row_idx", clean.alias("cells")))).alias("rows"),
         )
         .withColumn("rows", F.col("rows.cells"))
@@ -110,14 +120,19 @@ def labelled_rows(grid: DataFrame, layouts: list[Layout]) -> DataFrame:
                 F.concat(F.array("id_label"), F.slice("chosen", 2, 16384))
             )
             .alias("column_labels"),
+            "style",
         )
     )
+    if parse is not None:
+        headers = headers.withColumn(
+            "label_parts",
+            F.transform("column_labels", lambda label: parse(label, F.col("style"))),
+        )
     data = placed.where(F.col("row_idx") >= F.col("data_start")).select(
         *SHEET,
         "level",
         "school_year",
-        "labels",
         (F.col("row_idx") + 1).cast("bigint").alias("source_row"),
         F.transform("indexes", lambda i: cell_text(F.get("cells", i))).alias("values"),
     )
-    return data.join(headers, [*SHEET, "level"])
+    return data.join(headers.drop("style"), [*SHEET, "level"])

@@ -8,6 +8,7 @@ texts are dirtied on purpose; every row of every table is used.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +19,22 @@ TABLES = (
 ).split()
 
 
+# Tables that grow with the scale; the others stay small.
+GROWING = ("lineitem", "orders", "customer", "part", "events", "documents")
+
+
+@lru_cache(maxsize=None)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table.  Only its schema is kept between calls, never its rows."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=None)
+def size(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Row count, from the file footers."""
+    return table(spark, sf_dir, name).count()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of a table that arrives in fewer splits.
 
@@ -34,19 +47,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores, df.columns[0])
 
 
-def derive(spark: SparkSession, sf_dir: str, sql: str, wide: bool = False) -> DataFrame:
-    """Run an input text on the test tables it names.
-
-    ``wide`` spreads the largest table first, for inputs that cost much per row.
-    """
-    used = {n: table(spark, sf_dir, n) for n in TABLES if f"{{{n}}}" in sql}
-    if wide:
-        used = {n: spread(df) if n in ("lineitem", "orders", "documents") else df for n, df in used.items()}
-    # Row counts come from the file footers.
+def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """Run an input text on the test tables it names."""
+    used = {
+        name: spread(table(spark, sf_dir, name))
+        if name in GROWING
+        else table(spark, sf_dir, name)
+        for name in TABLES
+        if f"{{{name}}}" in sql
+    }
     sizes = {
-        f"n_{n}": table(spark, sf_dir, n).count()
-        for n in TABLES
-        if f"{{n_{n}}}" in sql
+        f"n_{name}": size(spark, sf_dir, name)
+        for name in TABLES
+        if f"{{n_{name}}}" in sql
     }
     return spark.sql(sql, **used, **sizes)
 
@@ -266,7 +279,7 @@ SCHOOL_NAMES = (
     " CASE o_orderkey % 13 WHEN 0 THEN 'ES' WHEN 1 THEN 'elem. school' WHEN 2 THEN 'nhs' WHEN 3 THEN 'High'"
     " WHEN 4 THEN 'MHS Memorial High School' WHEN 5 THEN 'Elementary' WHEN 6 THEN 'Integrated, annex viii'"
     " WHEN 7 THEN 'Elem ES' WHEN 8 THEN 'IS..' WHEN 9 THEN 'c/s , main' WHEN 10 THEN 'elementary high'"
-    " WHEN 11 THEN 'CES-SPED' ELSE 'jhs & shs' END AS raw FROM {orders}"
+    " WHEN 11 THEN 'CES-SPED' ELSE 'jhs & shs' END AS school_name FROM {orders}"
 )
 
 CORRECTIONS = f"""

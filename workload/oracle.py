@@ -226,7 +226,7 @@ def _school_name_steps() -> str:
         for p in phrases:
             swap(rf"(?i)({p})(?:\s+{p})+", r"\1")
 
-    step(r"regexp_replace(raw, '\.{2,}', '.', 'g')")
+    step(r"regexp_replace(school_name, '\.{2,}', '.', 'g')")
     swap(r"\s+([.,&\-])", r"\1")
     swap("[’`]", "'")
     swap(r"(?i)\bnat'?l(?:\.?l?)*", "Natl")
@@ -272,6 +272,11 @@ def _school_name_steps() -> str:
 
 
 SQL["q21_school_names"] = _with(t=inputs.SCHOOL_NAMES) + ", " + _school_name_steps()
+SQL["q21_school_names_by_row"] = (
+    _with(s=inputs.SCHOOLS, t="SELECT school_id AS id, school_name FROM s")
+    + ", "
+    + _school_name_steps().replace("SELECT id, trim(n)", "SELECT id AS school_id, trim(n)")
+)
 SQL["q22_street_address"] = _with(t=inputs.STREETS) + rf""", b AS (
 SELECT *, regexp_replace(lower({collapse('street')}), '^[\s\-]+|[\s\-]+$', '', 'g') AS bare FROM t)
 SELECT id, CASE WHEN bare = '' OR regexp_matches(bare, '^(not applicable|na|n\s*/\s*a|null|none|0)$') THEN NULL

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from schoolatlas.functions import counts, labels, places, school_names, text
 from schoolatlas.operators import cleaning, distinct, joins, keys, matching, quality, reshape
 from schoolatlas.plans import analysis, dropouts, enrollment, geography, teachers
+from schoolatlas.session import durable
 from schoolatlas.sources import rules as rule_files
 from schoolatlas.sources.sheets import column_indexes
 
@@ -33,7 +34,7 @@ def _day(col: str) -> Column:
 
 
 def _wide(spark: SparkSession, sf: str) -> DataFrame:
-    return derive(spark, sf, inputs.WIDE_ENROLLMENT, wide=True)
+    return derive(spark, sf, inputs.WIDE_ENROLLMENT)
 
 
 @query
@@ -300,8 +301,16 @@ def q20_title_case(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q21_school_names(spark: SparkSession, sf: str) -> DataFrame:
-    raw = derive(spark, sf, inputs.SCHOOL_NAMES, wide=True)
-    return raw.select("id", school_names.clean_school_name(F.col("raw")).alias("school_name"))
+    raw = derive(spark, sf, inputs.SCHOOL_NAMES)
+    return enrollment.with_clean_names(raw)
+
+
+@query
+def q21_school_names_by_row(spark: SparkSession, sf: str) -> DataFrame:
+    segments = derive(spark, sf, inputs.SCHOOLS)
+    return segments.select(
+        "school_id", school_names.clean_school_name(F.col("school_name")).alias("school_name")
+    )
 
 
 @query
@@ -403,7 +412,7 @@ def q28_backfill_anywhere(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q29_match_all(spark: SparkSession, sf: str) -> DataFrame:
-    schools = derive(spark, sf, inputs.SCHOOL_YEARS, wide=True).drop("k")
+    schools = derive(spark, sf, inputs.SCHOOL_YEARS).drop("k")
     codes = _codes(spark, sf)
     matched = matching.match_places(
         schools, codes, {"region_psgc_map": inputs.REGION_ALIASES}
@@ -445,7 +454,8 @@ def _hashed(spark: SparkSession, sf: str) -> DataFrame:
     matched = _in_barangay(spark, sf, codes).withColumn(
         "school_year", F.lit("2023-2024")
     )
-    return geography.with_address_hash(matched)
+    # Matched rows are stored before the address steps, as in the warehouse job.
+    return durable(geography.with_address_hash(matched))
 
 
 @query
@@ -490,16 +500,18 @@ def q35_teachers_fact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _dropouts(spark: SparkSession, sf: str, layout: str) -> DataFrame:
-    wide = derive(spark, sf, inputs.DROPOUT_ROWS, wide=True)
+    wide = derive(spark, sf, inputs.DROPOUT_ROWS)
     rows = wide.select(
         F.lit(f"{layout}-{int(layout) + 1}").alias("school_year"),
-        F.lit(layout).alias("labels"),
         F.lit(f"{layout}-{int(layout) + 1}-dropouts.xlsx").alias("source_file"),
         "source_row",
         F.array(*[F.lit(h) for h in ["School ID", *inputs.DROPOUT_LABELS[layout]]]).alias("column_labels"),
         F.array("raw_school_id", *[F.col(f"c{i}") for i in range(5)]).alias("values"),
+    ).withColumn(
+        "label_parts",
+        F.transform("column_labels", lambda label: labels.dropout_label(label, layout)),
     )
-    return dropouts.parse_melted(dropouts.melt_sheet(rows), layout)
+    return dropouts.melt_sheet(rows)
 
 
 def _dropout_facts(spark: SparkSession, sf: str, layout: str) -> DataFrame:
@@ -545,7 +557,7 @@ def q39_null_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q39_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
-    years = derive(spark, sf, inputs.SCHOOL_YEARS, wide=True)
+    years = derive(spark, sf, inputs.SCHOOL_YEARS)
     repeated = quality.duplicate_keys(years, ["school_id", "school_year"])
     return repeated.withColumnRenamed("rows", "rows_seen")
 
