@@ -501,15 +501,14 @@ def q35_teachers_fact(spark: SparkSession, sf: str) -> DataFrame:
 
 def _dropouts(spark: SparkSession, sf: str, layout: str) -> DataFrame:
     wide = derive(spark, sf, inputs.DROPOUT_ROWS)
+    headers = ["School ID", *inputs.DROPOUT_LABELS[layout]]
     rows = wide.select(
         F.lit(f"{layout}-{int(layout) + 1}").alias("school_year"),
         F.lit(f"{layout}-{int(layout) + 1}-dropouts.xlsx").alias("source_file"),
         "source_row",
-        F.array(*[F.lit(h) for h in ["School ID", *inputs.DROPOUT_LABELS[layout]]]).alias("column_labels"),
+        F.array(*[F.lit(h) for h in headers]).alias("column_labels"),
         F.array("raw_school_id", *[F.col(f"c{i}") for i in range(5)]).alias("values"),
-    ).withColumn(
-        "label_parts",
-        F.transform("column_labels", lambda label: labels.dropout_label(label, layout)),
+        F.array(*[labels.dropout_label(F.lit(h), layout) for h in headers]).alias("label_parts"),
     )
     return dropouts.melt_sheet(rows)
 
