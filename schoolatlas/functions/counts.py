@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .text import blank_to_null, strip
 
 CODE_LENGTH = 10
+WHOLE = r"(?U)^\s*([0-9]+)\s*$"
 DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -22,10 +23,24 @@ def whole_count(col: Column) -> Column:
     exception, which costs far more than the pattern.
     """
     bare = F.replace(col.cast("string"), F.lit(","), F.lit(""))
-    digits = F.regexp_extract(bare, r"(?U)^\s*([0-9]+)\s*$", 1)
+    digits = F.regexp_extract(bare, WHOLE, 1)
     return F.when(digits != "", digits.try_cast("bigint"))
 
 
+def is_whole_count(col: Column) -> Column:
+    return F.replace(col, F.lit(","), F.lit("")).rlike(WHOLE)
+
+
+def count_or_zero(col: Column) -> Column:
+    """As ``whole_count``, with 0 for a cell that is no count.
+
+    The column is mentioned once, so the expression can stand right behind an
+    unpivot: generated code does not share a repeated part of one there.
+    """
+    digits = F.regexp_extract(F.replace(col, F.lit(","), F.lit("")), WHOLE, 1)
+    return F.concat(F.lit("0"), digits).try_cast("bigint")
+
+
 def lenient_double(col: Column) -> Column:
     """Decimal number text, commas ignored; anything else is null."""
     text = strip(F.replace(col, F.lit(","), F.lit("")))

@@ -72,9 +72,8 @@ def region_lookup(codes: DataFrame, aliases: dict[str, str | None]) -> DataFrame
     spark = codes.sparkSession
     rows = [(name, target) for name, target in aliases.items()]
     alias = spark.createDataFrame(rows, "_region string, _official string")
-    # The alias table comes from a rule file the driver holds; region names are
-    # those of two-digit codes, at most a hundred.
-    by_alias = alias.join(F.broadcast(official), "_official").select(
+    # The aliases are a list in driver memory, so their broadcast is bounded.
+    by_alias = official.join(F.broadcast(alias), "_official").select(
         "_region", "psgc_region_id"
     )
     by_name = official.withColumnRenamed("_official", "_region").join(
@@ -84,13 +83,16 @@ def region_lookup(codes: DataFrame, aliases: dict[str, str | None]) -> DataFrame
 
 
 def attach_region(
-    meta: DataFrame, codes: DataFrame, aliases: dict[str, str | None]
+    meta: DataFrame,
+    codes: DataFrame,
+    aliases: dict[str, str | None],
+    small: bool | None = None,
 ) -> DataFrame:
     """Add ``psgc_region_id``; rows whose region has no code are dropped."""
-    lookup = region_lookup(codes, aliases)
+    small = is_bounded(codes) if small is None else small
     keyed = meta.withColumn("_region", region_name(F.col("region")))
-    # At most one row per region name: bounded by the two-digit region codes.
-    matched = keyed.join(F.broadcast(lookup), "_region", "inner").drop("_region")
+    found = lookup_join(keyed, region_lookup(codes, aliases), ["_region"], small)
+    matched = found.where("psgc_region_id IS NOT NULL").drop("_region")
     return leading_columns(
         matched, ["region", "psgc_region_id", "school_id", "school_name"]
     )
@@ -145,8 +147,7 @@ def attach_province(
     )
     keyed = lookup_join(keyed, cities, ["_scope", "_municipality"], small)
     keyed = lookup_join(keyed, provinces, ["_scope", "_province"], small)
-    # Keyed by a two-digit region code: at most a hundred rows.
-    keyed = keyed.join(F.broadcast(per_region), "_scope", "left")
+    keyed = lookup_join(keyed, per_region, ["_scope"], small)
     found = keyed.select(
         *meta.columns,
         F.coalesce("_huc", "_submun", "_only", "_prov").alias("psgc_provhuc_id"),
@@ -407,11 +408,9 @@ def province_list(
         .agg(_least(F.col("id"), "region_id"))
     )
     known = lookup_join(used, provinces, ["_province"], small).where("id IS NOT NULL")
-    # Keyed by a two-digit region code: at most a hundred rows.
-    return (
-        known.withColumn("_region", region_part(F.col("id")))
-        .join(F.broadcast(regions), "_region", "left")
-        .select("id", "name", "region_id")
+    keyed = known.withColumn("_region", region_part(F.col("id")))
+    return lookup_join(keyed, regions, ["_region"], small).select(
+        "id", "name", "region_id"
     )
 
 
@@ -423,7 +422,7 @@ ADDRESS = ["region", "province", "municipality", "barangay"]
 def match_addresses(addresses: DataFrame, codes: DataFrame, rules: dict) -> DataFrame:
     """Place codes for a table of address texts: every step in order."""
     small = is_bounded(codes)
-    matched = attach_region(addresses, codes, rules.get("region_psgc_map", {}))
+    matched = attach_region(addresses, codes, rules.get("region_psgc_map", {}), small)
     matched = attach_province(matched, codes, small)
     matched = attach_municipality(matched, codes, small)
     matched = attach_barangay(matched, codes, small)

@@ -68,29 +68,36 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 
 
 def invalid_values(
-    df: DataFrame, group: str, raw: str, parsed: Column, samples: int = SAMPLE_VALUES
+    df: DataFrame, group: str, raw: str, valid: Column, samples: int = SAMPLE_VALUES
 ) -> DataFrame:
     """Per group: cells that hold a text but no value, and the least few texts.
 
+    ``valid`` tells whether the text of a cell can be read.
+
     Equal texts are counted before they move, and the sample is cut to size
     inside each map task, so a group with any number of bad cells is cheap.
     """
     bad = (
-        df.where(F.col(raw).isNotNull() & parsed.isNull())
+        df.where(F.col(raw).isNotNull() & ~valid)
         .groupBy(group, F.col(raw).alias("_raw"))
         .agg(F.count("*").alias("_rows"))
     )
-    counts = bad.groupBy(group).agg(F.sum("_rows").alias("invalid_rows"))
-    # Ordering by the count as well changes nothing, and lets both branches
-    # read one shuffle.
+    # Both branches read one shuffle: they need the same columns of it, and are
+    # put together by a union, which adds no filter of its own to either.
+    counts = bad.groupBy(group).agg(F.sum("_rows").alias("_count"))
     order = Window.partitionBy(group).orderBy("_raw", "_rows")
-    least = (
-        bad.select(group, "_raw", F.row_number().over(order).alias("_rank"))
-        .where(F.col("_rank") <= samples)
+    least = bad.withColumn("_rank", F.row_number().over(order)).where(
+        F.col("_rank") <= samples
+    )
+    parts = counts.select(group, "_count", F.lit(None).cast("string").alias("_raw"))
+    return (
+        parts.unionByName(least.select(group, "_raw"), allowMissingColumns=True)
         .groupBy(group)
-        .agg(F.sort_array(F.collect_list("_raw")).alias("samples"))
+        .agg(
+            F.sum("_count").alias("invalid_rows"),
+            F.sort_array(F.collect_list("_raw")).alias("samples"),
+        )
     )
-    return counts.join(least, group)
 
 
 def split_rejects(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,20 +34,10 @@ def wide_to_long(
     return texts.unpivot(ids, values, name, value)
 
 
-def wide_to_cells(
-    df: DataFrame, ids: list[str], cells: dict[str, dict[str, Column]]
-) -> DataFrame:
-    """One row per identifier row and entry of ``cells``, with its columns.
-
-    A generator with computed columns: what depends on the column alone (its
-    label, parsed) is a literal, what depends on the cell is computed once.
-    Like unpivot it is a map-side expansion.
-    """
-    entries = [
-        F.struct(*[value.alias(name) for name, value in columns.items()])
-        for columns in cells.values()
-    ]
-    return df.select(*ids, F.inline(F.array(*entries)))
+def label_table(spark: SparkSession, labels: list[str]) -> DataFrame:
+    """Grade, strand and sex of each label: one row per column of a source."""
+    table = spark.createDataFrame([(label,) for label in labels], "label string")
+    return with_label_parts(table, "label")
 
 
 def with_label_parts(df: DataFrame, label: str) -> DataFrame:

@@ -100,10 +100,10 @@ def dropout_tables(
     check_sheets(grid, layouts)
     parsed = melt_sheet(labelled_rows(grid, layouts, parse=dropout_label))
     valid, rejected = judge(parsed)
+    require_rows(valid, "dropout reading")
     stamped = valid.withColumn("ingested_at", F.lit(datetime.now(timezone.utc)))
-    facts = require_rows(latest_facts(stamped), "dropout reading")
     return {
-        "dropouts": facts,
+        "dropouts": latest_facts(stamped),
         "dropout_rejects": rejected,
         "dropout_metrics": dropout_metrics(parsed),
     }

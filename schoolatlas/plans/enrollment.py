@@ -10,8 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.counts import school_id_text, whole_count
-from ..functions.labels import split_label
+from ..functions.counts import (
+    count_or_zero,
+    is_whole_count,
+    school_id_text,
+    whole_count,
+)
 from ..functions.school_names import clean_school_name
 from ..functions.text import annex_status, collapse_spaces, street_address
 from ..operators.cleaning import clean_locations
@@ -20,9 +24,10 @@ from ..operators.joins import per_distinct
 from ..operators.quality import invalid_values
 from ..operators.reshape import (
     flags_to_levels,
+    label_table,
     union_all,
     value_columns,
-    wide_to_cells,
+    wide_to_long,
 )
 from ..sources.csv_folder import read_yearly_csvs
 
@@ -59,33 +64,20 @@ def clean_wide(wide: DataFrame) -> DataFrame:
     )
 
 
-def raw_counts(wide: DataFrame, ids: list[str]) -> DataFrame:
-    """Long form before any row is dropped: raw text and parsed count."""
-    cells = {
-        c: {
-            "raw_count": F.col(c).cast("string"),
-            "num_students": whole_count(F.col(c)),
-        }
-        for c in value_columns(wide, IDS)
-    }
-    return wide_to_cells(wide, ids, cells)
-
-
 def melt_enrollment(wide: DataFrame, ids: list[str]) -> DataFrame:
     """Non-zero counts with grade, strand and sex.
 
-    The labels are column names, so they are parsed when the plan is made and
-    not once per cell.
+    Labels are column names: they are parsed once per column, in a table of as
+    many rows, and not once per cell.
     """
-    cells = {
-        c: {
-            "_parts": split_label(F.lit(c)),
-            "num_students": whole_count(F.col(c)),
-        }
-        for c in value_columns(wide, IDS)
-    }
-    counted = wide_to_cells(wide, ids, cells).where("num_students <> 0")
-    return counted.select(*ids, "_parts.*", "num_students")
+    columns = value_columns(wide, IDS)
+    long = wide_to_long(wide, ids, "label", "raw_count", columns)
+    counted = long.select(
+        *ids, "label", count_or_zero(F.col("raw_count")).alias("num_students")
+    ).where("num_students > 0")
+    # Broadcast: one row per column of the source file.
+    labels = F.broadcast(label_table(wide.sparkSession, columns))
+    return counted.join(labels, "label").drop("label")
 
 
 def enrollment_facts(wides: list[DataFrame]) -> DataFrame:
@@ -96,16 +88,23 @@ def enrollment_facts(wides: list[DataFrame]) -> DataFrame:
 
 def invalid_counts(wides: list[DataFrame]) -> DataFrame:
     """Per source file: cells that are no counts, with a few of their texts."""
-    raw = union_all([raw_counts(w, ["source_file"]) for w in wides])
-    return invalid_values(raw, "source_file", "raw_count", F.col("num_students"))
+    cells = union_all(
+        [
+            wide_to_long(w, ["source_file"], "label", "raw_count", value_columns(w, IDS))
+            for w in wides
+        ]
+    )
+    readable = is_whole_count(F.col("raw_count"))
+    return invalid_values(cells, "source_file", "raw_count", readable)
 
 
 def with_students(wide: DataFrame) -> DataFrame:
     """Rows with at least one non-zero count (identifier columns only)."""
-    counts = [whole_count(F.col(c)) for c in value_columns(wide, IDS)]
-    if not counts:
+    columns = value_columns(wide, IDS)
+    if not columns:
         return wide.select(*IDS).limit(0)
-    return wide.where(F.exists(F.array(*counts), lambda n: n != 0)).select(*IDS)
+    cells = F.array(*[F.col(c).cast("string") for c in columns])
+    return wide.where(F.exists(cells, lambda cell: whole_count(cell) != 0)).select(*IDS)
 
 
 def school_rows(wides: list[DataFrame], keep_empty_schools: bool = False) -> DataFrame:

@@ -41,30 +41,32 @@ def layout_table(grid: DataFrame, layouts: list[Layout]) -> DataFrame:
 
 
 def check_sheets(grid: DataFrame, layouts: list[Layout]) -> None:
-    """Raise when a workbook's year has no layout or a sheet of it is missing.
-
-    Only (file, sheet, height) come to the driver: a few per workbook.
-    """
-    found: dict[str, dict[str, tuple[str, int]]] = {}
+    """Raise when a workbook's year has no layout or a sheet of it is missing."""
     heights = grid.groupBy(*SHEET).agg(F.max("row_idx").alias("last"))
-    years = heights.withColumn("school_year", school_year(F.col("source_file")))
-    for row in years.toLocalIterator():
-        found.setdefault(row["source_file"], {})[row["sheet"]] = (
-            row["school_year"],
-            row["last"],
+    files = heights.select("source_file").distinct().withColumn(
+        "school_year", school_year(F.col("source_file"))
+    )
+    # The layouts are a list in driver memory: a handful of rows.
+    wanted = F.broadcast(layout_table(grid, layouts))
+    found = files.join(wanted, "school_year", "left").join(heights, SHEET, "left")
+    problem = (
+        F.when(
+            F.col("sheet").isNull(),
+            F.concat(F.lit("no layout for school year "), "school_year"),
         )
-    for name, sheets in found.items():
-        year = next(iter(sheets.values()))[0]
-        wanted = [l for l in layouts if l.school_year == year]
-        if not wanted:
-            raise ValueError(f"no layout for school year {year} ({name})")
-        for layout in wanted:
-            if layout.sheet not in sheets:
-                raise ValueError(f"sheet {layout.sheet} is missing in {name}")
-            if layout.header_start > sheets[layout.sheet][1]:
-                raise ValueError(
-                    f"header row {layout.header_start} is beyond {layout.sheet} of {name}"
-                )
+        .when(F.col("last").isNull(), F.concat(F.lit("sheet "), "sheet", F.lit(" is missing")))
+        .when(
+            F.col("header_start") > F.col("last"),
+            F.concat(F.lit("the header row is beyond sheet "), "sheet"),
+        )
+    )
+    first = (
+        found.select("source_file", problem.alias("problem"))
+        .where("problem IS NOT NULL")
+        .take(1)
+    )
+    if first:
+        raise ValueError(f"{first[0]['problem']} in {first[0]['source_file']}")
 
 
 def labelled_rows(
