@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import blank_to_null, strip
+from .text import blank_to_null, let, strip
 
 LABEL_TYPE = "struct<grade:string,strand:string,sex:string>"
 
@@ -42,22 +42,26 @@ def _sex(is_male: Column, is_female: Column) -> Column:
 def _layout_2022(label: Column) -> Column:
     """``G11 ACAD - STEM Male Dropout``, ``K Female Dropout``, ``NG Elem ...``."""
     word = F.regexp_extract(label, "(Male|Female)", 1)
-    base = strip(F.regexp_replace(label, r"(?U)\s+(Male|Female)\s+Dropout$", ""))
     senior = r"(?Us)^G(1[12])\s+(.+)$"
-    strand = strip(F.lower(F.regexp_extract(base, senior, 2)))
-    strand = F.regexp_replace(strand, r"(?U)^acad\s*-?\s*(?=.)", "")
-    junior = F.regexp_extract(base, r"^G(1[0-2]|[1-9])(?![0-9])", 1)
-    grade = (
-        F.when(base == "K", "kinder")
-        .when(base.startswith("NG Elem"), "esng")
-        .when(base.startswith("NG Second"), "jhsng")
-        .when(junior != "", F.concat(F.lit("g"), junior))
-    )
-    return _label(
-        grade,
-        F.when(base.rlike(senior), strand),
-        _sex(word == "Male", word == "Female"),
-    )
+
+    def parse(base: Column) -> Column:
+        strand = strip(F.lower(F.regexp_extract(base, senior, 2)))
+        strand = F.regexp_replace(strand, r"(?U)^acad\s*-?\s*(?=.)", "")
+        number = F.regexp_extract(base, r"^G(1[0-2]|[1-9])(?![0-9])", 1)
+        grade = (
+            F.when(base == "K", "kinder")
+            .when(base.startswith("NG Elem"), "esng")
+            .when(base.startswith("NG Second"), "jhsng")
+            .when(number != "", F.concat(F.lit("g"), number))
+        )
+        return _label(
+            grade,
+            F.when(base.rlike(senior), strand),
+            _sex(word == "Male", word == "Female"),
+        )
+
+    ending = r"(?U)\s+(Male|Female)\s+Dropout$"
+    return let(strip(F.regexp_replace(label, ending, "")), parse)
 
 
 def _layout_2023(label: Column) -> Column:
@@ -106,8 +110,10 @@ def dropout_label(label: Column, layout: Column | str) -> Column:
         ).cast(LABEL_TYPE)
         for name, parse in DROPOUT_LAYOUTS.items():
             parsed = F.when(layout == name, parse(label)).otherwise(parsed)
-    known = parsed["grade"].isNotNull() & parsed["sex"].isNotNull()
-    return F.when(known, parsed).otherwise(F.lit(None).cast(LABEL_TYPE))
+    return let(
+        parsed,
+        lambda p: F.when(p["grade"].isNotNull() & p["sex"].isNotNull(), p),
+    )
 
 
 def teacher_position(col: Column) -> Column:

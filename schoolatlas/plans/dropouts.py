@@ -26,26 +26,27 @@ def melt_sheet(rows: DataFrame) -> DataFrame:
     The first cell of a row is the school; every other cell is a count under a
     label that has been parsed with its header.
     """
-    cells = F.transform(
-        "values",
-        lambda value, i: F.struct(
-            F.get("column_labels", i).alias("raw_col"),
-            F.get("label_parts", i).alias("parts"),
-            value.alias("raw_count"),
-            truncated_number(value).alias("num_dropouts"),
-        ),
-    )
-    counted = rows.select(
+    cells = F.arrays_zip("column_labels", "label_parts", "values")
+    # The generator's rows are taken apart before the count is parsed, so that
+    # parsing is generated code.
+    taken = rows.select(
         "school_year",
         school_id_text(F.element_at("values", 1)).alias("school_id"),
         F.posexplode(F.slice(cells, 2, 16384)).alias("col_pos", "cell"),
         "source_file",
         "source_row",
-    ).where("cell.num_dropouts >= 1")
-    return counted.select(
-        "school_year", "school_id", "cell.parts.*", "cell.num_dropouts",
-        "cell.raw_col", "cell.raw_count", "col_pos", "source_file", "source_row",
-    )
+    )
+    return taken.select(
+        "school_year",
+        "school_id",
+        "cell.label_parts.*",
+        truncated_number(F.col("cell.values")).alias("num_dropouts"),
+        F.col("cell.column_labels").alias("raw_col"),
+        F.col("cell.values").alias("raw_count"),
+        "col_pos",
+        "source_file",
+        "source_row",
+    ).where("num_dropouts >= 1")
 
 
 def judge(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

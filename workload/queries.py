@@ -499,18 +499,29 @@ def q35_teachers_fact(spark: SparkSession, sf: str) -> DataFrame:
     return facts
 
 
-def _dropouts(spark: SparkSession, sf: str, layout: str) -> DataFrame:
+def _dropouts(spark: SparkSession, sf: str, *layouts: str) -> DataFrame:
+    """One sheet of all orders per layout, under that layout's header."""
+    sheets = [
+        (f"{y}-{int(y) + 1}", y, ["School ID", *inputs.DROPOUT_LABELS[y]]) for y in layouts
+    ]
+    headers = spark.createDataFrame(
+        sheets, "school_year string, style string, column_labels array<string>"
+    ).select(
+        "school_year",
+        F.concat("school_year", F.lit("-dropouts.xlsx")).alias("source_file"),
+        "column_labels",
+        F.transform(
+            "column_labels", lambda label: labels.dropout_label(label, F.col("style"))
+        ).alias("label_parts"),
+    )
     wide = derive(spark, sf, inputs.DROPOUT_ROWS)
-    headers = ["School ID", *inputs.DROPOUT_LABELS[layout]]
     rows = wide.select(
-        F.lit(f"{layout}-{int(layout) + 1}").alias("school_year"),
-        F.lit(f"{layout}-{int(layout) + 1}-dropouts.xlsx").alias("source_file"),
+        F.explode(F.array(*[F.lit(s[0]) for s in sheets])).alias("school_year"),
         "source_row",
-        F.array(*[F.lit(h) for h in headers]).alias("column_labels"),
         F.array("raw_school_id", *[F.col(f"c{i}") for i in range(5)]).alias("values"),
-        F.array(*[labels.dropout_label(F.lit(h), layout) for h in headers]).alias("label_parts"),
     )
-    return dropouts.melt_sheet(rows)
+    # One header per sheet: as many rows as layouts.
+    return dropouts.melt_sheet(rows.join(F.broadcast(headers), "school_year"))
 
 
 def _dropout_facts(spark: SparkSession, sf: str, layout: str) -> DataFrame:
@@ -536,7 +547,7 @@ def q38_dropouts_2024(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q38_dropout_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = reshape.union_all([_dropouts(spark, sf, y) for y in inputs.DROPOUT_LABELS])
+    parsed = _dropouts(spark, sf, *inputs.DROPOUT_LABELS)
     _, rejected = dropouts.judge(parsed)
     return rejected.groupBy("school_year", "reject_reason").agg(
         F.count("*").alias("rows_seen"), F.min("raw_col").alias("least_label")
@@ -545,7 +556,7 @@ def q38_dropout_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q39_quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = reshape.union_all([_dropouts(spark, sf, y) for y in inputs.DROPOUT_LABELS])
+    parsed = _dropouts(spark, sf, *inputs.DROPOUT_LABELS)
     return dropouts.dropout_metrics(parsed)
 
 
