@@ -22,14 +22,16 @@ HOT_SHARE = 0.001
 def lookup_join(
     left: DataFrame, lookup: DataFrame, on: list[str], small: bool | None = None
 ) -> DataFrame:
-    """Left join; null keys match nothing.
+    """Left join; null keys match nothing.  Columns: the left's, then the new.
 
     ``small`` says whether the lookup is known to fit a broadcast; when it is
     not given the lookup is counted.
     """
     if is_bounded(lookup) if small is None else small:
-        return left.join(F.broadcast(lookup), on, "left")
-    return _skewed_lookup_join(left, lookup, on)
+        joined = left.join(F.broadcast(lookup), on, "left")
+    else:
+        joined = _skewed_lookup_join(left, lookup, on)
+    return joined.select(*left.columns, *[c for c in lookup.columns if c not in on])
 
 
 def hot_keys(left: DataFrame, on: list[str], share: float = HOT_SHARE) -> list[int]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import is_bounded
 from .distinct import distinct_values, first_per_key
 from .joins import lookup_join
 from .ordinals import with_ordinal
@@ -40,6 +41,7 @@ def label_to_key(
     for needed in (label, key):
         if needed not in lookup.columns:
             raise ValueError(f"lookup column not found: {needed}")
+    small = is_bounded(lookup) if small is None else small
     keys = first_per_key(
         lookup.where(F.col(label).isNotNull()).select(
             F.col(label).alias(column), F.col(key).alias(key_column)

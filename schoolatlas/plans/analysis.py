@@ -49,3 +49,11 @@ def search_places(codes: DataFrame, text: str, municipality: str, geo: str = "Bg
     return codes.where(
         (F.col("geo") == geo) & F.col("id").startswith(municipality[:7]) & named
     )
+
+
+def with_conformed_sex(df: DataFrame) -> DataFrame:
+    """``male``/``female`` in every table; dropout facts say ``m`` and ``f``."""
+    sex = F.col("sex")
+    return df.withColumn(
+        "sex", F.when(sex == "m", "male").when(sex == "f", "female").otherwise(sex)
+    )

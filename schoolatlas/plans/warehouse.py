@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..contracts import CONTRACTS
 from ..operators.distinct import last_per_key
-from ..operators.keys import build_lookup, extract_lookup, label_to_key
+from ..operators.keys import (
+    build_lookup,
+    extract_lookup,
+    label_to_key,
+    with_surrogate_key,
+)
 from ..operators.matching import match_places
 from ..operators.quality import require_contract
 from ..sources.csv_folder import read_coordinates
@@ -44,12 +48,21 @@ def store_if_any(df: DataFrame, folder: str, name: str, partition: str | None =
 
 
 def load_warehouse(
-    tables: dict[str, DataFrame], seeds: dict[str, DataFrame], folder: str
+    tables: dict[str, DataFrame],
+    seeds: dict[str, DataFrame],
+    folder: str,
+    number_facts: bool = False,
 ) -> dict[str, DataFrame]:
     """Write lookups first, then the facts that point at them.
 
     Facts are partitioned by year key, the column most questions filter on.
+    They keep their natural keys; ``number_facts`` adds a row number ``id`` to
+    each, at the price of a range sort.
     """
+
+    def numbered(df: DataFrame) -> DataFrame:
+        return with_surrogate_key(df) if number_facts else df
+
     out = {name: store(df, folder, name) for name, df in seeds.items()}
     grades = out["school_grades"]
     enrollment = tables["enrollment"]
@@ -65,16 +78,16 @@ def load_warehouse(
         return label_to_key(keyed, "strand", strands, "strand_id", "strand")
 
     year = "school_year_id"
-    out["school_levels"] = store(with_year(tables["school_levels"]), folder, "school_levels", year)
-    out["enroll"] = store(with_grade_and_strand(with_year(enrollment)), folder, "enroll", year)
+    out["school_levels"] = store(numbered(with_year(tables["school_levels"])), folder, "school_levels", year)
+    out["enroll"] = store(numbered(with_grade_and_strand(with_year(enrollment))), folder, "enroll", year)
 
     if "dropouts" in tables:
         facts = with_year(with_grade_and_strand(tables["dropouts"]))
-        if (stored := store_if_any(facts, folder, "dropouts", year)) is not None:
+        if (stored := store_if_any(numbered(facts), folder, "dropouts", year)) is not None:
             out["dropouts"] = stored
 
-    out["geos"] = store(tables["geo"], folder, "geos", "school_year")
-    out["addr"] = store(tables["address"], folder, "addr", "school_year")
+    out["geos"] = store(numbered(tables["geo"]), folder, "geos", "school_year")
+    out["addr"] = store(numbered(tables["address"]), folder, "addr", "school_year")
     out["psgc"] = store(replace_by_id(tables["psgc"]), folder, "psgc")
 
     if "region_names" in tables:
@@ -84,7 +97,7 @@ def load_warehouse(
             with_year(tables["teachers"]), "position", "teacher_position_id"
         )
         out["teacher_positions"] = store(positions, folder, "teacher_positions")
-        out["teachers"] = store(facts, folder, "teachers", year)
+        out["teachers"] = store(numbered(facts), folder, "teachers", year)
     return out
 
 
@@ -133,8 +146,12 @@ def extract_tables(
 
 
 def build_warehouse(
-    spark: SparkSession, out_folder: str, seeds_file: str | None = None, **sources: str
+    spark: SparkSession,
+    out_folder: str,
+    seeds_file: str | None = None,
+    number_facts: bool = False,
+    **sources: str,
 ) -> dict[str, DataFrame]:
     """Sources to warehouse; ``sources`` as for ``extract_tables``."""
     tables = extract_tables(spark, stage_folder=f"{out_folder}/_stage", **sources)
-    return load_warehouse(tables, seed_tables(spark, seeds_file), out_folder)
+    return load_warehouse(tables, seed_tables(spark, seeds_file), out_folder, number_facts)

@@ -206,7 +206,9 @@ def test_warehouse_build_is_repeatable(spark, built, tmp_path):
 def test_optional_tables_are_left_out(spark, built, tmp_path):
     _, sources, _ = built
     some = {k: v for k, v in sources.items() if k not in ("teacher_folder", "dropout_folder")}
-    tables = warehouse.build_warehouse(spark, str(tmp_path / "out"), **some)
+    tables = warehouse.build_warehouse(spark, str(tmp_path / "out"), number_facts=True, **some)
+    ids = [r["id"] for r in tables["enroll"].select("id").collect()]
+    assert sorted(ids) == list(range(1, len(ids) + 1))
     assert "teachers" not in tables and "dropouts" not in tables
     empty = spark.createDataFrame([], "a string")
     assert warehouse.store_if_any(empty, str(tmp_path), "nothing") is None
@@ -235,3 +237,8 @@ def test_analysis(spark):
     assert {r["id"] for r in found.collect()} == {"0301420001", "0301420002"}
     meta = spark.createDataFrame([("m", "a", None), ("m", "a", None), ("m", "b", None), ("m", "c", "x")], "psgc_muni_id string, barangay string, psgc_brgy_id string")
     assert [tuple(r) for r in analysis.unmatched_barangays(meta).collect()] == [("m", "a", 2), ("m", "b", 1)]
+
+
+def test_conformed_sex(spark):
+    df = spark.createDataFrame([("m",), ("f",), ("male",), (None,)], "sex string")
+    assert [r[0] for r in analysis.with_conformed_sex(df).collect()] == ["male", "female", "male", None]

@@ -37,6 +37,16 @@ def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
+@pytest.mark.parametrize("name", ["q12_label_to_key", "q27_corrections", "q28_backfill", "q29_match_all", "q30_divisions", "q34_geo_fact"])
+def test_query_without_broadcast(spark, duck, name, monkeypatch):
+    """The same rows when no lookup may be broadcast."""
+    for module in ("operators.joins", "operators.keys", "operators.matching", "plans.geography"):
+        monkeypatch.setattr(f"schoolatlas.{module}.is_bounded", lambda df: False)
+    df = QUERIES[name](spark, SF_DIR)
+    result = duck.sql(SQL[name])
+    assert _rows(df.columns, df.collect()) == _rows(result.columns, result.fetchall())
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
