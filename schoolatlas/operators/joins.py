@@ -20,17 +20,25 @@ HOT_SHARE = 0.001
 
 
 def lookup_join(
-    left: DataFrame, lookup: DataFrame, on: list[str], small: bool | None = None
+    left: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    small: bool | None = None,
+    reread: bool = False,
 ) -> DataFrame:
     """Left join; null keys match nothing.  Columns: the left's, then the new.
 
     ``small`` says whether the lookup is known to fit a broadcast; when it is
-    not given the lookup is counted.
+    not given the lookup is counted.  A large lookup reads the left rows several
+    times: ``reread`` says that they are cheap to read again (a plain scan);
+    otherwise they are stored first, so that joins in a row cost a sum and not
+    a product.
     """
     if is_bounded(lookup) if small is None else small:
         joined = left.join(F.broadcast(lookup), on, "left")
     else:
-        joined = _skewed_lookup_join(left, lookup, on)
+        rows = left if reread else durable(left)
+        joined = _skewed_lookup_join(rows, lookup, on)
     return joined.select(*left.columns, *[c for c in lookup.columns if c not in on])
 
 
@@ -79,7 +87,7 @@ def per_distinct(
     kept = [c for c in df.columns if c not in changed]
     answer = resolved.select("_values", F.struct(*changed).alias("_answer"))
     joined = lookup_join(
-        df.select(*kept, key.alias("_values")), answer, ["_values"]
+        df.select(*kept, key.alias("_values")), answer, ["_values"], reread=True
     ).where("_answer IS NOT NULL")
     order = [*df.columns, *[c for c in changed if c not in df.columns]]
     return joined.select(*kept, "_answer.*").select(*order)

@@ -37,7 +37,7 @@ def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", ["q12_label_to_key", "q27_corrections", "q28_backfill", "q29_match_all", "q30_divisions", "q34_geo_fact"])
+@pytest.mark.parametrize("name", ["q12_label_to_key", "q26_barangay", "q30_divisions"])
 def test_query_without_broadcast(spark, duck, name, monkeypatch):
     """The same rows when no lookup may be broadcast."""
     for module in ("operators.joins", "operators.keys", "operators.matching", "plans.geography"):
