@@ -94,8 +94,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[9, 10, 11, 12, 13, 32]] = False
 
@@ -143,6 +143,20 @@ def span_hashes(sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nda
     return mix(values ^ (last - first).astype(np.uint64) * _MIX_B)
 
 
+def sequence_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A hash of values[first:last] for every pair of places; equal sequences have equal hashes."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum((values | np.uint64(1)) * _powers(RADIX, len(values)), out=sums[1:])
+    return mix((sums[last] - sums[first]) * _powers(UNRADIX, len(sums))[first] ^ (last - first).astype(np.uint64) * _MIX_B)
+
+
+def text_key(text: Column) -> list[Column]:
+    """Two 64-bit hashes that together stand for a text; 0 and 0 for null."""
+    return [
+        F.coalesce(F.xxhash64(F.lit(seed), text), F.lit(0)).alias(name) for seed, name in ((1, "text_1"), (2, "text_2"))
+    ]
+
+
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the k words from each word on (the last k - 1 words have none)."""
     n = max(0, len(words) - k + 1)

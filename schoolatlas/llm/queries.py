@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schoolatlas.llm import language
+from schoolatlas.llm import language, line_rules
 from schoolatlas.llm.common import table
 
 
@@ -18,9 +18,57 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base quality counts and the verdict by cross-document line frequency."""
+    rated = line_rules.rate(table(spark, sf_dir, "documents"))
+    return rated.select("doc_id", *line_rules.BASE, "base_failed", "kept", "n_removed_words")
+
+
 QUERIES = {
     "op1_language": op1_language,
+    "op2_line_rules": op2_line_rules,
 }
 
 #: DuckDB statements for the queries that SQL can express.
 SQL: dict[str, str] = {}
+
+SQL["op2_line_rules"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS host, text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+lines AS (
+    SELECT r, host, text, i, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS words
+    FROM (SELECT r, host, text, unnest(string_split(text, chr(10))) AS line,
+            generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs)),
+worded AS (
+    SELECT *, len(words) AS n, regexp_replace(translate(array_to_string(words, ' '),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g') AS norm
+    FROM lines WHERE len(words) > 0),
+dups AS (SELECT r, sum(c - 1) AS n FROM (SELECT r, line, count(*) AS c FROM worded GROUP BY r, line) GROUP BY r),
+windows AS (
+    SELECT r, i, array_to_string(words[i : i + 7], ' ') AS w
+    FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM docs)),
+covered AS (
+    SELECT r, count(DISTINCT i + o) AS n
+    FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS c FROM windows), range(8) AS t(o)
+    WHERE c > 1 GROUP BY r),
+own AS (SELECT host, text, norm, sum(n) AS n FROM worded GROUP BY r, host, text, norm),
+lined AS (SELECT host, text, norm, max(n) AS n FROM own GROUP BY host, text, norm),
+hosts AS (SELECT host, count(DISTINCT coalesce('=' || text, '')) AS d FROM docs GROUP BY host),
+frequent AS (
+    SELECT host, norm FROM lined JOIN hosts USING (host) GROUP BY host, norm, d
+    HAVING count(*) > 8 AND count(*) > d * 0.01::DOUBLE),
+removed AS (SELECT host, text, sum(n) AS n FROM lined JOIN frequent USING (host, norm) GROUP BY host, text),
+rated AS (
+    SELECT doc_id, len(words) AS n_words, coalesce(length(array_to_string(words, '')), 0) AS word_chars,
+        coalesce(length(docs.text) - length(regexp_replace(docs.text, '[#*$%&|<>]', '', 'g')), 0) AS n_symbols,
+        coalesce(dups.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, coalesce(removed.n, 0) AS gone
+    FROM docs LEFT JOIN dups USING (r) LEFT JOIN covered USING (r)
+        LEFT JOIN removed ON docs.host = removed.host AND docs.text = removed.text),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM rated)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+    n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+    NOT base_failed AND n_words - gone >= n_words * 0.5 AS kept, gone::BIGINT AS n_removed_words
+FROM judged
+"""
