@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schoolatlas.llm import language, line_rules
+from schoolatlas.llm import language, line_rules, mixing
 from schoolatlas.llm.common import table
 
 
@@ -24,9 +24,16 @@ def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", *line_rules.BASE, "base_failed", "kept", "n_removed_words")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix of the sources takes."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_line_rules": op2_line_rules,
+    "op3_mixing": op3_mixing,
 }
 
 #: DuckDB statements for the queries that SQL can express.
@@ -72,3 +79,34 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
     NOT base_failed AND n_words - gone >= n_words * 0.5 AS kept, gone::BIGINT AS n_removed_words
 FROM judged
 """
+
+SQL["op3_mixing"] = r"""
+WITH docs AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, coalesce(text, '') AS t
+    FROM documents),
+keyed AS (
+    SELECT doc_id, source, size, t,
+        -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/' || md5(t)), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0::DOUBLE)
+        / (1.0::DOUBLE / (1.0::DOUBLE + 20 * ((length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::DOUBLE / greatest(length(t), 1)))) AS k
+    FROM docs),
+sizes AS (SELECT source, sum(size)::DOUBLE AS s FROM docs GROUP BY source),
+weighed AS (
+    SELECT source, s, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+        WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w
+    FROM sizes),
+ranked AS (
+    SELECT *, coalesce(sum(3 * s) OVER before, 0) AS capped, sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS open,
+        sum(s) OVER () AS total
+    FROM weighed WINDOW before AS (ORDER BY 3 * s / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+plan AS (
+    SELECT source, s, least(3 * s, max((total - capped) / open) OVER () * w) AS target FROM ranked),
+budgets AS (
+    SELECT source, s, target, CASE WHEN s > 0 THEN least(floor(target / s), 3) ELSE 0 END AS epochs FROM plan),
+placed AS (
+    SELECT keyed.doc_id, size, s, target, epochs, round(target - epochs * s) - coalesce(sum(size) OVER (
+        PARTITION BY keyed.source ORDER BY k, keyed.doc_id, t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
+    FROM keyed JOIN budgets ON keyed.source IS NOT DISTINCT FROM budgets.source)
+SELECT doc_id, size::BIGINT AS size, s::BIGINT AS source_size, target,
+    (epochs * size + greatest(0, least(size, room)))::BIGINT AS taken
+FROM placed
+"""
