@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schoolatlas.llm import language, line_rules, mixing
+from schoolatlas.llm import language, line_rules, mixing, sharding
 from schoolatlas.llm.common import table
 
 
@@ -30,10 +30,25 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and place after the external shuffle."""
+    text, doc_id = F.col("text"), F.col("doc_id")
+    return sharding.shuffle(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        sharding.size_of(text).alias("size"),
+        sharding.checksum(text).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        "shard",
+        "slot",
+        sharding.shard_of(doc_id, sharding.SHARDS + 1).alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_line_rules": op2_line_rules,
     "op3_mixing": op3_mixing,
+    "op8_sharding": op8_sharding,
 }
 
 #: DuckDB statements for the queries that SQL can express.
