@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schoolatlas.llm import language, line_rules, mixing, sharding
-from schoolatlas.llm.common import table
+from schoolatlas.llm import language, line_rules, mixing, sharding, token_counts
+from schoolatlas.llm.common import store, table
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,11 +44,21 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, found by scanning flat token files made of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    counted = token_counts.count_tokens(store(token_counts.token_blocks(docs)))
+    return token_counts.manifest(docs).join(counted, ["file", "ordinal"], "full").select(
+        "doc_id", "file", "ordinal", "start", "n_tokens", "complete"
+    )
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_line_rules": op2_line_rules,
     "op3_mixing": op3_mixing,
     "op8_sharding": op8_sharding,
+    "op9_token_counts": op9_token_counts,
 }
 
 #: DuckDB statements for the queries that SQL can express.
@@ -125,3 +135,14 @@ SELECT doc_id, size::BIGINT AS size, s::BIGINT AS source_size, target,
     (epochs * size + greatest(0, least(size, room)))::BIGINT AS taken
 FROM placed
 """
+
+SQL["op9_token_counts"] = r"""
+WITH docs AS (
+    SELECT doc_id, (coalesce(doc_id, 0) % (SELECT greatest(1, ceil(count(*) / 4096.0))::BIGINT FROM documents))::BIGINT AS file,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n
+    FROM documents)
+SELECT doc_id, file, row_number() OVER w - 1 AS ordinal,
+    (coalesce(sum(n + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start,
+    n AS n_tokens, true AS complete
+FROM docs WINDOW w AS (PARTITION BY file ORDER BY doc_id NULLS FIRST)
+"""
