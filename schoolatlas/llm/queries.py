@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schoolatlas.llm import language, line_rules, mixing, sharding, token_counts
+from schoolatlas.llm import decontaminate, language, line_rules, mixing, sharding, token_counts
 from schoolatlas.llm.common import store, table
 
 
@@ -53,12 +53,19 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that stand in documents."""
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_words", "n_matched", "similarity", "start")
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_line_rules": op2_line_rules,
     "op3_mixing": op3_mixing,
     "op8_sharding": op8_sharding,
     "op9_token_counts": op9_token_counts,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 #: DuckDB statements for the queries that SQL can express.
@@ -146,3 +153,41 @@ SELECT doc_id, file, row_number() OVER w - 1 AS ordinal,
     n AS n_tokens, true AS complete
 FROM docs WINDOW w AS (PARTITION BY file ORDER BY doc_id NULLS FIRST)
 """
+
+SQL["op10_decontaminate"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, words FROM (
+        SELECT DISTINCT doc_id, text, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS words FROM documents)),
+items AS (
+    SELECT DISTINCT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS words FROM benchmark),
+masks(mask, p) AS (VALUES (0, [0, 1, 2, 4, 5, 6]), (1, [0, 1, 3, 5, 6]), (2, [0, 2, 3, 4, 6]), (3, [0, 1, 4, 5, 6])),
+doc_seeds AS (
+    SELECT r, pos, mask, array_to_string(list_transform(p, lambda x: words[pos + x + 1]), ' ') AS seed
+    FROM (SELECT r, words, unnest(range(0, len(words) - 6)) AS pos FROM docs), masks),
+item_seeds AS (
+    SELECT item_id, pos, mask, p, n, array_to_string(list_transform(p, lambda x: words[pos + x + 1]), ' ') AS seed
+    FROM (SELECT item_id, words, len(words) AS n, unnest(range(0, len(words) - 6)) AS pos FROM items), masks),
+hits AS (
+    SELECT DISTINCT r, item_id, n, d.pos - i.pos AS diagonal, unnest(list_transform(p, lambda x: x + i.pos)) AS place
+    FROM doc_seeds d JOIN item_seeds i USING (mask, seed)),
+banded AS (
+    SELECT *, unnest([floor(diagonal / 8.0)::BIGINT * 2, floor((diagonal + 4) / 8.0)::BIGINT * 2 + 1]) AS band FROM hits),
+candidates AS (
+    SELECT DISTINCT r, item_id, diagonals FROM (
+        SELECT r, item_id, n, band, list_sort(list(DISTINCT diagonal)) AS diagonals, count(DISTINCT place) AS covered
+        FROM banded GROUP BY r, item_id, n, band) WHERE covered >= n * 0.4::DOUBLE),
+placed AS (
+    SELECT r, item_id, diagonals, unnest(diagonals) AS d, docs.doc_id, docs.words AS dw, items.words AS iw
+    FROM candidates JOIN docs USING (r) JOIN items USING (item_id)),
+standing AS (
+    SELECT r, doc_id, item_id, diagonals, len(iw) AS n, count(DISTINCT place) AS matched
+    FROM (SELECT *, unnest(range(0, len(iw))) AS place FROM placed)
+    WHERE place + d >= 0 AND dw[place + d + 1] = iw[place + 1]
+    GROUP BY r, doc_id, item_id, diagonals, n),
+best AS (
+    SELECT *, row_number() OVER (PARTITION BY r, item_id ORDER BY matched DESC, diagonals[1]) AS k
+    FROM standing WHERE matched::DOUBLE / n >= 0.8::DOUBLE)
+SELECT doc_id, item_id, n::INTEGER AS n_words, matched::INTEGER AS n_matched, matched::DOUBLE / n AS similarity,
+    diagonals[1]::INTEGER AS start
+FROM best WHERE k = 1
+"""
