@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schoolatlas.llm import decontaminate, language, line_rules, mixing, sharding, token_counts
+from schoolatlas.llm import decontaminate, language, line_rules, mixing, secrets, sharding, token_counts
 from schoolatlas.llm.common import store, table
 
 
@@ -30,6 +30,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, with the weak parts that complete each other."""
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and place after the external shuffle."""
     text, doc_id = F.col("text"), F.col("doc_id")
@@ -63,6 +68,7 @@ QUERIES = {
     "op1_language": op1_language,
     "op2_line_rules": op2_line_rules,
     "op3_mixing": op3_mixing,
+    "op6_secrets": op6_secrets,
     "op8_sharding": op8_sharding,
     "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
@@ -143,6 +149,56 @@ SELECT doc_id, size::BIGINT AS size, s::BIGINT AS source_size, target,
 FROM placed
 """
 
+_PATTERNS = ", ".join(
+    "({}, '{}', {})".format(secrets.PLACE[kind], pattern.replace("'", "''"), group)
+    for kind, pattern, group in (
+        ("assign", secrets.ASSIGN, 2),
+        ("access", secrets.ACCESS, 0),
+        ("hex", secrets.HEX, 0),
+        ("identifier", secrets.IDENTIFIER, 0),
+        ("secret", secrets.TOKEN, 0),
+        ("endpoint", secrets.ENDPOINT, 0),
+    )
+)
+_KINDS = ", ".join(f"'{kind}'" for kind in secrets.KINDS)
+SQL["op6_secrets"] = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+patterns(kind, p, g) AS (VALUES {_PATTERNS}),
+found AS (
+    SELECT r, kind, unnest(regexp_extract_all(text, p, 0)) AS m, unnest(regexp_extract_all(text, p, g)) AS value,
+        unnest(regexp_split_to_array(text, p)[: len(regexp_extract_all(text, p, 0))]) AS gap,
+        unnest(range(0, len(regexp_extract_all(text, p, 0)))) AS i
+    FROM docs, patterns),
+placed AS (
+    SELECT r, kind, value, length(m) AS n, sum(length(gap) + length(m)) OVER (PARTITION BY r, kind ORDER BY i) AS stop FROM found),
+kinds AS (
+    SELECT r, stop - n AS start, stop, CASE
+        WHEN kind = 0 AND length(value) < 12 THEN CASE WHEN length(value) >= 4 THEN 4 END
+        WHEN kind = 4 AND NOT (regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]')) THEN NULL
+        ELSE kind END AS kind
+    FROM placed),
+parts AS (
+    SELECT DISTINCT r, start, stop, kind, CASE WHEN kind IN (1, 3) THEN 'identifier' WHEN kind = 5 THEN 'endpoint' ELSE 'secret' END AS role
+    FROM kinds WHERE kind IS NOT NULL),
+linked AS (
+    SELECT * FROM parts w WHERE kind >= 3
+        AND EXISTS (SELECT 1 FROM parts o WHERE o.r = w.r AND (o.stop <= w.start OR o.start >= w.stop)
+            AND o.stop >= w.start - {secrets.REACH} AND o.start <= w.stop + {secrets.REACH}
+            AND (w.role = 'secret') <> (o.role = 'secret'))
+        AND NOT EXISTS (SELECT 1 FROM parts o WHERE w.kind = 4 AND o.r = w.r AND o.kind < 3 AND o.stop > w.start AND o.start < w.stop)),
+spans AS (
+    SELECT r, kind, start, stop, ([{_KINDS}])[kind + 1] || ':' || start::BIGINT || ':' || stop::BIGINT AS span
+    FROM (SELECT r, kind, start, stop FROM parts WHERE kind < 3 UNION ALL SELECT r, kind, start, stop FROM linked)),
+joined AS (
+    SELECT r, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS b, count(*) FILTER (kind = 2) AS c,
+        coalesce(string_agg(span, ',' ORDER BY start, kind, stop) FILTER (kind < 3), '') AS base,
+        string_agg(span, ',' ORDER BY start, kind, stop) AS spans
+    FROM spans GROUP BY r)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (r)
+"""
+
 SQL["op9_token_counts"] = r"""
 WITH docs AS (
     SELECT doc_id, (coalesce(doc_id, 0) % (SELECT greatest(1, ceil(count(*) / 4096.0))::BIGINT FROM documents))::BIGINT AS file,
