@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schoolatlas.llm import decontaminate, language, line_rules, mixing, secrets, sharding, token_counts
+from schoolatlas.llm import decontaminate, html_text, language, line_rules, mixing, secrets, sharding, token_counts
 from schoolatlas.llm.common import store, table
 
 
@@ -30,6 +30,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, without the templates of its host."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, with the weak parts that complete each other."""
     return secrets.report(table(spark, sf_dir, "documents"))
@@ -68,6 +73,7 @@ QUERIES = {
     "op1_language": op1_language,
     "op2_line_rules": op2_line_rules,
     "op3_mixing": op3_mixing,
+    "op5_html_text": op5_html_text,
     "op6_secrets": op6_secrets,
     "op8_sharding": op8_sharding,
     "op9_token_counts": op9_token_counts,
