@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schoolatlas.llm import decontaminate, html_text, language, line_rules, mixing, secrets, sharding, token_counts
+from schoolatlas.llm import decontaminate, html_text, language, line_rules, mixing, ngram_join, secrets, sharding, token_counts
 from schoolatlas.llm.common import store, table
 
 
@@ -30,6 +30,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under n-gram Jaccard links."""
+    resolved = ngram_join.resolve(table(spark, sf_dir, "documents"))
+    return resolved.select("doc_id", "n_shingles", "component_id")
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page, without the templates of its host."""
     return html_text.extract(table(spark, sf_dir, "pages"))
@@ -73,6 +79,7 @@ QUERIES = {
     "op1_language": op1_language,
     "op2_line_rules": op2_line_rules,
     "op3_mixing": op3_mixing,
+    "op4_ngram_join": op4_ngram_join,
     "op5_html_text": op5_html_text,
     "op6_secrets": op6_secrets,
     "op8_sharding": op8_sharding,
