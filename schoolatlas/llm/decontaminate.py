@@ -128,6 +128,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
 
 def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents without a leaked item, columns as they are."""
-    found = leaks(docs, benchmark, similarity).select(*(F.col(c).alias(f"_{c}") for c in ("text_1", "text_2"))).distinct()
-    one, two = text_key(F.col("text"))
-    return docs.join(store(found), (one == F.col("_text_1")) & (two == F.col("_text_2")), "left_anti")
+    found = store(leaks(docs, benchmark, similarity).select("text_1", "text_2").distinct())
+    one, two = text_key(docs["text"])
+    return docs.join(found, (one == found["text_1"]) & (two == found["text_2"]), "left_anti")

@@ -213,10 +213,10 @@ def learn(docs: DataFrame, order: int = ORDER, **bounds: int) -> Model:
     return Model(gram_counts(learning_sample(docs, **bounds), order).collect(), order)
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
+def identify(docs: DataFrame, model: Model, text: Column | None = None) -> DataFrame:
     """The rows with ``lang_pred``, ``score`` (posterior under equal priors) and ``bits_per_byte`` appended.
 
-    Columns of these names that the input has are replaced.
+    ``text`` is the column ``text`` if not given.  Columns of these names that the input has are replaced.
     """
     made = ("lang_pred", "score", "bits_per_byte")
     docs = docs.drop(*made)
@@ -251,5 +251,5 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     schema = docs.schema
     for name, kind in zip(made, ("string", "double", "double"), strict=True):
         schema = schema.add(name, kind)
-    text = docs["text"]
+    text = docs["text"] if text is None else text
     return docs.select("*", text.alias("_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_letters")).mapInArrow(predict, schema)

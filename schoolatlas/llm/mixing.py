@@ -139,10 +139,11 @@ def repeat(docs: DataFrame, **options) -> DataFrame:
         .groupBy(F.col("source").alias("_source"))
         .agg(F.max("epochs").alias("_epochs"), F.max(F.when(2 * part >= F.col("size"), F.col("draw_key"))).alias("_last"))
     )
-    text = F.col("text")
-    weight = options.get("weight")
-    key = -F.log(draw(F.col("doc_id"), text)) / (quality(text) if weight is None else weight)
-    joined = docs.join(store(limits), F.col("source").eqNullSafe(F.col("_source")))
-    copies = F.col("_epochs") + F.when(key <= F.col("_last"), 1).otherwise(0)
-    times = F.when(n_words(text) > 0, copies).otherwise(0).cast("int")
-    return joined.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), times)).alias("_copy")).drop("_copy")
+    limits = store(limits)
+    text, weight = docs["text"], options.get("weight")
+    key = -F.log(draw(docs["doc_id"], text)) / (quality(text) if weight is None else weight)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), docs["source"].alias("source"), key.alias("key"), n_words(text).alias("size"))
+    joined = rows.join(limits, rows["source"].eqNullSafe(limits["_source"]))
+    copies = F.col("_epochs") + F.when(F.col("key") <= F.col("_last"), 1).otherwise(0)
+    times = F.when(F.col("size") > 0, copies).otherwise(0).cast("int")
+    return joined.select("row", F.explode(F.array_repeat(F.lit(0), times)).alias("copy")).select("row.*")

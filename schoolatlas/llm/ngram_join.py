@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from schoolatlas.llm.common import (
@@ -432,8 +432,12 @@ def keep_one(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFra
     first = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_1") == F.col("_text_1"))
     judged = counts.join(kept, F.col("component") == F.col("_component")).select("doc_id", "text_1", "n", first.alias("stays"))
     listed = store(judged.filter("not stays or n > 1"))
-    listed = listed.select(F.col("doc_id").alias("_doc_id"), F.col("text_1").alias("_text_1"), "stays")
-    same = docs["doc_id"].eqNullSafe(F.col("_doc_id")) & (F.xxhash64(docs["text"]) == F.col("_text_1"))
-    single = docs.join(listed, same, "left_anti")
-    several = docs.join(listed.filter("stays"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    own = F.xxhash64(docs["text"])
+
+    def named(which: DataFrame) -> tuple[DataFrame, Column]:
+        which = which.select("doc_id", "text_1")
+        return which, docs["doc_id"].eqNullSafe(which["doc_id"]) & (own == which["text_1"])
+
+    single = docs.join(*named(listed), "left_anti")
+    several = docs.join(*named(listed.filter("stays")), "left_semi").dropDuplicates(["doc_id", "text"])
     return single.unionByName(several)
