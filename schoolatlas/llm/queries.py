@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schoolatlas.llm import decontaminate, html_text, language, line_rules, mixing, ngram_join, secrets, sharding, token_counts
+from schoolatlas.llm import (
+    decontaminate,
+    html_text,
+    language,
+    line_rules,
+    mixing,
+    ngram_join,
+    secrets,
+    sharding,
+    suffix_dedup,
+    token_counts,
+)
 from schoolatlas.llm.common import store, table
 
 
@@ -46,6 +57,11 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the byte strings that documents of smaller id hold."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and place after the external shuffle."""
     text, doc_id = F.col("text"), F.col("doc_id")
@@ -82,6 +98,7 @@ QUERIES = {
     "op4_ngram_join": op4_ngram_join,
     "op5_html_text": op5_html_text,
     "op6_secrets": op6_secrets,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sharding": op8_sharding,
     "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
