@@ -132,8 +132,10 @@ def _doc_bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
 
 def _split(keys: np.ndarray, then: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
     """(key, places) of each distinct key; places in the order of ``then``."""
+    if not len(keys):
+        return
     order = np.argsort(keys, kind="stable") if then is None else np.lexsort((then, keys))
-    cuts = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]]) if len(keys) else np.zeros(0, np.int64)
+    cuts = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]])
     for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(keys)).tolist(), strict=True):
         yield int(keys[order[a]]), order[a:b]
 
