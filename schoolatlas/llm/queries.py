@@ -237,7 +237,7 @@ WITH docs AS (
 SELECT doc_id, file, row_number() OVER w - 1 AS ordinal,
     (coalesce(sum(n + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start,
     n AS n_tokens, true AS complete
-FROM docs WINDOW w AS (PARTITION BY file ORDER BY doc_id NULLS FIRST)
+FROM docs WINDOW w AS (PARTITION BY file ORDER BY doc_id NULLS FIRST, n)
 """
 
 SQL["op10_decontaminate"] = r"""

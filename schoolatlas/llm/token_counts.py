@@ -66,7 +66,7 @@ def file_of(docs: DataFrame, docs_per_file: int = DOCS_PER_FILE) -> DataFrame:
 
 
 def token_blocks(docs: DataFrame, docs_per_file: int = DOCS_PER_FILE, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """(file, block, data): the texts' tokens as flat files, in order of the ids within a file."""
+    """(file, block, data): the texts' tokens as flat files, in order of id and length within a file."""
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,7 +90,7 @@ def token_blocks(docs: DataFrame, docs_per_file: int = DOCS_PER_FILE, block_toke
 
     numbered = file_of(docs.select("doc_id", "text"), docs_per_file).select("file", F.col("doc_id").cast("long"), "text")
     tokens = numbered.mapInArrow(tokenise, "file bigint, doc_id bigint, tokens binary")
-    sorted_files = tokens.repartition("file").sortWithinPartitions("file", "doc_id", F.xxhash64("tokens"))
+    sorted_files = tokens.repartition("file").sortWithinPartitions("file", "doc_id", F.length("tokens"), F.xxhash64("tokens"))
     return sorted_files.select("file", "tokens").mapInArrow(join, "file bigint, block bigint, data binary")
 
 
