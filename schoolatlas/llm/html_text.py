@@ -75,6 +75,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME = re.compile(r"[a-z]+|[0-9]+")
+_HUMP = re.compile("([a-z])([A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
@@ -91,8 +92,9 @@ def _unwanted(tag: str, attributes: str, in_main: bool) -> bool:
         return True
     if tag == "header" and not in_main:
         return True
-    names = _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", found.get("class", "") + " " + found.get("id", "")).lower())
-    return not DROPPED_NAMES.isdisjoint(names)
+    names = found.get("class", "") + " " + found.get("id", "")
+    parts = _NAME.findall(names.lower()) + _NAME.findall(_HUMP.sub(r"\1 \2", names).lower())
+    return not DROPPED_NAMES.isdisjoint(parts)
 
 
 class _Element:
