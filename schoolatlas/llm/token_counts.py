@@ -137,7 +137,7 @@ def count_tokens(blocks: DataFrame, separator: int = SEPARATOR) -> DataFrame:
     found = store(find_separators(blocks, separator))
     order = Window.partitionBy("file").orderBy("block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    sums = found.select("file", "block", "n_tokens", F.size("ends").alias("n"), F.element_at(F.filter("ends", lambda _, i: i == F.size("ends") - 1), 1).alias("last"))
+    sums = found.select("file", "block", "n_tokens", F.size("ends").alias("n"), F.get("ends", F.size("ends") - 1).alias("last"))
     offset = F.coalesce(F.sum("n_tokens").over(before), F.lit(0))
     scanned = sums.withColumn("offset", offset).withColumn("end", F.col("offset") + F.col("last"))
     scanned = scanned.select(
