@@ -1,7 +1,7 @@
 """Quality rules with cross-document line frequency.
 
 One pass over the texts gives per document the base counts and the hashes of its normalised
-lines (A-Z lower-cased, digits as 0, white space as one space).  Spark then counts in how
+lines (A-Z lower-cased, white space as one space).  Spark then counts in how
 many distinct documents of its host (``source``) each line stands; copies of a whole text
 count once, since they are one document.  A line above the host's limit, ``MIN_DOCS`` and
 ``DOC_SHARE`` of the host's distinct documents, is removed; a document is rejected when less
@@ -48,8 +48,6 @@ KEPT_SHARE = 0.5
 
 ship(__name__)
 
-_FOLD = LOWER.copy()
-_FOLD[48:58] = 48
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -94,7 +92,7 @@ def line_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]
     goes_on = np.flatnonzero(row[1:] == row[:-1])
     ends[goes_on] = starts[goes_on + 1] - 1
     first, last, _ = word_spans(data, offsets)
-    words = span_hashes(prefix_sums(_FOLD[data]), first, last)
+    words = span_hashes(prefix_sums(LOWER[data]), first, last)
     a, b = np.searchsorted(first, starts), np.searchsorted(first, ends)
     return row, starts, ends, sequence_hashes(words, a, b), b - a
 

@@ -117,8 +117,8 @@ lines AS (
     FROM (SELECT r, host, text, unnest(string_split(text, chr(10))) AS line,
             generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs)),
 worded AS (
-    SELECT *, len(words) AS n, regexp_replace(translate(array_to_string(words, ' '),
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g') AS norm
+    SELECT *, len(words) AS n, translate(array_to_string(words, ' '),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
     FROM lines WHERE len(words) > 0),
 dups AS (SELECT r, sum(c - 1) AS n FROM (SELECT r, line, count(*) AS c FROM worded GROUP BY r, line) GROUP BY r),
 windows AS (
