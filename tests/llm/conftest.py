@@ -51,7 +51,7 @@ def documents():
         (30, "x" * 3000, "en", "b"),
         (31, "x" * 200, "en", "b"),
     ]
-    rows += [(100 + i, f"Shared header line of the site\n{base}Document {i} number {i * 7919 % 1000} speaks of {i}.\nFooter 20{i:02d}", "en", "h") for i in range(30)]
+    rows += [(100 + i, f"Shared header line of the site\n{base}Document {i} number {i * 7919 % 1000} speaks of {i}.\n  FOOTER  of the\tsite", "en", "h") for i in range(30)]
     return rows
 
 
