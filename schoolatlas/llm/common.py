@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 #: A word is a longest run of code points outside space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts are handed to numpy in slices of about so many bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 RADIX = 0x9E3779B97F4A7C15
 UNRADIX = pow(RADIX, -1, 1 << 64)
@@ -66,9 +66,12 @@ def n_words(text: Column) -> Column:
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread every bit of 64-bit values over all bits."""
-    h = (h ^ (h >> np.uint64(30))) * _MIX_A
-    h = (h ^ (h >> np.uint64(27))) * _MIX_B
-    return h ^ (h >> np.uint64(31))
+    h = h ^ (h >> np.uint64(30))
+    h *= _MIX_A
+    h ^= h >> np.uint64(27)
+    h *= _MIX_B
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def slices(lengths: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
@@ -143,6 +146,14 @@ def span_hashes(sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nda
     return mix(values ^ (last - first).astype(np.uint64) * _MIX_B)
 
 
+def every_span(sums: np.ndarray, length: int) -> np.ndarray:
+    """``span_hashes`` of the ``length`` bytes from every place on."""
+    values = sums[length:] - sums[:-length]
+    values *= _powers(UNRADIX, len(sums))[: len(values)]
+    values ^= np.uint64(length * int(_MIX_B) & 0xFFFFFFFFFFFFFFFF)
+    return mix(values)
+
+
 def sequence_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """A hash of values[first:last] for every pair of places; equal sequences have equal hashes."""
     sums = np.zeros(len(values) + 1, np.uint64)

@@ -57,9 +57,10 @@ LOW_SHARE = 0.3
 HEAVY_PART = 500
 HEAVY_LEAST = 64
 SEEN_LEAST = 16
-BUCKET_TOKENS = 1 << 20
-BLOCK_SHINGLES = 2_000_000
-SLICE = 8 << 20
+BUCKET_TOKENS = 1 << 19
+BLOCK_SHINGLES = 1_000_000
+SLICE = 2 << 20
+SLICES_SEEN = 4
 _LOW = np.uint64(int(LOW_SHARE * 2**64))
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
@@ -105,21 +106,23 @@ def describe(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held, some = {}, []
             for a, b, sets in _slices(batch, SLICE, k):
                 names = [name_of(s) for s in sets]
-                once = list(dict(zip(names, sets, strict=True)).values())
-                token, n = np.unique(np.concatenate([*once, np.zeros(0, np.uint64)]), return_counts=True)
-                often = n >= SEEN_LEAST
-                seen = [list(zip(token[often].view(np.int64).tolist(), n[often].tolist(), strict=True))]
+                held.update(zip(names, sets, strict=True))
+                some.append(a)
+                often = []
+                if len(some) == SLICES_SEEN or b == batch.num_rows:
+                    token, n = np.unique(np.concatenate([*held.values(), np.zeros(0, np.uint64)]), return_counts=True)
+                    token, n = token[n >= SEEN_LEAST].view(np.int64), n[n >= SEEN_LEAST]
+                    often = [{"token": t, "n": c} for t, c in zip(token.tolist(), n.tolist(), strict=True)]
+                    held, some = {}, []
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(c).slice(a, b - a) for c in ("doc_id", "text_1")),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(names, pa.int64()),
-                        pa.array(
-                            [[{"token": t, "n": c} for t, c in seen[0]]] + [None] * (b - a - 1),
-                            pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int64())])),
-                        ),
+                        pa.array([often] + [None] * (b - a - 1), pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int64())]))),
                     ],
                     names=["doc_id", "text_1", "n", "id", "seen"],
                 )
@@ -379,7 +382,8 @@ def linked_sets(docs: DataFrame, candidates: DataFrame, k: int, percent: int) ->
     named = store(named.select("id", "block", F.col("doc_id").alias("_doc"), F.col("text_1").alias("_text"), pair.alias("pairs")))
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_1"), "text")
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_1") == F.col("_text"))
-    texts = texts.join(named, same).dropDuplicates(["id"])
+    # The candidates grow with the corpus: the join shuffles at every size.
+    texts = texts.join(named.hint("merge"), same).dropDuplicates(["id"])
     texts = texts.select("id", "block", F.explode("pairs").alias("pair"), "text").select("id", "block", "pair.i", "pair.j", "text")
 
     def join(table: pa.Table) -> pa.Table:
@@ -435,7 +439,7 @@ def keep_one(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFra
     own = F.xxhash64(docs["text"])
 
     def named(which: DataFrame) -> tuple[DataFrame, Column]:
-        which = which.select("doc_id", "text_1")
+        which = which.select("doc_id", "text_1").hint("merge")  # grows with the corpus, so it is never sent whole
         return which, docs["doc_id"].eqNullSafe(which["doc_id"]) & (own == which["text_1"])
 
     single = docs.join(*named(listed), "left_anti")
