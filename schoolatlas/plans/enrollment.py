@@ -29,7 +29,7 @@ from ..operators.reshape import (
     value_columns,
     wide_to_long,
 )
-from ..sources.csv_folder import read_yearly_csvs
+from ..sources.csv_folder import read_yearly_csvs, rejected_lines
 
 OFFERS = ["offers_es", "offers_jhs", "offers_shs"]
 ATTRIBUTES = [
@@ -183,4 +183,5 @@ def enrollment_tables(
         "enrollment": enrollment_facts(wides),
         "school_levels": offered_levels(schools),
         "invalid_counts": invalid_counts(wides),
+        "csv_rejects": rejected_lines(spark, folder, latest_only),
     }

@@ -1,69 +1,121 @@
-"""CSV sources, read as text: no type is guessed from the data."""
+"""CSV sources, read as text: no type is guessed from the data.
+
+Quotes within a quoted field are doubled.  A line with more or fewer fields
+than its header (the halves of a field with a line break among them) is no row:
+it goes to the rejects.  ``multi_line`` reads such fields whole, at the price of
+one task per file.
+"""
 
 from __future__ import annotations
 
-from pathlib import PurePosixPath
+import csv
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.counts import lenient_double, school_id_text, school_year
 
+BAD_LINE = "_bad_line"
+FITS = "_fits"
+#: Options of every CSV source; ``from_csv`` takes the same.
+OPTIONS = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
+
 
-def csv_files(spark: SparkSession, folder: str, latest_only: bool = False) -> list[str]:
-    """Paths of the ``*.csv`` files of a folder, by file name.
+def csv_headers(spark: SparkSession, path: str) -> list[tuple[tuple[str, ...], list[str]]]:
+    """(header, files) for each distinct header below a path, in order of the first file name.
 
-    Spark lists the folder, so any file system it knows will do; only paths
-    come to the driver.  ``latest_only`` keeps the last file.
+    One pass over the first block of each file finds the first lines.  Distinct
+    headers and the names of the files come to the driver.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .load(folder)
-        .select("path")
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
+    placed = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    # A file's first block is one run of rows of one task, so the least mark is its first line.
+    first = (
+        placed.where("start = 0")
+        .withColumn("mark", F.monotonically_increasing_id())
+        .groupBy("file")
+        .agg(F.min_by("value", "mark").alias("header"))
+    )
+    found = first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).collect()
+    parsed = [(tuple(next(csv.reader([r["header"].lstrip("\ufeff")]))), list(r["files"])) for r in found]
+    return sorted(parsed, key=lambda p: p[1][0].rpartition("/")[2])
+
+
+def read_text_csv(
+    spark: SparkSession, paths: list[str], header: tuple[str, ...], multi_line: bool = False
+) -> DataFrame:
+    """All lines as text columns; ``_bad_line`` holds a line that does not fit the header."""
+    schema = StructType([StructField(c, StringType()) for c in (*header, BAD_LINE)])
+    # Without column pruning every read sees whole lines, so it finds the same bad ones.
+    return (
+        spark.read.schema(schema)
+        .options(header=True, multiLine=multi_line, columnPruning=False, **OPTIONS)
+        .csv(paths)
     )
-    paths = sorted((r["path"] for r in listing.toLocalIterator()), key=lambda p: PurePosixPath(p).name)
-    if not paths:
-        raise ValueError(f"no CSV files in {folder}")
-    if paths[0].endswith(folder.rstrip("/")):
-        raise ValueError(f"expected a folder, got a file: {folder}")
-    return paths[-1:] if latest_only else paths
 
 
-def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one file; only its first block is touched."""
-    return tuple(spark.read.option("header", True).csv(path).columns)
+def _fits(header: tuple[str, ...]) -> Column:
+    """Whether a line fits its header.
 
+    Spark refuses queries that read the bad lines' column alone, so the first
+    column is named as well.
+    """
+    first = F.concat_ws("", F.col(f"`{header[0]}`"))
+    return F.col(BAD_LINE).isNull() & (F.length(first) >= 0)
 
-def read_text_csv(spark: SparkSession, paths: list[str], header: tuple[str, ...]) -> DataFrame:
-    schema = StructType([StructField(c, StringType()) for c in header])
-    return spark.read.schema(schema).option("header", True).csv(paths)
+
+def _yearly(spark: SparkSession, folder: str, latest_only: bool, multi_line: bool) -> list[DataFrame]:
+    headers = csv_headers(spark, folder)
+    if not headers:
+        raise ValueError(f"no CSV files in {folder}")
+    if headers[0][1][0].endswith(folder.rstrip("/").rpartition("/")[2]):
+        raise ValueError(f"expected a folder, got a file: {folder}")
+    if latest_only:
+        name, path, header = max((p.rpartition("/")[2], p, h) for h, paths in headers for p in paths)
+        headers = [(header, [path])]
+    tables = [(read_text_csv(spark, paths, header, multi_line), header) for header, paths in headers]
+    return [
+        t.select(
+            school_year(F.col("_metadata.file_name")).alias("school_year"),
+            F.col("_metadata.file_name").alias("source_file"),
+            "*",
+            _fits(header).alias(FITS),
+        )
+        for t, header in tables
+    ]
 
 
 def read_yearly_csvs(
-    spark: SparkSession, folder: str, latest_only: bool = False
+    spark: SparkSession, folder: str, latest_only: bool = False, multi_line: bool = False
 ) -> list[DataFrame]:
     """Yearly files as one DataFrame per distinct header.
 
     Each carries ``school_year`` and ``source_file`` from the file name.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in csv_files(spark, folder, latest_only):
-        by_header.setdefault(csv_header(spark, path), []).append(path)
-    return [
-        read_text_csv(spark, paths, header).select(
-            school_year(F.col("_metadata.file_name")).alias("school_year"),
-            F.col("_metadata.file_name").alias("source_file"),
-            "*",
-        )
-        for header, paths in by_header.items()
-    ]
+    tables = _yearly(spark, folder, latest_only, multi_line)
+    return [t.where(FITS).drop(BAD_LINE, FITS) for t in tables]
+
+
+def rejected_lines(
+    spark: SparkSession, folder: str, latest_only: bool = False, multi_line: bool = False
+) -> DataFrame:
+    """(source_file, line) of the lines that do not fit their header."""
+    tables = _yearly(spark, folder, latest_only, multi_line)
+    bad = [t.where(~F.col(FITS)).select("source_file", F.col(BAD_LINE).alias("line")) for t in tables]
+    out = bad[0]
+    for other in bad[1:]:
+        out = out.unionByName(other)
+    return out
 
 
 def read_coordinates(spark: SparkSession, path: str) -> DataFrame:
     """(school_id, longitude, latitude) of a coordinate list."""
-    table = read_text_csv(spark, [path], csv_header(spark, path))
+    (header, paths), *others = csv_headers(spark, path)
+    if others:
+        raise ValueError(f"files of different headers in {path}")
+    table = read_text_csv(spark, paths, header)
+    table = table.where(_fits(header))
     return table.select(
         school_id_text(F.col("id")).alias("school_id"),
         lenient_double(F.col("longitude")).alias("longitude"),

@@ -10,7 +10,7 @@ from schoolatlas.plans.dropouts import dropout_tables
 from schoolatlas.plans.geography import read_place_codes
 from schoolatlas.plans.teachers import teacher_tables
 from schoolatlas.sources import rules
-from schoolatlas.sources.csv_folder import csv_files, read_coordinates, read_yearly_csvs
+from schoolatlas.sources.csv_folder import csv_headers, read_coordinates, read_yearly_csvs, rejected_lines
 from schoolatlas.sources.layouts import DROPOUT_LAYOUTS
 from schoolatlas.sources.workbook import column_index, column_indexes, read_workbooks
 from tests.xlsx import write_workbook
@@ -209,14 +209,34 @@ def test_yearly_csvs(spark, tmp_path):
     assert [r["school_id"] for r in latest[0].collect()] == ["3"]
 
 
+def test_csv_quotes_and_ragged_lines(spark, tmp_path):
+    (tmp_path / "enrollment_2023-2024.csv").write_text(
+        'school_id,school_name,g1_male\n'
+        '1,"Gov ""Bong"" ES, Annex",5\n'
+        '2,plain,6,extra\n'
+        '3,short\n'
+        '4,"line one\nline two",7\n'
+        '5,"",8\n'
+    )
+    (tmp_path / "enrollment_2024-2025.csv").write_text("\ufeffschool_id,g1_male\n6,9\n")
+    first, second = read_yearly_csvs(spark, str(tmp_path))
+    assert {tuple(r)[2:] for r in first.collect()} == {("1", 'Gov "Bong" ES, Annex', "5"), ("5", None, "8")}
+    assert first.select("g1_male").count() == 2  # however few columns are read
+    assert [tuple(r)[2:] for r in second.collect()] == [("6", "9")]
+    bad = [r.line for r in rejected_lines(spark, str(tmp_path)).collect()]
+    assert sorted(bad) == sorted(["2,plain,6,extra", "3,short", '4,"line one', 'line two",7'])
+    whole = read_yearly_csvs(spark, str(tmp_path), multi_line=True)[0]
+    assert ("4", "line one\nline two", "7") in {tuple(r)[2:] for r in whole.collect()}
+
+
 def test_csv_folder_errors(spark, tmp_path):
     with pytest.raises(AnalysisException):
-        csv_files(spark, str(tmp_path / "absent"))
+        csv_headers(spark, str(tmp_path / "absent"))
     with pytest.raises(ValueError, match="no CSV files"):
-        csv_files(spark, str(tmp_path))
+        read_yearly_csvs(spark, str(tmp_path))
     (tmp_path / "a.csv").write_text("x\n1\n")
     with pytest.raises(ValueError, match="expected a folder"):
-        csv_files(spark, str(tmp_path / "a.csv"))
+        read_yearly_csvs(spark, str(tmp_path / "a.csv"))
 
 
 def test_coordinates(spark, tmp_path):
