@@ -1,73 +1,25 @@
 """Left joins against lookup tables that hold one row per key.
 
-Every left row comes out exactly once.  How the lookup travels is decided by
-its counted size.
+Every left row comes out exactly once.  How a lookup travels is left to
+adaptive execution, which knows its size when it is there: a small one is sent
+to the tasks, and of a large join the partitions of hot keys (null is one) are
+split on the left side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import durable, is_bounded
 
-# A key is hot when it holds more than this share of the rows; there can be at
-# most 1 / HOT_SHARE such keys.
-HOT_SHARE = 0.001
-
-
-def lookup_join(
-    left: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    small: bool | None = None,
-    reread: bool = False,
-) -> DataFrame:
-    """Left join; null keys match nothing.  Columns: the left's, then the new.
-
-    ``small`` says whether the lookup is known to fit a broadcast; when it is
-    not given the lookup is counted.  A large lookup reads the left rows several
-    times: ``reread`` says that they are cheap to read again (a plain scan);
-    otherwise they are stored first, so that joins in a row cost a sum and not
-    a product.
-    """
-    if is_bounded(lookup) if small is None else small:
-        joined = left.join(F.broadcast(lookup), on, "left")
-    else:
-        rows = left if reread else durable(left)
-        joined = _skewed_lookup_join(rows, lookup, on)
+def lookup_join(left: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
+    """Left join; null keys match nothing.  Columns: the left's, then the new."""
+    joined = left.join(lookup, on, "left")
     return joined.select(*left.columns, *[c for c in lookup.columns if c not in on])
 
 
-def hot_keys(left: DataFrame, on: list[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows.
-
-    One pass with bounded memory per task.  The answer may hold keys that are
-    not hot, and never misses one that is; its length is at most 1/share.
-    """
-    hashes = left.select(F.xxhash64(*on).alias("h"))
-    return hashes.stat.freqItems(["h"], share).first()[0] or []
-
-
-def _skewed_lookup_join(left: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
-    """Join a large lookup without gathering a hot key in one task.
-
-    Rows of hot keys stay where they are: their lookup rows (one per key, so a
-    bounded number) go to them.  Rows with a null key need no lookup at all.
-    Only the remaining rows are shuffled by key.
-    """
-    has_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    hot = hot_keys(left.where(~has_null), on)
-    is_hot = F.xxhash64(*on).isin(hot) if hot else F.lit(False)
-    stays = has_null | is_hot
-    stayed = left.where(stays).join(F.broadcast(lookup.where(is_hot)), on, "left")
-    moved = left.where(~stays).join(lookup.where(~is_hot), on, "left")
-    return stayed.unionByName(moved)
-
-
 def per_distinct(
     df: DataFrame, columns: list[str], resolve: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
@@ -77,17 +29,13 @@ def per_distinct(
     table that is orders of magnitude shorter; equal values are merged inside
     each map task before they move.  ``resolve`` gets the distinct rows, may
     change or add columns and drop rows; rows it drops are dropped here.  The
-    result is stored once, then joined back by size.  Null values are values.
+    table is read twice, once for its values.  Null values are values.
     """
     key = F.struct(*columns)
-    resolved = durable(
-        resolve(df.select(*columns).distinct().withColumn("_values", key))
-    )
+    resolved = resolve(df.select(*columns).distinct().withColumn("_values", key))
     changed = [c for c in resolved.columns if c != "_values"]
     kept = [c for c in df.columns if c not in changed]
     answer = resolved.select("_values", F.struct(*changed).alias("_answer"))
-    joined = lookup_join(
-        df.select(*kept, key.alias("_values")), answer, ["_values"], reread=True
-    ).where("_answer IS NOT NULL")
+    joined = df.select(*kept, key.alias("_values")).join(answer, "_values")
     order = [*df.columns, *[c for c in changed if c not in df.columns]]
     return joined.select(*kept, "_answer.*").select(*order)

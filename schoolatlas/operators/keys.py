@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import is_bounded
 from .distinct import distinct_values, first_per_key
 from .joins import lookup_join
 from .ordinals import with_ordinal
@@ -29,7 +28,6 @@ def label_to_key(
     key_column: str,
     label: str = "label",
     key: str = "id",
-    small: bool | None = None,
 ) -> DataFrame:
     """Replace a label column by the key of that label in a lookup.
 
@@ -41,7 +39,6 @@ def label_to_key(
     for needed in (label, key):
         if needed not in lookup.columns:
             raise ValueError(f"lookup column not found: {needed}")
-    small = is_bounded(lookup) if small is None else small
     keys = first_per_key(
         lookup.where(F.col(label).isNotNull()).select(
             F.col(label).alias(column), F.col(key).alias(key_column)
@@ -49,7 +46,7 @@ def label_to_key(
         [column],
     )
     place = [key_column if c == column else c for c in df.columns]
-    return lookup_join(df, keys, [column], small).select(*place)
+    return lookup_join(df, keys, [column]).select(*place)
 
 
 def extract_lookup(

@@ -21,7 +21,6 @@ from ..functions.counts import (
 )
 from ..functions.places import barangay_name, place_name, region_name
 from ..functions.text import fold, title_words
-from ..session import is_bounded
 from .distinct import first_per_key
 from .joins import lookup_join, per_distinct
 from .ordinals import with_group_ordinal
@@ -86,12 +85,10 @@ def attach_region(
     meta: DataFrame,
     codes: DataFrame,
     aliases: dict[str, str | None],
-    small: bool | None = None,
 ) -> DataFrame:
     """Add ``psgc_region_id``; rows whose region has no code are dropped."""
-    small = is_bounded(codes) if small is None else small
     keyed = meta.withColumn("_region", region_name(F.col("region")))
-    found = lookup_join(keyed, region_lookup(codes, aliases), ["_region"], small)
+    found = lookup_join(keyed, region_lookup(codes, aliases), ["_region"])
     matched = found.where("psgc_region_id IS NOT NULL").drop("_region")
     return leading_columns(
         matched, ["region", "psgc_region_id", "school_id", "school_name"]
@@ -133,11 +130,10 @@ def province_lookups(codes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
 
 
 def attach_province(
-    meta: DataFrame, codes: DataFrame, small: bool | None = None
+    meta: DataFrame, codes: DataFrame
 ) -> DataFrame:
     """Add ``psgc_provhuc_id``: city, then sub-municipality, then the region's
     own municipality, then province.  Two texts have fixed codes."""
-    small = is_bounded(codes) if small is None else small
     cities, provinces, per_region = province_lookups(codes)
     keyed = meta.select(
         "*",
@@ -145,9 +141,9 @@ def attach_province(
         place_name(F.col("province")).alias("_province"),
         place_name(F.col("municipality")).alias("_municipality"),
     )
-    keyed = lookup_join(keyed, cities, ["_scope", "_municipality"], small)
-    keyed = lookup_join(keyed, provinces, ["_scope", "_province"], small)
-    keyed = lookup_join(keyed, per_region, ["_scope"], small)
+    keyed = lookup_join(keyed, cities, ["_scope", "_municipality"])
+    keyed = lookup_join(keyed, provinces, ["_scope", "_province"])
+    keyed = lookup_join(keyed, per_region, ["_scope"])
     found = keyed.select(
         *meta.columns,
         F.coalesce("_huc", "_submun", "_only", "_prov").alias("psgc_provhuc_id"),
@@ -202,9 +198,8 @@ def municipality_lookup(codes: DataFrame) -> DataFrame:
 
 
 def attach_municipality(
-    meta: DataFrame, codes: DataFrame, small: bool | None = None
+    meta: DataFrame, codes: DataFrame
 ) -> DataFrame:
-    small = is_bounded(codes) if small is None else small
     keyed = meta.select(
         "*",
         F.coalesce(province_scope(F.col("psgc_provhuc_id")), F.lit(ANYWHERE)).alias(
@@ -213,7 +208,7 @@ def attach_municipality(
         place_name(F.col("municipality")).alias("_municipality"),
     )
     found = lookup_join(
-        keyed, municipality_lookup(codes), ["_scope", "_municipality"], small
+        keyed, municipality_lookup(codes), ["_scope", "_municipality"]
     )
     return found.select(*meta.columns, "psgc_muni_id")
 
@@ -222,9 +217,8 @@ def attach_municipality(
 
 
 def attach_barangay(
-    meta: DataFrame, codes: DataFrame, small: bool | None = None
+    meta: DataFrame, codes: DataFrame
 ) -> DataFrame:
-    small = is_bounded(codes) if small is None else small
     lookup = (
         codes.where("geo = 'Bgy'")
         .groupBy(
@@ -238,7 +232,7 @@ def attach_barangay(
         municipality_part(F.col("psgc_muni_id")).alias("_scope"),
         barangay_name(F.col("barangay")).alias("_barangay"),
     )
-    found = lookup_join(keyed, lookup, ["_scope", "_barangay"], small)
+    found = lookup_join(keyed, lookup, ["_scope", "_barangay"])
     return found.select(*meta.columns, "psgc_brgy_id")
 
 
@@ -253,15 +247,14 @@ def correction_table(spark: SparkSession, rules: list[dict[str, str]]) -> DataFr
 
 
 def correct_barangays(
-    meta: DataFrame, codes: DataFrame, rules: DataFrame, small: bool | None = None
+    meta: DataFrame, codes: DataFrame, rules: DataFrame
 ) -> DataFrame:
     """Rename barangays that have no code, by rule, and give them their code.
 
     A rule names a municipality code, an old and a new barangay name; of
     several rules for one place the one with the least ``position`` counts.
     Rules are joined to codes once, so a table of rules costs one join and not
-    one pass per rule.  ``small`` tells whether rules and codes are both known
-    to fit a broadcast.
+    one pass per rule.
     """
     first = (
         rules.groupBy("psgc_muni_id", F.upper("old").alias("_old"))
@@ -282,13 +275,12 @@ def correct_barangays(
         )
         .agg(_least(F.col("id"), "_found"))
     )
-    small = is_bounded(codes) and is_bounded(rules) if small is None else small
-    resolved = lookup_join(first, named, ["_scope", "_upper"], small).select(
+    resolved = lookup_join(first, named, ["_scope", "_upper"]).select(
         "psgc_muni_id", "_old", "_new", "_found"
     )
     open_name = F.when(F.col("psgc_brgy_id").isNull(), F.upper("barangay"))
     found = lookup_join(
-        meta.withColumn("_old", open_name), resolved, ["psgc_muni_id", "_old"], small
+        meta.withColumn("_old", open_name), resolved, ["psgc_muni_id", "_old"]
     )
     return found.withColumns(
         {
@@ -305,7 +297,6 @@ def backfill_special_area(
     old_code: str = SPECIAL_AREA_OLD_CODE,
     area: str = SPECIAL_AREA,
     region: str = BANGSAMORO_REGION,
-    small: bool | None = None,
 ) -> DataFrame:
     """Codes, by barangay name alone, for rows without municipality or barangay.
 
@@ -313,7 +304,6 @@ def backfill_special_area(
     code prefixes mark them.  ``restrict`` limits the rows to the region the
     area belongs to; without it any row may be moved there.
     """
-    small = is_bounded(codes) if small is None else small
     lookup = (
         codes.where(
             (F.col("geo") == "Bgy")
@@ -327,7 +317,7 @@ def backfill_special_area(
     if restrict:
         is_open = is_open & (F.col("psgc_region_id") == region)
     keyed = meta.withColumn("_barangay", F.when(is_open, fold(F.col("barangay"))))
-    found = lookup_join(keyed, lookup, ["_barangay"], small)
+    found = lookup_join(keyed, lookup, ["_barangay"])
     hit = F.col("_area_id").isNotNull()
     return found.withColumns(
         {
@@ -383,10 +373,9 @@ def region_list(meta: DataFrame) -> DataFrame:
 
 
 def province_list(
-    meta: DataFrame, codes: DataFrame, small: bool | None = None
+    meta: DataFrame, codes: DataFrame
 ) -> DataFrame:
     """Provinces that occur in the table, with official id, name and region."""
-    small = is_bounded(codes) if small is None else small
     used = (
         meta.select(
             F.substring(digits_only(F.col("psgc_provhuc_id")), 1, 5).alias("_province")
@@ -407,9 +396,9 @@ def province_list(
         .groupBy(region_part(F.col("id")).alias("_region"))
         .agg(_least(F.col("id"), "region_id"))
     )
-    known = lookup_join(used, provinces, ["_province"], small).where("id IS NOT NULL")
+    known = lookup_join(used, provinces, ["_province"]).where("id IS NOT NULL")
     keyed = known.withColumn("_region", region_part(F.col("id")))
-    return lookup_join(keyed, regions, ["_region"], small).select(
+    return lookup_join(keyed, regions, ["_region"]).select(
         "id", "name", "region_id"
     )
 
@@ -421,15 +410,14 @@ ADDRESS = ["region", "province", "municipality", "barangay"]
 
 def match_addresses(addresses: DataFrame, codes: DataFrame, rules: dict) -> DataFrame:
     """Place codes for a table of address texts: every step in order."""
-    small = is_bounded(codes)
-    matched = attach_region(addresses, codes, rules.get("region_psgc_map", {}), small)
-    matched = attach_province(matched, codes, small)
-    matched = attach_municipality(matched, codes, small)
-    matched = attach_barangay(matched, codes, small)
+    matched = attach_region(addresses, codes, rules.get("region_psgc_map", {}))
+    matched = attach_province(matched, codes)
+    matched = attach_municipality(matched, codes)
+    matched = attach_barangay(matched, codes)
     if corrections := rules.get("barangay_corrections"):
         table = correction_table(codes.sparkSession, corrections)
-        matched = correct_barangays(matched, codes, table, small)
-    matched = backfill_special_area(matched, codes, small=small)
+        matched = correct_barangays(matched, codes, table)
+    matched = backfill_special_area(matched, codes)
     return matched.withColumn("province", title_words(F.col("province")))
 
 

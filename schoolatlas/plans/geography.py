@@ -12,7 +12,6 @@ from ..operators.joins import lookup_join
 from ..operators.matching import PLACE_IDS
 from ..operators.ordinals import with_ordinal
 from ..operators.quality import require_rows
-from ..session import is_bounded
 from ..sources.layouts import PLACE_COLUMNS, PLACE_POSITIONS, PLACE_SHEET
 from ..sources.workbook import cells_at, read_workbooks
 
@@ -75,7 +74,7 @@ def address_bridge(hashed: DataFrame, dimension: DataFrame) -> DataFrame:
 def with_coordinates(meta: DataFrame, coordinates: DataFrame) -> DataFrame:
     """Longitude and latitude by school; a school listed twice counts once."""
     one = first_per_key(coordinates, ["school_id"])
-    return lookup_join(meta, one, ["school_id"], is_bounded(coordinates))
+    return lookup_join(meta, one, ["school_id"])
 
 
 def geography(

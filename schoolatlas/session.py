@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A lookup with at most this many rows is sent to every task; a larger one is
-# joined by shuffle.  At some 200 bytes a row this is about 40 MB.
-BROADCAST_ROWS = 200_000
-
 
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName("schoolatlas")
@@ -26,19 +22,26 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The application's folder where driver and executors all see the same files."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Write the rows to the cluster's shared checkpoint folder.
+    """Write the rows to the shared folder as Parquet and read them from there.
 
-    The copy survives lost executors and is computed once.  A folder of our own
-    is set only where the cluster names none, as in local tests.
+    The copy survives lost executors, is computed once and has statistics.
+    ``clear_durable`` removes the application's copies at the end of a job.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="schoolatlas-"))
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def is_bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most ``rows`` rows (Parquet answers from footers)."""
-    return df.count() <= rows
+def clear_durable(spark: SparkSession) -> None:
+    """Delete all that ``durable`` has written for this application."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,7 +4,7 @@ from schoolatlas.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[8]",
         **{
@@ -13,5 +13,7 @@ def spark():
             "spark.log.level": "ERROR",
         },
     )
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
