@@ -32,7 +32,7 @@ def melt_sheet(rows: DataFrame) -> DataFrame:
     taken = rows.select(
         "school_year",
         school_id_text(F.element_at("values", 1)).alias("school_id"),
-        F.posexplode(F.slice(cells, 2, 16384)).alias("col_pos", "cell"),
+        F.posexplode(F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 1, F.lit(0)))).alias("col_pos", "cell"),
         "source_file",
         "source_row",
     )
@@ -68,9 +68,11 @@ def latest_facts(valid: DataFrame) -> DataFrame:
     return picked.select(*FACTS)
 
 
-def dropout_metrics(parsed: DataFrame) -> DataFrame:
+def dropout_metrics(parsed: DataFrame, read: DataFrame | None = None) -> DataFrame:
     """One row of run counters, in two small aggregates.
 
+    ``read`` names the files read (``source_file``), those without a count too.
+
     Rows are counted per key before anything is compared across the table, so
     the number of duplicates needs no distinct over wide rows.
     """
@@ -78,9 +80,12 @@ def dropout_metrics(parsed: DataFrame) -> DataFrame:
     per_key = parsed.groupBy("source_file", ok.alias("ok"), *KEY).agg(
         F.count("*").alias("rows")
     )
+    if read is not None:
+        files = read.select("source_file").distinct().withColumn("rows", F.lit(0).cast("bigint"))
+        per_key = per_key.unionByName(files, allowMissingColumns=True)
     return per_key.agg(
         F.count_distinct("source_file").alias("dropouts_files"),
-        F.sum("rows").alias("dropouts_rows_melted"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("dropouts_rows_melted"),
         F.count_if("ok").alias("dropouts_valid_rows"),
         F.coalesce(F.sum(F.when(~F.col("ok"), F.col("rows"))), F.lit(0)).alias(
             "dropouts_invalid_rows"
@@ -97,7 +102,9 @@ def dropout_tables(
     """Facts, rejects and metrics of one ``<year>-dropouts.xlsx`` per layout."""
     paths = [f"{folder.rstrip('/')}/{l.school_year}-dropouts.xlsx" for l in layouts]
     # Parsed once and stored: headers, facts, rejects and metrics all read it.
-    grid = durable(read_workbooks(spark, paths, sorted({l.sheet for l in layouts})))
+    # A workbook is read by one task; its rows are spread before anything else.
+    grid = read_workbooks(spark, paths, sorted({l.sheet for l in layouts}))
+    grid = durable(grid.repartition("source_file", "row_idx"))
     check_sheets(grid, layouts)
     parsed = melt_sheet(labelled_rows(grid, layouts, parse=dropout_label))
     valid, rejected = judge(parsed)
@@ -106,5 +113,5 @@ def dropout_tables(
     return {
         "dropouts": latest_facts(stamped),
         "dropout_rejects": rejected,
-        "dropout_metrics": dropout_metrics(parsed),
+        "dropout_metrics": dropout_metrics(parsed, grid),
     }

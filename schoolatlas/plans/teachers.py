@@ -57,7 +57,8 @@ def teacher_tables(
     spark: SparkSession, folder: str, layouts: list[Layout] = TEACHER_LAYOUTS
 ) -> dict[str, DataFrame]:
     """Headcounts and rejects of every workbook of a folder."""
-    grid = durable(read_workbooks(spark, folder, sorted({l.sheet for l in layouts})))
+    grid = read_workbooks(spark, folder, sorted({l.sheet for l in layouts}))
+    grid = durable(grid.repartition("source_file", "row_idx"))
     require_rows(grid, f"teacher workbooks in {folder}")
     check_sheets(grid, layouts)
     facts, rejected = judge_teachers(melt_teachers(labelled_rows(grid, layouts)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..contracts import CONTRACTS
 from ..operators.distinct import last_per_key
@@ -13,7 +14,8 @@ from ..operators.keys import (
     with_surrogate_key,
 )
 from ..operators.matching import match_places
-from ..operators.quality import require_contract
+from ..operators.quality import geography_orphans, orphans, require_contract
+from ..operators.reshape import union_all
 from ..sources.csv_folder import read_coordinates
 from ..sources.rules import load_rules, region_names, seed_tables
 from .dropouts import dropout_tables
@@ -47,6 +49,29 @@ def store_if_any(df: DataFrame, folder: str, name: str, partition: str | None =
     return None if df.isEmpty() else store(df, folder, name, partition)
 
 
+#: Audit tables by the name of what they audit: stored with ``audit_`` before the name.
+AUDITS = ["invalid_counts", "csv_rejects", "teacher_rejects", "dropout_rejects", "dropout_metrics"]
+PLACE_KEYS = ["psgc_region_id", "psgc_provhuc_id", "psgc_muni_id", "psgc_brgy_id"]
+
+
+def foreign_key_report(out: dict[str, DataFrame]) -> DataFrame:
+    """(table, key, value, rows): values of foreign keys that their table does not hold."""
+    parents = {
+        "school_year_id": "school_years", "grade_id": "school_grades", "strand_id": "school_strands",
+        "teacher_position_id": "teacher_positions",
+    }
+    found = []
+    for name in ("school_levels", "enroll", "dropouts", "teachers"):
+        for key, parent in parents.items():
+            if name in out and parent in out and key in out[name].columns:
+                missing = orphans(out[name], key, out[parent], "id")
+                found.append(missing.select(F.lit(name).alias("table"), "key", F.col("value").cast("string"), "rows"))
+    places = [c for c in PLACE_KEYS if c in out["geos"].columns]
+    missing = geography_orphans(out["geos"], out["psgc"], places)
+    found.append(missing.select(F.lit("geos").alias("table"), "key", F.col("value").cast("string"), "rows"))
+    return union_all(found)
+
+
 def load_warehouse(
     tables: dict[str, DataFrame],
     seeds: dict[str, DataFrame],
@@ -98,6 +123,10 @@ def load_warehouse(
         )
         out["teacher_positions"] = store(positions, folder, "teacher_positions")
         out["teachers"] = store(numbered(facts), folder, "teachers", year)
+    for name in AUDITS:
+        if name in tables:
+            out[f"audit_{name}"] = store(tables[name], folder, f"audit_{name}")
+    out["audit_foreign_keys"] = store(foreign_key_report(out), folder, "audit_foreign_keys")
     return out
 
 

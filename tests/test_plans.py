@@ -163,6 +163,7 @@ def test_warehouse_tables(built):
         "school_sizes", "school_epochs", "school_grades", "school_years", "school_strands", "school_levels",
         "enroll", "dropouts", "geos", "addr", "psgc", "region_names", "teachers", "teacher_positions",
     }
+    expected |= {f"audit_{name}" for name in (*warehouse.AUDITS, "foreign_keys")}
     assert set(tables) == expected
     assert all((base / "out" / name / "_SUCCESS").exists() for name in expected)
 
