@@ -90,11 +90,9 @@ def school_id_from(lis: Column, beis: Column) -> Column:
 
 
 def place_code(col: Column) -> Column:
-    """Code of a place as ten digits.  Longer numbers are kept, not cut."""
+    """Code of a place as ten digits; a longer number is no code."""
     digits = F.when(col.rlike(DECIMAL), col.try_cast("decimal(20,0)")).cast("string")
-    return F.when(F.length(digits) >= CODE_LENGTH, digits).otherwise(
-        F.lpad(digits, CODE_LENGTH, "0")
-    )
+    return F.when(F.length(digits) <= CODE_LENGTH, F.lpad(digits, CODE_LENGTH, "0"))
 
 
 def region_part(code: Column) -> Column:
@@ -115,9 +113,9 @@ def municipality_of(code: Column) -> Column:
 
 
 def _ten_digits(code: Column) -> Column:
-    digits = digits_only(code)
+    digits = F.ltrim(digits_only(code), F.lit("0"))
     return F.when(
-        digits != "", F.substring(F.lpad(digits, 20, "0"), -CODE_LENGTH, CODE_LENGTH)
+        (digits_only(code) != "") & (F.length(digits) <= CODE_LENGTH), F.lpad(digits, CODE_LENGTH, "0")
     )
 
 

@@ -67,7 +67,7 @@ def _layout_2022(label: Column) -> Column:
 def _layout_2023(label: Column) -> Column:
     """``Grade 4 Female``, ``Kindergarten Male``, ``Non-Graded Male``."""
     lower = F.lower(label)
-    number = F.regexp_extract(lower, r"(?U)^grade\s+(1[0-2]|[1-9])", 1)
+    number = F.regexp_extract(lower, r"(?U)^grade\s+(1[0-2]|[1-9])(?!\d)", 1)
     grade = (
         F.when(lower.startswith("kindergarten"), "kinder")
         .when(lower.startswith("non-graded"), "esng")

@@ -119,7 +119,7 @@ def labelled_rows(
             "level",
             F.when(F.col("id_label") == "", F.col("chosen"))
             .otherwise(
-                F.concat(F.array("id_label"), F.slice("chosen", 2, 16384))
+                F.concat(F.array("id_label"), F.slice("chosen", F.lit(2), F.greatest(F.size("chosen") - 1, F.lit(0))))
             )
             .alias("column_labels"),
             "style",
