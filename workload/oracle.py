@@ -473,8 +473,8 @@ SQL["q39_null_counts"] = _with(s=inputs.SCHOOLS) + "SELECT " + ", ".join(
 SQL["q39_duplicate_keys"] = _with(y=inputs.SCHOOL_YEARS) + """
 SELECT school_id, school_year, count(*) AS rows_seen FROM y GROUP BY ALL HAVING count(*) > 1"""
 SQL["q40_orphans"] = """
-SELECT 'l_orderkey' AS key, l_orderkey AS value, count(*) AS rows_seen FROM lineitem
-WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 7 <> 0) GROUP BY l_orderkey"""
+SELECT 'l_orderkey' AS key, -l_orderkey - 1 AS value, count(*) AS rows_seen FROM lineitem
+WHERE l_orderkey % 7 = 0 GROUP BY l_orderkey"""
 SQL["q40_place_orphans"] = _MATCHED + f""", u AS (UNPIVOT (SELECT {_IDS} FROM m4) ON {_IDS} INTO NAME key VALUE value)
 SELECT key, value, count(*) AS rows_seen FROM u
 WHERE value NOT IN (SELECT id FROM codes WHERE geo NOT IN ('SubMun', 'Reg')) GROUP BY ALL"""
@@ -508,3 +508,9 @@ SELECT id, CASE WHEN geo = 'Prov' THEN coalesce(nullif(old_names, '-'), name) EL
   nullif(old_names, '-') AS old_names, coalesce(nullif(city_class, '-'), '') AS city_class,
   CASE WHEN geo = 'Mun' THEN cc ELSE '' END AS income_class, CAST(NULL AS VARCHAR) AS urban_rural, '' AS status
 FROM codes"""
+SQL["q48_csv_lines"] = """
+SELECT o_orderkey, o_orderkey % 10 IN (3, 7) AS rejected,
+  CASE WHEN NOT rejected THEN CAST(o_orderkey AS VARCHAR) END AS school_id,
+  CASE WHEN NOT rejected THEN 'Order "' || o_orderpriority || '", no. ' || o_orderkey END AS school_name,
+  CASE WHEN NOT rejected THEN o_orderstatus END AS status
+FROM orders"""

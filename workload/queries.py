@@ -11,11 +11,12 @@ from schoolatlas.functions import counts, labels, places, school_names, text
 from schoolatlas.operators import cleaning, distinct, joins, keys, matching, quality, reshape
 from schoolatlas.plans import analysis, dropouts, enrollment, geography, teachers
 from schoolatlas.session import durable
+from schoolatlas.sources import csv_folder
 from schoolatlas.sources import rules as rule_files
 from schoolatlas.sources.sheets import column_indexes
 
 from . import inputs
-from .inputs import derive, spread, table
+from .inputs import derive, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -234,7 +235,7 @@ def q15_header_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q16_column_ranges(spark: SparkSession, sf: str) -> DataFrame:
-    lines = spread(table(spark, sf, "lineitem"))
+    lines = table(spark, sf, "lineitem")
     columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]
     cells = lines.select(F.array(*[F.col(c).cast("string") for c in columns]).alias("cells"))
     chosen = column_indexes(" F, a:B,D:d,,I ")
@@ -295,7 +296,7 @@ def q19_place_names(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q20_title_case(spark: SparkSession, sf: str) -> DataFrame:
-    documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    documents = table(spark, sf, "documents").select("doc_id", "text")
     return documents.select("doc_id", text.title_words(F.col("text")).alias("title"))
 
 
@@ -353,10 +354,9 @@ def _in_region(spark: SparkSession, sf: str, codes: DataFrame) -> DataFrame:
 
 
 def _in_barangay(spark: SparkSession, sf: str, codes: DataFrame) -> DataFrame:
-    small = joins.is_bounded(codes)
-    matched = matching.attach_province(_in_region(spark, sf, codes), codes, small)
-    matched = matching.attach_municipality(matched, codes, small)
-    return matching.attach_barangay(matched, codes, small)
+    matched = matching.attach_province(_in_region(spark, sf, codes), codes)
+    matched = matching.attach_municipality(matched, codes)
+    return matching.attach_barangay(matched, codes)
 
 
 @query
@@ -574,8 +574,10 @@ def q39_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q40_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    orders = table(spark, sf, "orders").where("o_orderkey % 7 <> 0")
+    # The lines of every seventh order point at an order that is not there.
+    key = F.when(F.col("l_orderkey") % 7 == 0, -F.col("l_orderkey") - 1).otherwise(F.col("l_orderkey"))
+    lines = table(spark, sf, "lineitem").select(key.alias("l_orderkey"), "l_partkey")
+    orders = table(spark, sf, "orders")
     found = quality.orphans(lines, "l_orderkey", orders, "o_orderkey")
     return found.withColumnRenamed("rows", "rows_seen")
 
@@ -584,9 +586,9 @@ def q40_orphans(spark: SparkSession, sf: str) -> DataFrame:
 def q40_place_orphans(spark: SparkSession, sf: str) -> DataFrame:
     codes = _codes(spark, sf)
     matched = _in_barangay(spark, sf, codes)
-    found = quality.geography_orphans(
-        matched, codes.where("geo <> 'SubMun' AND geo <> 'Reg'"), matching.PLACE_IDS
-    )
+    # Regions and sub-municipalities are known by other ids, so those in use are orphans.
+    renamed = F.when(F.col("geo").isin("SubMun", "Reg"), F.concat(F.lit("x"), "id")).otherwise(F.col("id"))
+    found = quality.geography_orphans(matched, codes.withColumn("id", renamed), matching.PLACE_IDS)
     return found.withColumnRenamed("rows", "rows_seen")
 
 
@@ -628,7 +630,7 @@ def q43_sample_rows(spark: SparkSession, sf: str) -> DataFrame:
 def q45_seed_tables(spark: SparkSession, sf: str) -> DataFrame:
     grades = rule_files.seed_tables(spark)["school_grades"]
     parts = reshape.with_label_parts(derive(spark, sf, inputs.LABELS), "label")
-    keyed = keys.label_to_key(parts.select("grade"), "grade", grades, "grade_id", small=True)
+    keyed = keys.label_to_key(parts.select("grade"), "grade", grades, "grade_id")
     return keyed.groupBy("grade_id").agg(F.count("*").alias("rows_seen"))
 
 
@@ -638,7 +640,7 @@ def q45_region_aliases(spark: SparkSession, sf: str) -> DataFrame:
     used = derive(spark, sf, inputs.SCHOOL_IDS).select(
         F.rpad(counts.region_part(counts.place_code(F.col("code"))), 10, "0").alias("psgc_region_id")
     ).groupBy("psgc_region_id").agg(F.count("*").alias("schools"))
-    return joins.lookup_join(used, names, ["psgc_region_id"], small=True)
+    return joins.lookup_join(used, names, ["psgc_region_id"])
 
 
 @query
@@ -665,3 +667,25 @@ def q47_reference_province_name(spark: SparkSession, sf: str) -> DataFrame:
     return geography.clean_place_codes(raw).select(
         "id", "name", "old_names", "city_class", "income_class", "urban_rural", "status"
     )
+
+
+@query
+def q48_csv_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines as registers write them, read with the options of the CSV sources."""
+    name = F.concat(F.lit('Order "'), F.col("o_orderpriority"), F.lit('", no. '), F.col("o_orderkey").cast("string"))
+    quoted = F.concat(F.lit('"'), F.replace(name, F.lit('"'), F.lit('""')), F.lit('"'))
+    key = F.col("o_orderkey").cast("string")
+    line = (
+        F.when(F.col("o_orderkey") % 10 == 3, F.concat_ws(",", key, quoted, "o_orderstatus", F.lit("extra")))
+        .when(F.col("o_orderkey") % 10 == 7, F.concat_ws(",", key, quoted))
+        .otherwise(F.concat_ws(",", key, quoted, "o_orderstatus"))
+    )
+    schema = f"school_id string, school_name string, status string, {csv_folder.BAD_LINE} string"
+    parsed = F.from_csv(line, schema, csv_folder.OPTIONS)
+    lines = table(spark, sf, "orders").select("o_orderkey", parsed.alias("p"))
+    fits = F.col("p")[csv_folder.BAD_LINE].isNull()
+    return lines.select(
+        "o_orderkey",
+        (~fits).alias("rejected"),
+        *[F.when(fits, F.col("p")[c]).alias(c) for c in ("school_id", "school_name", "status")],
+    )
