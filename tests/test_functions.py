@@ -300,3 +300,16 @@ def test_school_names_are_stable(spark, values):
         if ends:
             rank = types.index(ends[0])
             assert any(t in before.split() for t in types[:rank])
+
+
+def test_grade_numbers_end_where_digits_end(spark):
+    rows = spark.createDataFrame([("Grade 13 Male",), ("Grade 12 Male",), ("Grade 1 Female",)], "label string")
+    found = [r["p"] and r["p"]["grade"] for r in rows.select(labels.dropout_label(F.col("label"), "2023").alias("p")).collect()]
+    assert found == [None, "g12", "g1"]
+
+
+def test_long_codes_are_no_codes(spark):
+    rows = spark.createDataFrame([("13740400001",), ("1374040000",), ("00000001374040000",)], "c string")
+    found = rows.select(counts.place_code(F.col("c")).alias("a"), counts.province_scope(F.col("c")).alias("b")).collect()
+    assert found[0]["a"] is None and found[0]["b"] is None
+    assert found[1]["a"] == found[2]["a"] == "1374040000" and found[1]["b"] == found[2]["b"] is not None
