@@ -26,15 +26,21 @@ def _lyndon_groups(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray
     rows, width = symbols.shape
     column = np.arange(width)
     padded = column >= lengths[:, None]
-    keyed = np.where(padded, np.iinfo(np.int32).max, symbols)
+    keyed = np.where(padded, np.iinfo(np.int16).max, symbols).astype(np.int16)
     order = np.argsort(keyed, axis=1, kind="stable")
     sorted_keys = np.take_along_axis(keyed, order, 1)
     new = np.ones((rows, width), bool)
     new[:, 1:] = sorted_keys[:, 1:] != sorted_keys[:, :-1]
-    start = np.maximum.accumulate(np.where(new, column, 0), axis=1)
+    start = np.maximum.accumulate(np.where(new, column, 0).astype(np.int32), axis=1)
     group = np.empty((rows, width), np.int32)
-    np.put_along_axis(group, order, start.astype(np.int32), 1)
+    np.put_along_axis(group, order, start, 1)
     group[padded] = width + 1
+    base = np.arange(rows) * width
+    # sorted_by[slot] is the suffix in a slot of the array so far, slot_of its inverse, both over all rows.
+    sorted_by = (order + base[:, None]).ravel()
+    slot_of = np.empty(rows * width, np.int64)
+    slot_of[sorted_by] = np.arange(rows * width)
+    moving = np.zeros(rows * width, bool)
     # end_of[row, first place of a group] is its last place; start_at[row, last place] is the first.
     last = np.ones((rows, width), bool)
     last[:, :-1] = new[:, 1:]
@@ -45,18 +51,17 @@ def _lyndon_groups(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray
     start_at[r * width + c] = start[r, c]
     group = group.ravel()
     previous = np.full(rows * width, -1, np.int32)
-    base = np.arange(rows) * width
-    target = start_at[base + lengths - 1].astype(np.int32)
-    matrix = group.reshape(rows, width)
-    while True:
-        r, c = np.nonzero(matrix == target[:, None])
-        if not len(r):
-            break
-        at, row = r * width + c, r * width
-        mine = target[r]
-        now = (c - 1).astype(np.int32)
+    target = start_at[base + lengths - 1].astype(np.int64)
+    active = np.arange(rows)
+    while len(active):
+        first = base[active] + target
+        sizes = end_of[first] - target + 1
+        mine = np.repeat(target, sizes)
+        row = np.repeat(base[active], sizes)
+        at = sorted_by[np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(mine))]
+        now = (at - row - 1).astype(np.int32)
         previous[at] = now
-        going = np.arange(len(r))
+        going = np.arange(len(at))
         while True:  # an equal member's pointer, if not final, is still not before the one sought
             going = going[now[going] >= 0]
             there = row[going] + now[going]
@@ -92,8 +97,21 @@ def _lyndon_groups(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray
             end_of[row_base[of] + begins] = ends
             start_at[row_base[of] + ends] = begins
             group[parent] = np.repeat(begins, size)
-        before = target - 1
-        target = np.where(before >= 0, start_at[base + np.maximum(before, 0)], -2).astype(np.int32)
+            # The moved go to the last slots of their old group, what stood there to the slots they leave.
+            tail = np.repeat(row_base + rest + 1 - whole, moved) + np.arange(len(parent))
+            moving[parent] = True
+            stood = sorted_by[tail]
+            stood = stood[~moving[stood]]
+            moving[parent] = False
+            left = slot_of[parent]
+            left = left[left < np.repeat(row_base + rest + 1, moved)]
+            sorted_by[left] = stood
+            slot_of[stood] = left
+            sorted_by[tail] = parent
+            slot_of[parent] = tail
+        on = target > 0
+        active = active[on]
+        target = start_at[base[active] + target[on] - 1].astype(np.int64)
     return group, previous
 
 

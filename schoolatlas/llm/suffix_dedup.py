@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schoolatlas.llm.common import mix, prefix_sums, ship, slices, span_hashes, store, text_bytes
+from schoolatlas.llm.common import every_span, mix, prefix_sums, ship, slices, span_hashes, store, text_bytes
 from schoolatlas.llm.suffix_array import suffix_arrays
 
 LENGTH, SEED = 50, 24
@@ -45,7 +45,9 @@ BUCKET_BYTES = 8 << 20
 #: Anchors a byte, a little above what random hashes give.
 DENSITY = 0.08
 SLICE = 1 << 20
-BATCH_CELLS = 1 << 20
+BATCH_CELLS = 1 << 21
+#: Places that fit below a hash's upper bits.
+PIECE = 1 << 20
 NO_ID = np.iinfo(np.int64).max
 _TAG = np.uint64(0xA24BAED4963EE407)
 _LOW40 = np.uint64((1 << 40) - 1)
@@ -54,14 +56,24 @@ ship(__name__)
 
 
 def _least(values: np.ndarray, window: int) -> np.ndarray:
-    """Place of the first least value among each ``window`` consecutive ones."""
-    best, place, span = values, np.arange(len(values)), 1
-    while 2 * span <= window:
-        later = best[span:] < best[:-span]
-        best, place = np.where(later, best[span:], best[:-span]), np.where(later, place[span:], place[:-span])
-        span *= 2
-    n, shift = len(values) - window + 1, window - span
-    return np.where(best[shift : shift + n] < best[:n], place[shift : shift + n], place[:n])
+    """Place of the first least value among each ``window`` consecutive ones.
+
+    Values are compared by their upper bits, so that a place fits below them; pieces overlap by a window.
+    """
+    out = np.empty(len(values) - window + 1, np.int64)
+    step = PIECE - window
+    for at in range(0, len(out), step):
+        piece = values[at : at + step + window - 1]
+        best = (piece & ~np.uint64(PIECE - 1)) | np.arange(len(piece), dtype=np.uint64)
+        span = 1
+        while 2 * span <= window:
+            best = np.minimum(best[:-span], best[span:])
+            span *= 2
+        n, shift = len(piece) - window + 1, window - span
+        best = np.minimum(best[:n], best[shift : shift + n])
+        out[at : at + n] = (best & np.uint64(PIECE - 1)).astype(np.int64)
+        out[at : at + n] += at
+    return out
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -73,10 +85,9 @@ def runs(data: np.ndarray, offsets: np.ndarray, heavy: np.ndarray) -> tuple[np.n
     if len(data) < LENGTH:
         return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
     sums = prefix_sums(data)
-    place = np.arange(len(data) - SEED + 1)
-    seeds = span_hashes(sums, place, place + SEED)
+    seeds = every_span(sums, SEED)
     anchor = _least(seeds, LENGTH - SEED + 1)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    row = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     window = np.flatnonzero(row[: len(anchor)] == row[LENGTH - 1 :][: len(anchor)])
     anchor = anchor[window]
     new = np.ones(len(window), bool)
