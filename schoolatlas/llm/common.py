@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import sys
-import uuid
 from collections.abc import Iterator
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +11,9 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from schoolatlas.session import clear_durable as clear_store  # noqa: F401
+from schoolatlas.session import durable as store  # noqa: F401
+
 #: A word is a longest run of code points outside space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts are handed to numpy in slices of about so many bytes.
@@ -34,31 +35,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, from ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
-
-
-def store(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder as Parquet and read them from there.
-
-    What is read twice is computed once, and a lost executor costs no recomputation.
-    ``clear_store`` removes the folder of the application at the end of a job.
-    """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def clear_store(spark: SparkSession) -> None:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def n_words(text: Column) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
