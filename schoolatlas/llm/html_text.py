@@ -54,7 +54,7 @@ DROPPED_ROLES = frozenset(
 DROPPED_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising advertorial adslot adsense banner sponsor sponsored promo promotion "
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar sidenav widget widgets footer header masthead topbar "
-    "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login "
+    "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login "
     "share sharing social related recommended comment comments commentlist disqus respond reply replies discussion "
     "form search pagination pager skip".split()
 )
@@ -94,7 +94,8 @@ def _unwanted(tag: str, attributes: str, in_main: bool) -> bool:
         return True
     names = found.get("class", "") + " " + found.get("id", "")
     parts = _NAME.findall(names.lower()) + _NAME.findall(_HUMP.sub(r"\1 \2", names).lower())
-    return not DROPPED_NAMES.isdisjoint(parts)
+    # An article's own header holds its title.
+    return not DROPPED_NAMES.isdisjoint(p for p in parts if not (in_main and p == "header"))
 
 
 class _Element:

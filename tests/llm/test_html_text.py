@@ -49,6 +49,7 @@ def test_unwanted_parts():
     )
     assert parse(body)[0] == ["kept"]
     assert parse("<article><header><h2>Title</h2><p>by me</p></header><p>text</article>")[0] == ["Title", "text"]
+    assert parse("<article><div class='post-header'><h1>T</h1></div><p>x</article>")[0] == ["T", "x"]
     assert parse("a<br>b <i>c</i>d<ul><li>e<li>f</ul><table><tr><td>g<td>h</table>")[0] == ["a b cd", "e", "f", "g", "h"]
     assert parse("<p title='a>b'>x</p><textarea><p>y</textarea><!-- <p>z -->")[0] == ["x"]
     assert parse("<p>&#233;&nbsp;&amp;lt;</p>")[0] == ["é &lt;"]
