@@ -27,6 +27,7 @@ HEADLINE = [
     "q13_forward_fill",
     "q16_column_ranges",
     "q18_region_names",
+    "q19_place_names",
     "q20_title_case",
     "q21_school_names",
     "q26_barangay",
@@ -41,6 +42,8 @@ HEADLINE = [
     "q39_quality_metrics",
     "q40_orphans",
     "q41_schools_per_year",
+    "q42_unmatched_names",
+    "q48_csv_lines",
 ]
 
 

@@ -28,68 +28,75 @@ class Contract:
 
 
 def _contract(
-    name: str, key: str, required: str, optional: str = "", **types: DataType
+    name: str, key: list[str], required: list[str], columns: list[str], **types: DataType
 ) -> Contract:
     """Columns are text unless a type is given by name."""
-    fields = [
-        StructField(column, types.get(column, StringType()), nullable)
-        for columns, nullable in ((required, False), (optional, True))
-        for column in columns.split()
-    ]
-    return Contract(name, StructType(fields), tuple(key.split()))
-
+    fields = [StructField(c, types.get(c, StringType()), c not in required) for c in columns]
+    return Contract(name, StructType(fields), tuple(key))
 
-_PLACE = "psgc_region_id psgc_provhuc_id psgc_muni_id psgc_brgy_id"
 
+# The columns of the ten tables, in contract order.
 CONTRACTS: dict[str, Contract] = {
     c.name: c
     for c in [
         _contract(
             "psgc",
-            "id",
-            "id",
-            "name cc geo old_names city_class income_class urban_rural 2024_pop status",
+            key=["id"],
+            required=["id"],
+            columns=[
+                "id", "name", "cc", "geo", "old_names", "city_class", "income_class", "urban_rural", "2024_pop",
+                "status",
+            ],
         ),
         _contract(
             "enrollment",
-            "school_year school_id grade sex strand",
-            "school_year school_id",
-            "grade sex strand num_students",
+            key=["school_year", "school_id", "grade", "sex", "strand"],
+            required=["school_year", "school_id"],
+            columns=["school_year", "school_id", "grade", "sex", "strand", "num_students"],
             num_students=LongType(),
         ),
         _contract(
             "school_year_meta",
-            "school_year school_id",
-            "school_year school_id",
-            "school_name sector school_management annex_status region province"
-            " municipality barangay street_address legislative_district division"
-            " school_district",
+            key=["school_year", "school_id"],
+            required=["school_year", "school_id"],
+            columns=[
+                "school_year", "school_id", "school_name", "sector", "school_management", "annex_status", "region",
+                "province", "municipality", "barangay", "street_address", "legislative_district", "division",
+                "school_district",
+            ],
         ),
         _contract(
             "school_levels",
-            "school_id school_year level",
-            "school_id school_year level",
-            "offered",
+            key=["school_id", "school_year", "level"],
+            required=["school_id", "school_year", "level"],
+            columns=["school_id", "school_year", "level", "offered"],
             offered=BooleanType(),
         ),
         _contract(
             "meta_psgc",
-            "school_id school_year",
-            "school_year school_id",
-            f"{_PLACE} division division_id school_name province municipality barangay",
+            key=["school_id", "school_year"],
+            required=["school_year", "school_id"],
+            columns=[
+                "school_year", "school_id", "psgc_region_id", "psgc_provhuc_id", "psgc_muni_id", "psgc_brgy_id",
+                "division", "division_id", "school_name", "province", "municipality", "barangay",
+            ],
         ),
         _contract(
             "address",
-            "address_id",
-            "school_id school_year _addr_hash address_id",
+            key=["address_id"],
+            required=["school_id", "school_year", "_addr_hash", "address_id"],
+            columns=["school_id", "school_year", "_addr_hash", "address_id"],
             _addr_hash=LongType(),
             address_id=LongType(),
         ),
         _contract(
             "geo",
-            "school_id school_year",
-            "school_id school_year",
-            f"_addr_hash address_id longitude latitude {_PLACE}",
+            key=["school_id", "school_year"],
+            required=["school_id", "school_year"],
+            columns=[
+                "school_id", "school_year", "_addr_hash", "address_id", "longitude", "latitude",
+                "psgc_region_id", "psgc_provhuc_id", "psgc_muni_id", "psgc_brgy_id",
+            ],
             _addr_hash=LongType(),
             address_id=LongType(),
             longitude=DoubleType(),
@@ -97,25 +104,28 @@ CONTRACTS: dict[str, Contract] = {
         ),
         _contract(
             "region_names",
-            "psgc_region_id location",
-            "psgc_region_id location",
-            "roman common other",
+            key=["psgc_region_id", "location"],
+            required=["psgc_region_id", "location"],
+            columns=["psgc_region_id", "roman", "location", "common", "other"],
         ),
         _contract(
             "teachers",
-            "school_year school_id level position",
-            "school_year school_id level position",
-            "num",
+            key=["school_year", "school_id", "level", "position"],
+            required=["school_year", "school_id", "level", "position"],
+            columns=["school_year", "school_id", "level", "position", "num"],
             num=LongType(),
         ),
         _contract(
             "dropouts",
-            "school_year school_id grade sex strand source_file source_row",
-            "school_year school_id grade sex source_file source_row",
-            "strand num_dropouts ingested_at",
+            key=["school_year", "school_id", "grade", "sex", "strand", "source_file", "source_row"],
+            required=["school_year", "school_id", "grade", "sex", "source_file", "source_row"],
+            columns=[
+                "school_year", "school_id", "grade", "strand", "sex", "num_dropouts", "source_file", "source_row",
+                "ingested_at",
+            ],
             source_row=LongType(),
             num_dropouts=LongType(),
             ingested_at=TimestampType(),
         ),
     ]
-}
+}

@@ -345,7 +345,8 @@ def q23_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _codes(spark: SparkSession, sf: str) -> DataFrame:
-    return derive(spark, sf, inputs.PLACE_CODES)
+    """Place codes, stored once as the warehouse job does: every lookup of a query reads them."""
+    return durable(derive(spark, sf, inputs.PLACE_CODES))
 
 
 def _in_region(spark: SparkSession, sf: str, codes: DataFrame) -> DataFrame:
