@@ -14,8 +14,8 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts in a docu
 
 Hot keys are split.  Seeds in a ``HEAVY_PART``-th of all documents or more (found by map-side counts) and
 seeds with more than ``MOST_CONTEXTS`` contexts are replaced by their single windows, each a key of its own
-that needs no array.  Contexts and windows are compared by hashes of 40 bits within a bucket's seed and 64
-bits elsewhere; within the suffix arrays bytes are compared.
+that needs no array.  Contexts are compared by hashes of 40 bits within one seed, single windows always by
+64 bits, in buckets of their own; within the suffix arrays bytes are compared.
 
 Defined cases: a null or empty text has no bytes; a null id is larger than all others and null ids are
 equal; rows of one id never cover each other, rows equal in id and text get equal results; other columns do
@@ -77,13 +77,13 @@ def _least(values: np.ndarray, window: int) -> np.ndarray:
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Per run of windows with one anchor: row, first and last window, seed hash, context hash.
+    """Per run of windows with one anchor: row, first and last window, seed hash, context hash, and if it is single.
 
-    Windows of heavy seeds are runs of one, with the window's hash as seed and context.
+    Windows of heavy seeds are single: runs of one, with the window's hash as seed and context.
     """
     empty = np.zeros(0, np.int64)
     if len(data) < LENGTH:
-        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64), empty.astype(bool)
     sums = prefix_sums(data)
     seeds = every_span(sums, SEED)
     anchor = _least(seeds, LENGTH - SEED + 1)
@@ -96,15 +96,22 @@ def runs(data: np.ndarray, offsets: np.ndarray, heavy: np.ndarray) -> tuple[np.n
     lo, hi, at = window[first], window[np.append(first[1:], len(window)) - 1], anchor[first]
     seed = seeds[at]
     context = span_hashes(sums, lo, hi + LENGTH) ^ mix((at - lo).astype(np.uint64) + _TAG)
+    single = np.zeros(len(seed), bool)
     if len(heavy) and len(seed):
         is_heavy = heavy[np.minimum(np.searchsorted(heavy, seed), len(heavy) - 1)] == seed
         if is_heavy.any():
-            single = _windows(lo[is_heavy], hi[is_heavy])
-            name = span_hashes(sums, single, single + LENGTH) ^ _TAG
+            own = _windows(lo[is_heavy], hi[is_heavy])
+            name = span_hashes(sums, own, own + LENGTH) ^ _TAG
             keep = ~is_heavy
-            lo, hi = np.concatenate([lo[keep], single]), np.concatenate([hi[keep], single])
+            lo, hi = np.concatenate([lo[keep], own]), np.concatenate([hi[keep], own])
             seed, context = np.concatenate([seed[keep], name]), np.concatenate([context[keep], name])
-    return row[lo], lo, hi, seed, context
+            single = np.arange(len(lo)) >= keep.sum()
+    return row[lo], lo, hi, seed, context, single
+
+
+def _names(seed: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """The 64 bits by which a document finds a run again, from the 40 bits that are sent of its seed and context."""
+    return mix(seed & _LOW40) ^ mix((context & _LOW40) + _TAG)
 
 
 def _windows(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -165,36 +172,46 @@ def _batch(names: list[str], rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def heavy_seeds(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Seeds that stand in a HEAVY_PART-th of the documents by map-side counts, and the bytes of all texts."""
+def heavy_seeds(docs: DataFrame) -> tuple[np.ndarray, int, int]:
+    """Seeds in a HEAVY_PART-th of the documents by map-side counts, the bytes of all texts, the heavy seeds' windows.
+
+    A batch in which a heavy seed is too rare to be counted is taken to have SEEN_LEAST documents with it.
+    """
     none = np.zeros(0, np.uint64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen, size = [none], 0
+            seen, widths, size = [none], [none.astype(np.int64)], 0
             for _, _, data, offsets in _text_slices(batch):
-                row, _, _, seed, _ = runs(data, offsets, none)
-                seen.append(np.unique(seed ^ row.astype(np.uint64) * _TAG, return_index=True)[1])
-                seen[-1] = seed[seen[-1]]
+                row, lo, hi, seed, _, _ = runs(data, offsets, none)
+                _, at, own = np.unique(seed ^ row.astype(np.uint64) * _TAG, return_index=True, return_inverse=True)
+                seen.append(seed[at])
+                widths.append(np.bincount(own, hi - lo + 1, len(at)).astype(np.int64))
                 size += len(data)
-            seed, n = np.unique(np.concatenate(seen), return_counts=True)
+            seed, own, n = np.unique(np.concatenate(seen), return_inverse=True, return_counts=True)
+            windows = np.bincount(own, np.concatenate(widths), len(seed)).astype(np.int64)
             often = n >= SEEN_LEAST
-            seed, n = np.append(seed[often].view(np.int64), 0), np.append(n[often], 0)
+            # The last row has the batch itself.
+            seed, n, windows = (np.append(x[often].view(np.int64), 0) for x in (seed, n, windows))
             sizes = np.zeros(len(seed), np.int64)
             sizes[-1] = size
-            yield pa.RecordBatch.from_arrays([pa.array(seed), pa.array(n), pa.array(sizes)], names=["seed", "n", "bytes"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (seed, n, windows, sizes)], names=names)
 
-    counted = docs.select("text").mapInArrow(count, "seed bigint, n bigint, bytes bigint")
-    counted = store(counted.groupBy("seed").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")))
-    size = counted.agg(F.sum("bytes")).first()[0] or 0
+    names = ["seed", "n", "windows", "bytes"]
+    counted = docs.select("text").mapInArrow(count, ", ".join(f"{x} bigint" for x in names))
+    sums = [F.sum(x).alias(x) for x in names[1:]]
+    counted = store(counted.groupBy("seed").agg(*sums, F.count("*").alias("batches")))
+    size, batches = counted.agg(F.sum("bytes"), F.max("batches")).first()
     least = max(HEAVY_LEAST, docs.count() // HEAVY_PART)
     # At most HEAVY_PART times the anchors of the mean document.
-    found = counted.filter(F.col("n") >= least).select("seed").toArrow().column("seed").to_numpy()
-    return np.sort(found.astype(np.int64).view(np.uint64)), int(size)
+    found = counted.filter(F.col("n") >= least).select("seed", "n", "windows", "batches").toArrow()
+    seed, n, windows, own = (found.column(x).to_numpy().astype(np.int64) for x in ("seed", "n", "windows", "batches"))
+    expanded = windows + windows / np.maximum(n, 1) * SEEN_LEAST * ((batches or 0) - own)
+    return np.sort(seed.view(np.uint64)), int(size or 0), int(expanded.sum())
 
 
 _SENT = ["bucket", "ids", "lengths", "seeds", "contexts"]
-_REPLY = ["bucket", "ids", "contexts", "flags"]
+_REPLY = ["bucket", "ids", "names", "flags"]
 _COVER = ["kind", "bucket", "ids", "texts", "lo", "hi", "seeds", "lengths", "data"]
 COVER, CONTEXT, SINGLE = 0, 1, 2
 
@@ -216,41 +233,58 @@ class Plan:
     """Numbers of buckets, and the heavy seeds."""
 
     def __init__(self, docs: DataFrame):
-        heavy, size = heavy_seeds(docs)
+        heavy, size, windows = heavy_seeds(docs)
         self.heavy = docs.sparkSession.sparkContext.broadcast(heavy)
         self.seed_buckets = max(1, int(size * DENSITY) // BUCKET_ANCHORS)
+        self.window_buckets = max(1, windows // BUCKET_ANCHORS)
         self.doc_buckets = max(1, size // BUCKET_BYTES)
 
 
 def match_runs(docs: DataFrame, plan: Plan) -> DataFrame:
-    """(bucket of ids, ids, contexts, flags): what is known of each run: covered, or to be cut out."""
-    held, seed_buckets, doc_buckets = plan.heavy, plan.seed_buckets, plan.doc_buckets
+    """(bucket of ids, ids, names, flags): what is known of each run: covered, or to be cut out.
+
+    Single windows meet in buckets after those of the seeds, by their whole hashes, which are their names.
+    """
+    held, seed_buckets, doc_buckets, window_buckets = plan.heavy, plan.seed_buckets, plan.doc_buckets, plan.window_buckets
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, held_back = _ids(batch.column("doc_id")), []
             for a, _, data, offsets in _text_slices(batch):
-                row, _, _, seed, context = runs(data, offsets, held.value)
-                held_back.append((ids[a + row], seed, context))
+                row, _, _, seed, context, single = runs(data, offsets, held.value)
+                held_back.append((ids[a + row], seed, context, single))
             # Several slices are merged before they are sent, so that copies in them meet here.
             for i in range(0, len(held_back), 8):
-                doc, seed, context = (np.concatenate(x) for x in zip(*held_back[i : i + 8], strict=True))
+                doc, seed, context, single = (np.concatenate(x) for x in zip(*held_back[i : i + 8], strict=True))
                 order = np.lexsort((doc, context))
-                doc, seed, context = doc[order], seed[order], context[order]
+                doc, seed, context, single = doc[order], seed[order], context[order], single[order]
                 first = np.r_[True, context[1:] != context[:-1]]
                 again = ~first & np.r_[False, doc[1:] == doc[:-1]]
                 least = doc[np.flatnonzero(first)][np.cumsum(first) - 1] if len(doc) else doc
                 covered = (doc > least) & ~again
                 rows = []
-                for bucket, at in _split((mix(seed[first]) % np.uint64(seed_buckets)).astype(np.int64), doc[first]):
+                name = np.where(single, context, _names(seed, context))[covered]
+                to = mix(seed[first])
+                to = np.where(single[first], seed_buckets + to % np.uint64(window_buckets), to % np.uint64(seed_buckets))
+                for bucket, at in _split(to.astype(np.int64), doc[first]):
                     own = doc[first][at]
                     starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
                     lengths = np.diff(np.append(starts, len(own))).astype(np.int32)
-                    rows.append((bucket, own[starts].tobytes(), lengths.tobytes(), _five(seed[first][at]), _five(context[first][at])))
+                    if bucket < seed_buckets:
+                        keys = _five(seed[first][at]), _five(context[first][at])
+                    else:
+                        keys = b"", context[first][at].tobytes()
+                    rows.append((bucket, own[starts].tobytes(), lengths.tobytes(), *keys))
                 for bucket, at in _split(_doc_bucket(doc[covered], doc_buckets)):
-                    rows.append((-1 - bucket, doc[covered][at].tobytes(), b"", b"", _five(context[covered][at])))
+                    rows.append((-1 - bucket, doc[covered][at].tobytes(), b"", b"", name[at].tobytes()))
                 yield _batch(_SENT, rows)
 
+    def replies(doc: np.ndarray, name: np.ndarray, flag: np.ndarray) -> pa.Table:
+        rows = [
+            (b, doc[at].tobytes(), name[at].tobytes(), flag[at].tobytes()) for b, at in _split(_doc_bucket(doc, doc_buckets), doc)
+        ]
+        return pa.Table.from_batches([_batch(_REPLY, rows)])
+
     def match(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         if bucket < 0:
@@ -258,6 +292,14 @@ def match_runs(docs: DataFrame, plan: Plan) -> DataFrame:
             rows = [(-1 - bucket, _joined(table, "ids"), _joined(table, "contexts"), bytes(n))]
             return pa.Table.from_batches([_batch(_REPLY, rows)])
         doc = np.repeat(_numbers(table, "ids"), _numbers(table, "lengths", np.int32))
+        if bucket >= seed_buckets:
+            name = _numbers(table, "contexts", np.uint64)
+            order = np.lexsort((doc, name))
+            doc, name = doc[order], name[order]
+            new = np.r_[True, name[1:] != name[:-1]]
+            told = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+            doc, name = doc[told], name[told]
+            return replies(doc, name, np.full(len(doc), COVER, np.uint8))
         seed, context = _from_five(_joined(table, "seeds")), _from_five(_joined(table, "contexts"))
         order = np.lexsort((doc, context, seed))
         doc, seed, context = doc[order], seed[order], context[order]
@@ -271,11 +313,7 @@ def match_runs(docs: DataFrame, plan: Plan) -> DataFrame:
         flag = np.where(contexts > MOST_CONTEXTS, SINGLE, CONTEXT)[group]
         flag[doc > least] = COVER
         told = (doc > least) | (new & (several & (contexts > 1))[group])
-        doc, context, flag = doc[told], context[told], flag[told].astype(np.uint8)
-        rows = [
-            (b, doc[at].tobytes(), _five(context[at]), flag[at].tobytes()) for b, at in _split(_doc_bucket(doc, doc_buckets), doc)
-        ]
-        return pa.Table.from_batches([_batch(_REPLY, rows)])
+        return replies(doc[told], _names(seed[told], context[told]), flag[told].astype(np.uint8))
 
     sent = docs.select("doc_id", "text").mapInArrow(send, _sql(_SENT))
     return store(sent.groupBy("bucket").applyInArrow(match, _sql(_REPLY)))
@@ -320,18 +358,18 @@ def cut_out(docs: DataFrame, replies: DataFrame, plan: Plan) -> DataFrame:
     """Covered bytes, contexts and single windows (``_COVER`` rows) from the replies and the texts."""
     held, seed_buckets, doc_buckets = plan.heavy, plan.seed_buckets, plan.doc_buckets
 
-    def name(ids: np.ndarray, context: np.ndarray) -> np.ndarray:
-        return mix(ids.view(np.uint64) + _TAG) ^ mix(context & _LOW40)
+    def keys(ids: np.ndarray, name: np.ndarray) -> np.ndarray:
+        return mix(ids.view(np.uint64) + _TAG) ^ mix(name)
 
     def cut(texts: pa.Table, told: pa.Table) -> pa.Table:
-        key = name(_numbers(told, "ids"), _from_five(_joined(told, "contexts")))
+        key = keys(_numbers(told, "ids"), _numbers(told, "names", np.uint64))
         flags = np.frombuffer(_joined(told, "flags"), np.uint8)
         order = np.argsort(key)
         key, flags = key[order], flags[order]
         rows = []
         for ids, hashes, data, offsets in _unpack(texts) if len(key) else ():
-            row, lo, hi, seed, context = runs(data, offsets, held.value)
-            own = name(ids[row], context)
+            row, lo, hi, seed, context, single = runs(data, offsets, held.value)
+            own = keys(ids[row], np.where(single, context, _names(seed, context)))
             at = np.minimum(np.searchsorted(key, own), len(key) - 1)
             flag = np.where(key[at] == own, flags[at].astype(np.int64), -1)
             begin = offsets[row]

@@ -59,3 +59,22 @@ def test_removals(spark, request, monkeypatch, tables, change):
     found = suffix_dedup.remove_repeats(docs, with_kept=True).collect()
     assert sorted((tuple(r)[:5] for r in found), key=str) == brute(rows)
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in found)
+
+
+def test_different_windows_of_a_heavy_seed(spark, monkeypatch):
+    # The first two windows have the same lower 40 bits.
+    seed = "upbzzdqapsjmwlucptwkayat"
+    edges = [("lfyekkdnaojya", "jxyzjvbhiofua"), ("sarevxlotoqfq", "xwpgxglqvepdw")]
+    edges += [(c * 13, c * 13) for c in "abcde"] + [edges[0]]
+    rows = [(i, a + seed + b) for i, (a, b) in enumerate(edges)]
+    data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    heavy = suffix_dedup.runs(data, np.arange(0, len(data) + 1, 50), np.zeros(0, np.uint64))[3]
+    windows = suffix_dedup.runs(data, np.arange(0, len(data) + 1, 50), heavy[:1])[4]
+    assert len(set(heavy.tolist())) == 1 and (windows[0] ^ windows[1]) % np.uint64(1 << 40) == 0 and windows[0] != windows[1]
+    for name, value in SMALL.items():
+        monkeypatch.setattr(suffix_dedup, name, value)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    assert sorted((tuple(r) for r in suffix_dedup.remove_repeats(docs).collect()), key=str) == brute(rows)
+    # Bytes of all texts, and three windows a document.
+    longer = spark.createDataFrame([(i, t + "zz") for i, t in rows], "doc_id bigint, text string").coalesce(1)
+    assert suffix_dedup.heavy_seeds(longer)[1:] == (52 * len(rows), 3 * len(rows))
