@@ -3,10 +3,10 @@
 Words are the lower-cased runs of letters and digits.  From every word of a benchmark item and
 of a document on, each fixed mask picks some of the next ``SPAN`` words and skips the others, so
 a hash of the picked words survives substitutions at the skipped places.  Equal hashes are hits;
-hits of a document and an item on near diagonals (document place minus item place) that
-together cover ``CANDIDATE`` of the item are verified on the words themselves: the item's words
-that stand at their place on one of those diagonals, over the item's words, must reach
-``SIMILARITY``.
+hits of a document and an item on near diagonals (document place minus item place) are verified
+on the words themselves.  An item is reported if the hits cover ``CANDIDATE`` of it and the words
+that stand at their place on one of those diagonals reach ``SIMILARITY`` of the item, or if they
+reach ``SIMILARITY`` of any run of ``RUN`` or more of its words, however long the item is.
 
 Every mask picks the first and the last word, so a document's windows are first held against the
 benchmark's (first, last) pairs, and only the few that pass are hashed under each mask.  The
@@ -15,9 +15,9 @@ benchmark's hashes are sent to the tasks while they are at most ``BROADCAST_SEED
 then only those with candidates.  Only DataFrame functions are used.
 
 Defined cases: null or empty texts and items have no words; items of fewer than ``SPAN`` words
-carry too little to tell a leak from chance and match nothing; a passage cut off by the
-document's start or end counts the words that are there; rows equal in id and text give one
-result; equal items with different ids are each reported; other columns do not matter.
+carry too little to tell a leak from chance and match nothing; a part of an item, or a passage cut
+off by the document's start or end, is a leak from ``RUN`` words on; rows equal in id and text give
+one result, for whole items before parts; equal items with different ids are each reported; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ SPAN = 7
 BAND = 8
 CANDIDATE = 0.4
 SIMILARITY = 0.8
+#: So many words of an item in a row, from an equal word to an equal word, are a leak by themselves.
+RUN = 14
 BROADCAST_SEEDS = 1_000_000
 CHUNK = 2048
 
@@ -73,10 +75,30 @@ def _pair() -> Column:
     return F.xxhash64("w0", f"w{SPAN - 1}")
 
 
+def _holds_run(standing: Column, similarity: float) -> Column:
+    """Whether RUN or more consecutive places, the first and the last of which stand, stand by ``similarity``."""
+    high = F.lit(1 << 40)
+    gain, loss = F.lit(round(1000 * (1 - similarity))).cast("long"), F.lit(-round(1000 * similarity)).cast("long")
+    # The sum so far, the sums before each of the last RUN places that stand, and the least sum before older ones.
+    start = F.struct(
+        F.lit(0).cast("long").alias("total"), F.array(*[high] * RUN).alias("last"), high.alias("least"), F.lit(False).alias("found")
+    )
+
+    def step(state: Column, stands: Column) -> Column:
+        total = state["total"] + F.when(stands, gain).otherwise(loss)
+        last = F.concat(F.slice(state["last"], 2, RUN - 1), F.array(F.when(stands, state["total"]).otherwise(high)))
+        least = F.least(state["least"], F.get(state["last"], F.lit(1)))
+        found = state["found"] | (stands & (total >= least))
+        return F.struct(total.alias("total"), last.alias("last"), least.alias("least"), found.alias("found"))
+
+    return F.aggregate(standing, start, step, lambda state: state["found"])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, text_1, text_2, item_id, n_words, n_matched, similarity, start) of every leaked item.
 
-    ``start`` is the word of the document at which the item's first word stands, or would.
+    ``start`` is the word of the document at which the item's first word stands, or would (below 0 for the
+    later part of an item).
     """
     items = benchmark.select("item_id", words(F.col("text")).alias("item_words"))
     items = store(items.distinct().withColumn("n_words", F.size("item_words")))
@@ -106,23 +128,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
         F.collect_set("diagonal").alias("diagonals"),
     )
     # Distinct (document, item, diagonals): the two overlapping bands often hold the same.
+    # Any hit can be part of a run.
+    whole = (F.col("n_covered") >= F.col("n_words") * CANDIDATE).alias("whole")
     candidates = store(
-        by_band.filter(F.col("n_covered") >= F.col("n_words") * CANDIDATE)
-        .select(*key, "item_id", F.array_sort("diagonals").alias("diagonals"))
-        .distinct()
+        by_band.filter(whole | (F.col("n_words") >= RUN))
+        .groupBy(*key, "item_id", F.array_sort("diagonals").alias("diagonals"))
+        .agg(F.max(whole).alias("whole"))
     )
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
     wanted = candidates.select(*(F.col(c).alias(f"_{c}") for c in key)).distinct()
     texts = keyed.join(wanted, same[0] & same[1] & same[2], "left_semi").dropDuplicates(key)
-    named = candidates.select(*(F.col(c).alias(f"_{c}") for c in key), "item_id", "diagonals")
+    named = candidates.select(*(F.col(c).alias(f"_{c}") for c in key), "item_id", "diagonals", "whole")
     both = texts.join(named, same[0] & same[1] & same[2]).join(items, "item_id")
     stands = lambda place: F.exists(
         "diagonals", lambda d: F.get("words", (place + d).cast("int")).eqNullSafe(F.get("item_words", place))
     )
-    matched = F.size(F.filter(F.sequence(F.lit(0), F.col("n_words") - 1), stands))
-    verified = both.withColumn("n_matched", matched).withColumn("start", F.array_min("diagonals"))
-    verified = verified.withColumn("similarity", F.col("n_matched") / F.col("n_words")).filter(F.col("similarity") >= similarity)
-    best = F.max_by(F.struct("n_matched", "similarity", "start"), F.struct("n_matched", -F.col("start"))).alias("best")
+    standing = F.transform(F.sequence(F.lit(0), F.col("n_words") - 1), stands).alias("standing")
+    found = both.select(*key, "item_id", "n_words", "whole", F.array_min("diagonals").alias("start"), standing)
+    found = found.withColumn("n_matched", F.size(F.filter("standing", lambda s: s)))
+    found = found.withColumn("similarity", F.col("n_matched") / F.col("n_words"))
+    found = found.withColumn("whole", F.col("whole") & (F.col("similarity") >= similarity))
+    part = F.when(F.col("n_matched") >= RUN * similarity, _holds_run(F.col("standing"), similarity)).otherwise(False)
+    verified = found.filter(F.col("whole") | part)
+    best = F.max_by(F.struct("n_matched", "similarity", "start"), F.struct("whole", "n_matched", -F.col("start"))).alias("best")
     return verified.groupBy(*key, "item_id", "n_words").agg(best).select(*key, "item_id", "n_words", "best.*")
 
 

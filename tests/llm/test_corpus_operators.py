@@ -192,3 +192,38 @@ def test_seeds_by_shuffle_give_the_same(spark, sf_dir, monkeypatch):
     sent = sorted(map(tuple, decontaminate.leaks(docs, items).collect()))
     monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", -1)
     assert sent and sorted(map(tuple, decontaminate.leaks(docs, items).collect())) == sent
+
+
+def test_part_of_a_long_item_is_a_leak(spark):
+    item = [f"word{i}" for i in range(60)]
+    other = [f"other{i}" for i in range(30)]
+    swapped = item[20:60]
+    swapped[::6] = other[: len(swapped[::6])]
+    texts = {
+        1: other + item[10:50] + other,  # 40 of 60 words
+        2: item[40:] + other,  # the end of the item at the document's start
+        3: other + item[:14],
+        4: other + swapped + other,  # five of six words
+        5: other + item[:13] + other,  # too short
+        6: other + item[5:12] + other + item[30:37],  # two short runs, far from each other
+        7: item,
+    }
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id bigint, text string")
+    long = [f"long{i}" for i in range(500)]
+    docs = docs.union(spark.createDataFrame([(8, " ".join(other + long[100:400] + other))], docs.schema))
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(long))], "item_id bigint, text string")
+    found = {r.doc_id: (r.item_id, r.n_words, r.n_matched, r.start) for r in decontaminate.leaks(docs, items).collect()}
+    assert found == {
+        1: (1, 60, 40, 20), 2: (1, 60, 20, -40), 3: (1, 60, 14, 30), 4: (1, 60, 33, 10), 7: (1, 60, 60, 0), 8: (2, 500, 300, -70),
+    }
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, items).collect()) == [5, 6]
+
+
+def test_runs_of_matched_places(spark, rng=np.random.default_rng(5)):
+    rows = [(i, (rng.random(rng.integers(0, 60)) < rng.choice([0.5, 0.7, 0.8])).tolist()) for i in range(300)]
+    got = spark.createDataFrame(rows, "i bigint, standing array<boolean>")
+    got = dict(map(tuple, got.select("i", decontaminate._holds_run(F.col("standing"), 0.8)).collect()))
+    for i, s in rows:
+        ends = [(a, b) for a in range(len(s)) for b in range(a + decontaminate.RUN, len(s) + 1)]
+        assert got[i] == any(s[a] and s[b - 1] and 5 * sum(s[a:b]) >= 4 * (b - a) for a, b in ends)
+    assert 50 < sum(got.values()) < 250
