@@ -3,9 +3,9 @@
 One pass over the texts gives per document the base counts and the hashes of its normalised
 lines (A-Z lower-cased, white space as one space).  Spark then counts in how
 many distinct documents of its host (``source``) each line stands; copies of a whole text
-count once, since they are one document.  A line above the host's limit, ``MIN_DOCS`` and
-``DOC_SHARE`` of the host's distinct documents, is removed; a document is rejected when less
-than ``KEPT_SHARE`` of its words remain, or when the base rules reject it.
+count once, since they are one document.  A line in more than ``MIN_DOCS`` and ``DOC_SHARE`` of the
+host's distinct documents is removed, and on every host a line in more than ``MANY_DOCS``; a document
+is rejected when less than ``KEPT_SHARE`` of its words remain, or when the base rules reject it.
 
 Counting is pre-aggregated in the map tasks, keyed by (host, text, line) and then by
 (host, line), so neither a common line nor a large host nor a group of copies gathers in a task.
@@ -44,6 +44,8 @@ MIN_WORDS = 20
 MAX_REPEATED = 30  # per cent of the words
 MIN_DOCS = 8
 DOC_SHARE = 0.01
+#: A line in more documents goes by itself, however large its host is.
+MANY_DOCS = 50
 KEPT_SHARE = 0.5
 
 ship(__name__)
@@ -151,16 +153,23 @@ def measure(docs: DataFrame, *keep: str) -> DataFrame:
     return docs.select(*keep, "text").mapInArrow(run, schema)
 
 
-def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS, doc_share: float = DOC_SHARE) -> DataFrame:
+def frequent_lines(
+    lines: DataFrame, min_docs: int = MIN_DOCS, doc_share: float = DOC_SHARE, many_docs: int = MANY_DOCS
+) -> DataFrame:
     """(host, line) above the limits; ``lines`` has a row per host, text and distinct line of the text."""
     sizes = lines.filter("line is null").groupBy("host").agg(F.count("*").alias("host_docs"))
     counted = lines.filter("line is not null").groupBy("host", "line").agg(F.count("*").alias("line_docs"))
     above = counted.filter(F.col("line_docs") > min_docs).join(sizes, "host")
-    return above.filter(F.col("line_docs") > F.col("host_docs") * doc_share).select("host", "line")
+    limit = F.least(F.col("host_docs") * doc_share, F.lit(many_docs))
+    return above.filter(F.col("line_docs") > limit).select("host", "line")
 
 
 def rate(
-    docs: DataFrame, min_docs: int = MIN_DOCS, doc_share: float = DOC_SHARE, kept_share: float = KEPT_SHARE
+    docs: DataFrame,
+    min_docs: int = MIN_DOCS,
+    doc_share: float = DOC_SHARE,
+    kept_share: float = KEPT_SHARE,
+    many_docs: int = MANY_DOCS,
 ) -> DataFrame:
     """Per document: doc_id, base counts, ``base_failed``, words in removed lines, their hashes, and ``kept``."""
     keyed = docs.select(
@@ -175,7 +184,7 @@ def rate(
     lines = measured.select("host", "text_1", "text_2", own.alias("l")).select("host", "text_1", "text_2", "l.line", "l.words")
     lines = store(lines.groupBy("host", "text_1", "text_2", "line").agg(F.max("words").alias("words")))
     removed = (
-        lines.join(frequent_lines(lines, min_docs, doc_share), ["host", "line"])
+        lines.join(frequent_lines(lines, min_docs, doc_share, many_docs), ["host", "line"])
         .groupBy("host", "text_1", "text_2")
         .agg(F.sum("words").alias("n_removed_words"), F.collect_set("line").alias("removed_lines"))
     )

@@ -134,6 +134,20 @@ def test_depleted_documents_go(spark):
     assert all(r.kept for r in found)  # one document, however often it stands there
 
 
+def test_lines_of_a_large_host(spark):
+    docs = spark.range(6000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(
+            F.when(F.col("id") < 51, F.lit("subscribe to our letter\n")).otherwise(F.lit("")),
+            F.when(F.col("id") < 50, F.lit("a line in fifty documents\n")).otherwise(F.lit("")),
+            F.concat_ws(" ", *(F.concat(F.lit(f"w{i}x"), "id") for i in range(25))),
+        ).alias("text"),
+        F.lit("hot").alias("source"),
+    )
+    removed = {r.doc_id: r.n_removed_words for r in line_rules.rate(docs).filter("n_removed_words > 0").collect()}
+    assert removed == dict.fromkeys(range(51), 4)
+
+
 @pytest.mark.parametrize("block", [1, 3, 7, 1000])
 def test_token_files(spark, tmp_path, block):
     files = {"a": [[1, 2, 3], [], [4] * 20, [5]], "b": [[]], "c": [[9] * 10]}
