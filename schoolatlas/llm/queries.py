@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from schoolatlas.llm import (
     decontaminate,
+    hard_negatives,
     html_text,
     language,
     line_rules,
     mixing,
     ngram_join,
     secrets,
+    sentence_pieces,
     sharding,
+    spelling_variants,
     suffix_dedup,
     token_counts,
 )
@@ -91,6 +96,34 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_words", "n_matched", "similarity", "start")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score close below every anchor's positives."""
+    label, vec_id = F.col("label").cast("long"), F.col("vec_id")
+    shifted = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), shifted)
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    """Digests of every document's ids under a SentencePiece model and of the text decoded from them."""
+    if model is None:
+        import public_tokenizers
+
+        model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence_pieces.encode(docs, Path(model).read_bytes()).select(
+        "doc_id",
+        (F.octet_length("tokens") / 4).cast("long").alias("n_tokens"),
+        F.sha2("tokens", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words' number, its form and the end of its chain of forms."""
+    words = spelling_variants.count_words(table(spark, sf_dir, "documents"))
+    return spelling_variants.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_line_rules": op2_line_rules,
@@ -102,6 +135,9 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_sentence_pieces": op12_sentence_pieces,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 #: DuckDB statements for the queries that SQL can express.
@@ -277,3 +313,69 @@ SELECT doc_id, item_id, n::INTEGER AS n_words, matched::INTEGER AS n_matched, ma
     diagonals[1]::INTEGER AS start
 FROM best WHERE k = 1
 """
+
+SQL["op11_hard_negatives"] = r"""
+WITH numbered AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(greatest(least(x::DOUBLE * 256, 16777216), -16777216))::HUGEINT) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)),
+scored AS (
+    SELECT a.r, a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other_id, b.r AS other,
+        coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: coalesce(p[1] * p[2], 0))), 0)::BIGINT AS score
+    FROM numbered a JOIN numbered b ON a.label <> b.label OR a.vec_id <> b.vec_id
+    WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT r, anchor_id, other_id, score, row_number() OVER (PARTITION BY r ORDER BY score DESC, other_id) AS place
+    FROM scored WHERE same QUALIFY place <= 5),
+negatives AS (
+    SELECT p.r, p.anchor_id, p.place, p.other_id AS positive_id, p.score AS positive_score, s.other_id AS negative_id, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.r, p.place ORDER BY s.score DESC, s.other_id) AS rank
+    FROM positives p JOIN scored s ON s.r = p.r AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5
+"""
+
+SQL["op13_spelling_variants"] = r"""
+WITH RECURSIVE table_steps(b, c, k) AS (
+    SELECT range::BIGINT, range::BIGINT, 0 FROM range(256)
+    UNION ALL
+    SELECT b, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM table_steps WHERE k < 8),
+crc(t) AS (SELECT list(c ORDER BY b) FROM table_steps WHERE k = 8),
+runs AS (
+    SELECT doc_id, run, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+    WHERE length(run) >= 5 GROUP BY ALL),
+seeded AS (
+    SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+        range(0, octet_length(encode(s))), lambda i: ('0x' || substr(hex(encode(s)), 2 * i + 1, 2))::BIGINT)),
+        lambda h, x: xor(h >> 8, t[(xor(h, x) & 255) + 1]))) AS h
+    FROM (SELECT run, n, coalesce(doc_id::VARCHAR, '') || ':' || run AS s FROM runs), crc),
+words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+        FROM seeded)
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (
+    SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+    SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+    UNION
+    SELECT c.word, w.word, w.n FROM cut c JOIN words w ON w.word = c.head || c.tail
+    UNION
+    SELECT w.word, c.word, c.n FROM cut c JOIN words w ON w.word = c.head || c.tail),
+best AS (
+    SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, encode(other)) AS form, max(n) AS form_n FROM near GROUP BY word),
+formed AS (
+    SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * w.n THEN form END AS form,
+        CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n
+    FROM words w LEFT JOIN best USING (word)),
+chains(word, last) AS (
+    SELECT word, word FROM formed
+    UNION ALL
+    SELECT c.word, f.form FROM chains c JOIN formed f ON f.word = c.last WHERE f.form IS NOT NULL)
+SELECT word, n, n_near, form, form_n, last AS root
+FROM formed JOIN (SELECT c.word, c.last FROM chains c JOIN formed f ON f.word = c.last WHERE f.form IS NULL) USING (word)
+"""

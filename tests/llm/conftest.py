@@ -2,6 +2,7 @@
 
 import datetime
 import os
+import random
 
 import duckdb
 import pyarrow as pa
@@ -50,6 +51,7 @@ def documents():
         (-5, base * 2 + PASSAGE, "en", "b"),
         (30, "x" * 3000, "en", "b"),
         (31, "x" * 200, "en", "b"),
+        (32, "abcde abcdf abcdef bcdef Abcde ÀBCDE àbcde abcde×÷ " * 9 + "abcdefg " * 40 + "colour color " * 5, "en", "b"),
     ]
     rows += [(100 + i, f"Shared header line of the site\n{base}Document {i} number {i * 7919 % 1000} speaks of {i}.\n  FOOTER  of the\tsite", "en", "h") for i in range(30)]
     return rows
@@ -59,7 +61,7 @@ def _write(folder, name, columns, schema):
     pq.write_table(pa.table(columns, schema=pa.schema(schema)), f"{folder}/{name}.parquet")
 
 
-def _tables(folder, docs, items, pages):
+def _tables(folder, docs, items, pages, vectors):
     long, text = pa.int64(), pa.string()
     now = datetime.datetime(2024, 1, 1)
     _write(
@@ -80,6 +82,20 @@ def _tables(folder, docs, items, pages):
     _write(folder, "pages", {"page_id": [p[0] for p in pages], "url": [p[1] for p in pages], "html": [p[2] for p in pages],
                              "text": ["t"] * len(pages), "host": ["h"] * len(pages)},
            [("page_id", long), ("url", text), ("html", text), ("text", text), ("host", text)])
+    _write(folder, "embeddings", {"vec_id": [v[0] for v in vectors], "embedding": [v[1] for v in vectors], "label": [v[2] for v in vectors],
+                                  "row": ["r"] * len(vectors), "v": [0] * len(vectors), "anchor": ["a"] * len(vectors)},
+           [("vec_id", long), ("embedding", pa.list_(pa.float32())), ("label", pa.int32()), ("row", text), ("v", long), ("anchor", text)])
+
+
+def vectors():
+    """Ties, repeated rows and anchors, nulls, non-finite values, uneven lengths, large values."""
+    rng = random.Random(5)
+    out = [(i, [rng.choice((-0.5, 0.25, 0.5, 1.0)) for _ in range(5)], i % 3) for i in range(140)]
+    out += [(i, [rng.uniform(-1, 1) for _ in range(rng.choice((3, 7, 33)))], i % 2) for i in range(195, 260)]
+    nan, inf = float("nan"), float("inf")
+    out += [(100, [1.0] * 5, 1), (100, [1.0] * 5, 1), (100, [0.5, 1.0], 1), (300, [1.0], None), (300, None, 1), (None, [1.0] * 5, 1)]
+    out += [(400, [1.0, None], 1), (400, [nan, 1.0], 1), (400, [inf], 1), (400, [-inf], 2), (500, [], 1), (600, [1e30, -1e30, 3.0], 1)]
+    return out + [(601, [1e30, 0.0, 1.0], 2), (602, [1e30], 1), (-100, [0.5, 0.25, 1.0], -3), (-101, [0.5, 0.25, 1.0], -3), (700, [0.0] * 5, 7)]
 
 
 def pages():
@@ -107,14 +123,14 @@ def shared(spark, tmp_path_factory):
 def edge(tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("edge"))
     items = [(1, ITEM), (2, None), (3, ""), (4, "too short to tell"), (5, ITEM), (5, ITEM), (None, PASSAGE)]
-    _tables(folder, documents(), items, pages())
+    _tables(folder, documents(), items, pages(), vectors())
     return folder
 
 
 @pytest.fixture(scope="session")
 def empty(tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
-    _tables(folder, [], [], [])
+    _tables(folder, [], [], [], [])
     return folder
 
 
@@ -122,7 +138,7 @@ def empty(tmp_path_factory):
 def duck():
     def ask(folder, sql):
         con = duckdb.connect()
-        for name in ("documents", "benchmark", "pages"):
+        for name in ("documents", "benchmark", "pages", "embeddings"):
             con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
         return con.sql(sql)
 
