@@ -7,6 +7,8 @@ form, and the three outputs need no shared intermediate result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +31,8 @@ from ..operators.reshape import (
     value_columns,
     wide_to_long,
 )
-from ..sources.csv_folder import read_yearly_csvs, rejected_lines
+from ..session import durable
+from ..sources.csv_folder import fitting, misfits, read_yearly_csvs, stage_yearly
 
 OFFERS = ["offers_es", "offers_jhs", "offers_shs"]
 ATTRIBUTES = [
@@ -174,14 +177,20 @@ def enrollment_tables(
     rules: dict,
     latest_only: bool = False,
     keep_empty_schools: bool = False,
+    store: Callable[[DataFrame], DataFrame] = durable,
 ) -> dict[str, DataFrame]:
-    """Metadata, counts and levels of a folder of yearly CSV files."""
-    wides = read_enrollment(spark, folder, latest_only)
+    """Metadata, counts and levels of a folder of yearly CSV files.
+
+    The files are parsed once; all five tables read the columns they need of the
+    stored copy.
+    """
+    staged = stage_yearly(spark, folder, latest_only, store)
+    wides = [clean_wide(w) for w in fitting(staged)]
     schools = school_rows(wides, keep_empty_schools)
     return {
         "school_year_meta": school_year_meta(schools, rules),
         "enrollment": enrollment_facts(wides),
         "school_levels": offered_levels(schools),
         "invalid_counts": invalid_counts(wides),
-        "csv_rejects": rejected_lines(spark, folder, latest_only),
+        "csv_rejects": misfits(staged),
     }

@@ -1,71 +1,51 @@
 """CSV sources, read as text: no type is guessed from the data.
 
-Quotes within a quoted field are doubled.  A line with more or fewer fields
-than its header (the halves of a field with a line break among them) is no row:
-it goes to the rejects.  ``multi_line`` reads such fields whole, at the price of
-one task per file.
+Quotes within a quoted field are doubled; a quoted field may hold line breaks
+(``records`` finds where such a record ends).  A record with more or fewer fields
+than its header is no row: it goes to the rejects.  Every file is parsed once,
+into a stored copy that all later steps read by column.
 """
 
 from __future__ import annotations
 
-import csv
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.counts import lenient_double, school_id_text, school_year
+from ..session import durable
+from .records import csv_headers, read_records
 
 BAD_LINE = "_bad_line"
-FITS = "_fits"
 #: Options of every CSV source; ``from_csv`` takes the same.
 OPTIONS = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
 
 
-def csv_headers(spark: SparkSession, path: str) -> list[tuple[tuple[str, ...], list[str]]]:
-    """(header, files) for each distinct header below a path, in order of the first file name.
-
-    One pass over the first block of each file finds the first lines.  Distinct
-    headers and the names of the files come to the driver.
-    """
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
-    placed = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-    # A file's first block is one run of rows of one task, so the least mark is its first line.
-    first = (
-        placed.where("start = 0")
-        .withColumn("mark", F.monotonically_increasing_id())
-        .groupBy("file")
-        .agg(F.min_by("value", "mark").alias("header"))
-    )
-    found = first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).collect()
-    parsed = [(tuple(next(csv.reader([r["header"].lstrip("\ufeff")]))), list(r["files"])) for r in found]
-    return sorted(parsed, key=lambda p: p[1][0].rpartition("/")[2])
-
-
-def read_text_csv(
-    spark: SparkSession, paths: list[str], header: tuple[str, ...], multi_line: bool = False
-) -> DataFrame:
-    """All lines as text columns; ``_bad_line`` holds a line that does not fit the header."""
+def parse_record(record: Column, header: tuple[str, ...]) -> Column:
+    """A record as a struct of texts; ``_bad_line`` holds a record that does not fit the header."""
     schema = StructType([StructField(c, StringType()) for c in (*header, BAD_LINE)])
-    # Without column pruning every read sees whole lines, so it finds the same bad ones.
-    return (
-        spark.read.schema(schema)
-        .options(header=True, multiLine=multi_line, columnPruning=False, **OPTIONS)
-        .csv(paths)
-    )
+    return F.from_csv(record, schema.toDDL(), OPTIONS)
 
 
-def _fits(header: tuple[str, ...]) -> Column:
-    """Whether a line fits its header.
-
-    Spark refuses queries that read the bad lines' column alone, so the first
-    column is named as well.
-    """
-    first = F.concat_ws("", F.col(f"`{header[0]}`"))
-    return F.col(BAD_LINE).isNull() & (F.length(first) >= 0)
+def read_table(
+    spark: SparkSession,
+    paths: list[str],
+    header: tuple[str, ...],
+    store: Callable[[DataFrame], DataFrame] = durable,
+) -> DataFrame:
+    """(file, name, row) of files with one header."""
+    return read_records(spark, paths, lambda record: parse_record(record, header), store)
 
 
-def _yearly(spark: SparkSession, folder: str, latest_only: bool, multi_line: bool) -> list[DataFrame]:
+def stage_yearly(
+    spark: SparkSession,
+    folder: str,
+    latest_only: bool = False,
+    store: Callable[[DataFrame], DataFrame] = durable,
+) -> list[DataFrame]:
+    """Yearly files as one stored DataFrame (name, row) per distinct header, rejects included."""
     headers = csv_headers(spark, folder)
     if not headers:
         raise ValueError(f"no CSV files in {folder}")
@@ -74,39 +54,42 @@ def _yearly(spark: SparkSession, folder: str, latest_only: bool, multi_line: boo
     if latest_only:
         name, path, header = max((p.rpartition("/")[2], p, h) for h, paths in headers for p in paths)
         headers = [(header, [path])]
-    tables = [(read_text_csv(spark, paths, header, multi_line), header) for header, paths in headers]
+    return [read_table(spark, paths, header, store) for header, paths in headers]
+
+
+def fitting(staged: list[DataFrame]) -> list[DataFrame]:
+    """The rows that fit, with ``school_year`` and ``source_file`` from the file name."""
     return [
-        t.select(
-            school_year(F.col("_metadata.file_name")).alias("school_year"),
-            F.col("_metadata.file_name").alias("source_file"),
-            "*",
-            _fits(header).alias(FITS),
-        )
-        for t, header in tables
+        t.where(F.col("row").isNotNull() & F.col("row")[BAD_LINE].isNull())
+        .select(school_year(F.col("name")).alias("school_year"), F.col("name").alias("source_file"), "row.*")
+        .drop(BAD_LINE)
+        for t in staged
     ]
 
 
-def read_yearly_csvs(
-    spark: SparkSession, folder: str, latest_only: bool = False, multi_line: bool = False
-) -> list[DataFrame]:
+def misfits(staged: list[DataFrame]) -> DataFrame:
+    """(source_file, line) of the records that do not fit their header."""
+    bad = [
+        t.select(F.col("name").alias("source_file"), F.col("row")[BAD_LINE].alias("line")).where("line IS NOT NULL")
+        for t in staged
+    ]
+    out = bad[0]
+    for other in bad[1:]:
+        out = out.unionByName(other)
+    return out
+
+
+def read_yearly_csvs(spark: SparkSession, folder: str, latest_only: bool = False) -> list[DataFrame]:
     """Yearly files as one DataFrame per distinct header.
 
     Each carries ``school_year`` and ``source_file`` from the file name.
     """
-    tables = _yearly(spark, folder, latest_only, multi_line)
-    return [t.where(FITS).drop(BAD_LINE, FITS) for t in tables]
+    return fitting(stage_yearly(spark, folder, latest_only))
 
 
-def rejected_lines(
-    spark: SparkSession, folder: str, latest_only: bool = False, multi_line: bool = False
-) -> DataFrame:
-    """(source_file, line) of the lines that do not fit their header."""
-    tables = _yearly(spark, folder, latest_only, multi_line)
-    bad = [t.where(~F.col(FITS)).select("source_file", F.col(BAD_LINE).alias("line")) for t in tables]
-    out = bad[0]
-    for other in bad[1:]:
-        out = out.unionByName(other)
-    return out
+def rejected_lines(spark: SparkSession, folder: str, latest_only: bool = False) -> DataFrame:
+    """(source_file, line) of the records that do not fit their header."""
+    return misfits(stage_yearly(spark, folder, latest_only))
 
 
 def read_coordinates(spark: SparkSession, path: str) -> DataFrame:
@@ -114,8 +97,7 @@ def read_coordinates(spark: SparkSession, path: str) -> DataFrame:
     (header, paths), *others = csv_headers(spark, path)
     if others:
         raise ValueError(f"files of different headers in {path}")
-    table = read_text_csv(spark, paths, header)
-    table = table.where(_fits(header))
+    (table,) = fitting([read_table(spark, paths, header)])
     return table.select(
         school_id_text(F.col("id")).alias("school_id"),
         lenient_double(F.col("longitude")).alias("longitude"),

@@ -1,6 +1,12 @@
 """Readers on files written here."""
 
+import csv
+import io
+import random
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
@@ -9,7 +15,7 @@ from schoolatlas.contracts import CONTRACTS
 from schoolatlas.plans.dropouts import dropout_tables
 from schoolatlas.plans.geography import read_place_codes
 from schoolatlas.plans.teachers import teacher_tables
-from schoolatlas.sources import rules
+from schoolatlas.sources import records, rules
 from schoolatlas.sources.csv_folder import csv_headers, read_coordinates, read_yearly_csvs, rejected_lines
 from schoolatlas.sources.layouts import DROPOUT_LAYOUTS
 from schoolatlas.sources.workbook import column_index, column_indexes, read_workbooks
@@ -220,13 +226,86 @@ def test_csv_quotes_and_ragged_lines(spark, tmp_path):
     )
     (tmp_path / "enrollment_2024-2025.csv").write_text("\ufeffschool_id,g1_male\n6,9\n")
     first, second = read_yearly_csvs(spark, str(tmp_path))
-    assert {tuple(r)[2:] for r in first.collect()} == {("1", 'Gov "Bong" ES, Annex', "5"), ("5", None, "8")}
-    assert first.select("g1_male").count() == 2  # however few columns are read
+    assert {tuple(r)[2:] for r in first.collect()} == {
+        ("1", 'Gov "Bong" ES, Annex', "5"), ("4", "line one\nline two", "7"), ("5", None, "8"),
+    }
+    assert first.select("g1_male").count() == 3  # however few columns are read
     assert [tuple(r)[2:] for r in second.collect()] == [("6", "9")]
     bad = [r.line for r in rejected_lines(spark, str(tmp_path)).collect()]
-    assert sorted(bad) == sorted(["2,plain,6,extra", "3,short", '4,"line one', 'line two",7'])
-    whole = read_yearly_csvs(spark, str(tmp_path), multi_line=True)[0]
-    assert ("4", "line one\nline two", "7") in {tuple(r)[2:] for r in whole.collect()}
+    assert sorted(bad) == ["2,plain,6,extra", "3,short"]
+
+
+def made_records(n, seed):
+    """Rows of three fields with commas, quotes and line breaks, some of them longer than a block."""
+    rng = random.Random(seed)
+    pieces = ["a", "b", ",", '"', "\n", "\n\n", " ", "é", '""', ',"', '",', "x" * 30]
+    text = lambda most: "".join(rng.choice(pieces) for _ in range(rng.randrange(most)))
+    return [(str(i), text(60 if i % 17 == 3 else 6), text(4)) for i in range(n)]
+
+
+@pytest.mark.parametrize("block", [48, 200, 1 << 20])
+def test_records_with_line_breaks_in_any_split(spark, tmp_path, block):
+    expected = set()
+    for year, seed in (("2023-2024", 1), ("2024-2025", 2)):
+        rows = made_records(60, seed)
+        with open(tmp_path / f"enrollment_{year}.csv", "w", newline="") as file:
+            writer = csv.writer(file, lineterminator="\r\n" if seed == 2 else "\n")
+            writer.writerow(["school_id", "school name", 'with "a\nbreak"'])
+            writer.writerows(rows)
+        expected |= {(year, *(v or None for v in row)) for row in rows}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        (frame,) = read_yearly_csvs(spark, str(tmp_path))
+        assert frame.columns == ["school_year", "source_file", "school_id", "school name", 'with "a\nbreak"']
+        found = [(r[0], *r[2:]) for r in frame.collect()]
+        assert len(found) == len(expected) and set(found) == expected
+        assert rejected_lines(spark, str(tmp_path)).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@given(st.lists(st.lists(st.text(alphabet='ab,"\n', max_size=5), min_size=2, max_size=3), min_size=1, max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_lines_are_joined_as_a_csv_reader_does(rows):
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows(rows)
+    block = records._Block("f", "n", 1, False)
+    found = [next(csv.reader(io.StringIO(text))) for _, text in block.add(out.getvalue().split("\n")[:-1])]
+    assert found == rows
+    assert block.effect[0] is False and [k for k, _ in block.end()] == [records.BLOCK]
+
+
+def test_a_block_s_effect_is_that_of_its_lines(spark):
+    """Prefix scan over functions of two states, against going through them."""
+    rng = random.Random(4)
+    rows, expected = [], set()
+    for file in ("a", "b", "c"):
+        state = False
+        for start in range(40):
+            opened, stays = rng.choice([(False, True)] * 3 + [(True, False), (False, False), (True, True)])
+            rows.append((file, start, records.BLOCK, opened, stays))
+            if state:
+                expected.add((file, start))
+            state = stays if state else opened
+    frame = spark.createDataFrame(rows, "file string, start long, kind string, opened boolean, stays boolean")
+    assert records.blocks_inside(frame) == expected
+
+
+def test_headers_read_the_head_of_a_file_only(spark, tmp_path):
+    line = "0123456789" * 10 + "\n"
+    (tmp_path / "a.csv").write_text("x,y\n" + line * 300_000)
+    (tmp_path / "b.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "c.csv").write_text('"p\nq",y')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2m")
+    try:
+        found = csv_headers(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(h, [f.rpartition("/")[2] for f in files]) for h, files in found] == [
+        (("x", "y"), ["a.csv", "b.csv"]), (("p\nq", "y"), ["c.csv"]),
+    ]
 
 
 def test_csv_folder_errors(spark, tmp_path):
