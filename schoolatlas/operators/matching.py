@@ -1,9 +1,9 @@
 """Region, province, municipality and barangay codes for school addresses.
 
-``codes`` is the official place table (id, name, geo, cc, city_class, ...).
-Each level is one left join to a lookup made of it: filtered, normalized, one
-row per key (the least code).  The size of ``codes`` is counted once and bounds
-every lookup, so one decision serves all joins.
+``place_keys`` turns the official place table (id, name, geo, cc, city_class, ...) into one
+relation in one pass: (kind, scope, name) to the least code, stored.  ``kind`` is a
+level of the address, ``scope`` the digits of the place above.  Each step is a left join of its probes
+with that relation, so no step reads, normalizes or aggregates the place table anew.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from ..functions.counts import (
 )
 from ..functions.places import barangay_name, place_name, region_name
 from ..functions.text import fold, title_words
+from ..session import durable
 from .distinct import first_per_key
 from .joins import lookup_join, per_distinct
 from .ordinals import with_group_ordinal
@@ -38,7 +39,7 @@ ISABELA_CITY = "0990101000"
 ISABELA_CITY_TEXT = "city of isabela"
 REGION_ONLY_MUNICIPALITY = "pateros"
 
-# Column order of the matched table.
+# Column order of the matched table.
 MATCHED_ORDER = [
     "school_id", "school_name",
     "division", "division_id",
@@ -50,105 +51,121 @@ MATCHED_ORDER = [
 ]
 
 
+ANYWHERE = "*"
+
+
 def _least(value: Column, name: str) -> Column:
     return F.min(value).alias(name)
 
 
-# --- region ------------------------------------------------------------------
+# --- the key relation ----------------------------------------------------------
 
 
-def region_lookup(codes: DataFrame, aliases: dict[str, str | None]) -> DataFrame:
-    """Normalized region name to code, with the aliases resolved.
+def _region_names(official: Column, aliases: dict[str, str | None]) -> Column:
+    """The texts that stand for a region: its aliases, and its own name unless that is an alias.
 
     An alias stands in for the official name; one that maps to null hides the
     name, so that rows with it are dropped.
     """
-    official = (
-        codes.where("geo = 'Reg'")
-        .groupBy(region_name(F.col("name")).alias("_official"))
-        .agg(_least(F.col("id"), "psgc_region_id"))
+    empty = F.array().cast("array<string>")
+    own = F.when(official.isin(*aliases), empty).otherwise(F.array(official)) if aliases else F.array(official)
+    by_target: dict[str, list[str]] = {}
+    for alias, target in aliases.items():
+        if target is not None:
+            by_target.setdefault(target, []).append(alias)
+    others = [
+        F.when(official == target, F.array(*map(F.lit, names))).otherwise(empty) for target, names in by_target.items()
+    ]
+    return F.concat(own, *others)
+
+
+def place_keys(codes: DataFrame, aliases: dict[str, str | None] | None = None) -> DataFrame:
+    """(kind, scope, name, id): every way to name a place, with the least of the codes that fit.
+
+    Of cities, highly urbanized ones come before sub-municipalities.  A
+    municipality stands under its province's five digits, so a prefix search is
+    an equality on them, and under ``ANYWHERE`` for rows without a province.
+    Barangays stand under their municipality by cleaned and by upper-case name,
+    and under their old code's and own code's first digits.  A caller that needs
+    fewer levels passes the codes of these levels only.
+    """
+    is_bgy, is_reg = F.col("geo") == "Bgy", F.col("geo") == "Reg"
+    named = codes.select(
+        "id", "geo", "name", "cc",
+        F.coalesce(F.lower("city_class").contains("huc"), F.lit(False)).alias("huc"),
+        F.when(is_bgy, barangay_name(F.col("name"))).when(is_reg, region_name(F.col("name")))
+        .otherwise(place_name(F.col("name"))).alias("normal"),
+    )
+    place, geo, name, region = F.col("id"), F.col("geo"), F.col("normal"), region_part(F.col("id"))
+    is_place = ~is_bgy & ~is_reg
+    is_municipality = geo.isin("SubMun", "City", "Mun")
+
+    def entry(kind: str, scope: Column, text: Column, rank: Column | None = None) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), scope.alias("scope"), text.alias("name"),
+            F.struct((F.lit(0) if rank is None else rank).alias("rank"), place.alias("id")).alias("best"),
+        )
+
+    entries = F.array(
+        F.when(is_place & (F.col("huc") | (geo == "SubMun")), entry("city", region, name, F.when(F.col("huc"), 0).otherwise(1))),
+        F.when(geo.isin("City", "Mun") & (name == REGION_ONLY_MUNICIPALITY), entry("only", region, F.lit(""))),
+        F.when(F.lower(geo) == "prov", entry("province", region, name)),
+        F.when(is_municipality, entry("municipality", province_part(place), name)),
+        F.when(is_municipality, entry("municipality", F.lit(ANYWHERE), name)),
+        F.when(is_bgy, entry("barangay", municipality_part(place), name)),
+        F.when(is_bgy, entry("upper", municipality_part(place), F.upper("name"))),
+        F.when(is_bgy, entry("old", area_scope(F.substring("cc", 1, 4), place), fold(F.col("name")))),
     )
-    spark = codes.sparkSession
-    rows = [(name, target) for name, target in aliases.items()]
-    alias = spark.createDataFrame(rows, "_region string, _official string")
-    # The aliases are a list in driver memory, so their broadcast is bounded.
-    by_alias = official.join(F.broadcast(alias), "_official").select(
-        "_region", "psgc_region_id"
+    regions = F.transform(
+        F.when(is_reg, _region_names(name, aliases or {})), lambda text: entry("region", F.lit(""), text)
     )
-    by_name = official.withColumnRenamed("_official", "_region").join(
-        F.broadcast(alias.select("_region")), "_region", "left_anti"
+    every = F.filter(F.concat(entries, F.coalesce(regions, F.array())), lambda e: e.isNotNull())
+    found = (
+        named.select(F.explode(every).alias("e"))
+        .where("e.scope IS NOT NULL AND e.name IS NOT NULL")
+        .groupBy("e.kind", "e.scope", "e.name")
+        .agg(F.min("e.best").alias("best"))
     )
-    return by_alias.unionByName(by_name.select("_region", "psgc_region_id"))
+    return durable(found.select("kind", "scope", "name", F.col("best.id").alias("id")).sortWithinPartitions("kind", "scope"))
 
 
-def attach_region(
-    meta: DataFrame,
-    codes: DataFrame,
-    aliases: dict[str, str | None],
-) -> DataFrame:
-    """Add ``psgc_region_id``; rows whose region has no code are dropped."""
-    keyed = meta.withColumn("_region", region_name(F.col("region")))
-    found = lookup_join(keyed, region_lookup(codes, aliases), ["_region"])
-    matched = found.where("psgc_region_id IS NOT NULL").drop("_region")
-    return leading_columns(
-        matched, ["region", "psgc_region_id", "school_id", "school_name"]
+def area_scope(old_code: Column, place: Column) -> Column:
+    return F.concat_ws("/", old_code, F.substring(place, 1, 5))
+
+
+def _probe(rows: DataFrame, keys: DataFrame, kind: str, scope: Column, name: Column, found: str) -> DataFrame:
+    """Add ``found``: the code of (scope, name); null finds nothing."""
+    lookup = keys.where(F.col("kind") == kind).select(
+        F.col("scope").alias("_scope"), F.col("name").alias("_name"), F.col("id").alias(found)
     )
+    keyed = rows.withColumns({"_scope": scope, "_name": name})
+    return lookup_join(keyed, lookup, ["_scope", "_name"]).drop("_scope", "_name")
 
 
-# --- province, highly urbanized city, sub-municipality ------------------------
+# --- region ------------------------------------------------------------------
 
 
-def province_lookups(codes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(city and sub-municipality by name, province by name, one per region)."""
-    named = codes.select(
-        "id",
-        "geo",
-        region_part(F.col("id")).alias("_scope"),
-        place_name(F.col("name")).alias("_name"),
-        F.lower("city_class").contains("huc").alias("_is_huc"),
-    )
-    is_municipality = F.col("geo").isin("City", "Mun")
-    cities = (
-        named.where(F.col("_is_huc") | (F.col("geo") == "SubMun"))
-        .groupBy("_scope", F.col("_name").alias("_municipality"))
-        .agg(
-            _least(F.when(F.col("_is_huc"), F.col("id")), "_huc"),
-            _least(F.when(F.col("geo") == "SubMun", F.col("id")), "_submun"),
-        )
-    )
-    provinces = (
-        named.where(F.lower("geo") == "prov")
-        .groupBy("_scope", F.col("_name").alias("_province"))
-        .agg(_least(F.col("id"), "_prov"))
-    )
-    per_region = (
-        named.where(is_municipality & (F.col("_name") == REGION_ONLY_MUNICIPALITY))
-        .groupBy("_scope")
-        .agg(_least(F.col("id"), "_only"))
+def attach_region(meta: DataFrame, keys: DataFrame) -> DataFrame:
+    """Add ``psgc_region_id``; rows whose region has no code are dropped."""
+    found = _probe(meta, keys, "region", F.lit(""), region_name(F.col("region")), "psgc_region_id")
+    return leading_columns(
+        found.where("psgc_region_id IS NOT NULL"), ["region", "psgc_region_id", "school_id", "school_name"]
     )
-    return cities, provinces, per_region
 
 
-def attach_province(
-    meta: DataFrame, codes: DataFrame
-) -> DataFrame:
+# --- province, highly urbanized city, sub-municipality ------------------------
+
+
+def attach_province(meta: DataFrame, keys: DataFrame) -> DataFrame:
     """Add ``psgc_provhuc_id``: city, then sub-municipality, then the region's
     own municipality, then province.  Two texts have fixed codes."""
-    cities, provinces, per_region = province_lookups(codes)
-    keyed = meta.select(
-        "*",
-        region_part(F.col("psgc_region_id")).alias("_scope"),
-        place_name(F.col("province")).alias("_province"),
-        place_name(F.col("municipality")).alias("_municipality"),
-    )
-    keyed = lookup_join(keyed, cities, ["_scope", "_municipality"])
-    keyed = lookup_join(keyed, provinces, ["_scope", "_province"])
-    keyed = lookup_join(keyed, per_region, ["_scope"])
-    found = keyed.select(
-        *meta.columns,
-        F.coalesce("_huc", "_submun", "_only", "_prov").alias("psgc_provhuc_id"),
+    region = region_part(F.col("psgc_region_id"))
+    found = _probe(meta, keys, "city", region, place_name(F.col("municipality")), "_city")
+    found = _probe(found, keys, "only", region, F.lit(""), "_only")
+    found = _probe(found, keys, "province", region, place_name(F.col("province")), "_prov")
+    return _fixed_provinces(
+        found.select(*meta.columns, F.coalesce("_city", "_only", "_prov").alias("psgc_provhuc_id"))
     )
-    return _fixed_provinces(found)
 
 
 def _fixed_provinces(meta: DataFrame) -> DataFrame:
@@ -173,67 +190,17 @@ def _fixed_provinces(meta: DataFrame) -> DataFrame:
     )
 
 
-# --- municipality ------------------------------------------------------------
+# --- municipality and barangay -------------------------------------------------
 
-ANYWHERE = "*"
-
-
-def municipality_lookup(codes: DataFrame) -> DataFrame:
-    """(five-digit scope, name) to code, and (anywhere, name) to code.
-
-    A municipality stands under its province's five digits, so a prefix search
-    is an equality on them.  The second set serves rows without a province.
-    """
-    named = codes.where(F.col("geo").isin("SubMun", "City", "Mun")).select(
-        "id", place_name(F.col("name")).alias("_municipality")
-    )
-    return (
-        named.withColumn(
-            "_scope",
-            F.explode(F.array(province_part(F.col("id")), F.lit(ANYWHERE))),
-        )
-        .groupBy("_scope", "_municipality")
-        .agg(_least(F.col("id"), "psgc_muni_id"))
-    )
-
-
-def attach_municipality(
-    meta: DataFrame, codes: DataFrame
-) -> DataFrame:
-    keyed = meta.select(
-        "*",
-        F.coalesce(province_scope(F.col("psgc_provhuc_id")), F.lit(ANYWHERE)).alias(
-            "_scope"
-        ),
-        place_name(F.col("municipality")).alias("_municipality"),
-    )
-    found = lookup_join(
-        keyed, municipality_lookup(codes), ["_scope", "_municipality"]
-    )
-    return found.select(*meta.columns, "psgc_muni_id")
 
+def attach_municipality(meta: DataFrame, keys: DataFrame) -> DataFrame:
+    scope = F.coalesce(province_scope(F.col("psgc_provhuc_id")), F.lit(ANYWHERE))
+    return _probe(meta, keys, "municipality", scope, place_name(F.col("municipality")), "psgc_muni_id")
 
-# --- barangay ----------------------------------------------------------------
 
-
-def attach_barangay(
-    meta: DataFrame, codes: DataFrame
-) -> DataFrame:
-    lookup = (
-        codes.where("geo = 'Bgy'")
-        .groupBy(
-            municipality_part(F.col("id")).alias("_scope"),
-            barangay_name(F.col("name")).alias("_barangay"),
-        )
-        .agg(_least(F.col("id"), "psgc_brgy_id"))
-    )
-    keyed = meta.select(
-        "*",
-        municipality_part(F.col("psgc_muni_id")).alias("_scope"),
-        barangay_name(F.col("barangay")).alias("_barangay"),
-    )
-    found = lookup_join(keyed, lookup, ["_scope", "_barangay"])
-    return found.select(*meta.columns, "psgc_brgy_id")
+def attach_barangay(meta: DataFrame, keys: DataFrame) -> DataFrame:
+    scope = municipality_part(F.col("psgc_muni_id"))
+    return _probe(meta, keys, "barangay", scope, barangay_name(F.col("barangay")), "psgc_brgy_id")
 
 
 CORRECTION_SCHEMA = "psgc_muni_id string, old string, new string, position bigint"
@@ -246,9 +213,7 @@ def correction_table(spark: SparkSession, rules: list[dict[str, str]]) -> DataFr
     return spark.createDataFrame(rows, CORRECTION_SCHEMA)
 
 
-def correct_barangays(
-    meta: DataFrame, codes: DataFrame, rules: DataFrame
-) -> DataFrame:
+def correct_barangays(meta: DataFrame, keys: DataFrame, rules: DataFrame) -> DataFrame:
     """Rename barangays that have no code, by rule, and give them their code.
 
     A rule names a municipality code, an old and a new barangay name; of
@@ -259,25 +224,10 @@ def correct_barangays(
     first = (
         rules.groupBy("psgc_muni_id", F.upper("old").alias("_old"))
         .agg(F.min(F.struct("position", "new")).alias("_rule"))
-        .select(
-            "psgc_muni_id",
-            "_old",
-            F.col("_rule.new").alias("_new"),
-            municipality_part(F.col("psgc_muni_id")).alias("_scope"),
-            F.upper("_rule.new").alias("_upper"),
-        )
-    )
-    named = (
-        codes.where("geo = 'Bgy'")
-        .groupBy(
-            municipality_part(F.col("id")).alias("_scope"),
-            F.upper("name").alias("_upper"),
-        )
-        .agg(_least(F.col("id"), "_found"))
-    )
-    resolved = lookup_join(first, named, ["_scope", "_upper"]).select(
-        "psgc_muni_id", "_old", "_new", "_found"
+        .select("psgc_muni_id", "_old", F.col("_rule.new").alias("_new"))
     )
+    scope = municipality_part(F.col("psgc_muni_id"))
+    resolved = _probe(first, keys, "upper", scope, F.upper("_new"), "_found")
     open_name = F.when(F.col("psgc_brgy_id").isNull(), F.upper("barangay"))
     found = lookup_join(
         meta.withColumn("_old", open_name), resolved, ["psgc_muni_id", "_old"]
@@ -292,7 +242,7 @@ def correct_barangays(
 
 def backfill_special_area(
     meta: DataFrame,
-    codes: DataFrame,
+    keys: DataFrame,
     restrict: bool = True,
     old_code: str = SPECIAL_AREA_OLD_CODE,
     area: str = SPECIAL_AREA,
@@ -304,20 +254,13 @@ def backfill_special_area(
     code prefixes mark them.  ``restrict`` limits the rows to the region the
     area belongs to; without it any row may be moved there.
     """
-    lookup = (
-        codes.where(
-            (F.col("geo") == "Bgy")
-            & F.col("cc").startswith(old_code)
-            & F.col("id").startswith(area[:5])
-        )
-        .groupBy(fold(F.col("name")).alias("_barangay"))
-        .agg(_least(F.col("id"), "_area_id"))
-    )
+    if len(old_code) != 4:
+        raise ValueError("an old code's first four digits mark its area")
     is_open = F.col("psgc_muni_id").isNull() | F.col("psgc_brgy_id").isNull()
     if restrict:
         is_open = is_open & (F.col("psgc_region_id") == region)
-    keyed = meta.withColumn("_barangay", F.when(is_open, fold(F.col("barangay"))))
-    found = lookup_join(keyed, lookup, ["_barangay"])
+    scope = area_scope(F.lit(old_code), F.lit(area))
+    found = _probe(meta, keys, "old", scope, F.when(is_open, fold(F.col("barangay"))), "_area_id")
     hit = F.col("_area_id").isNotNull()
     return found.withColumns(
         {
@@ -410,14 +353,15 @@ ADDRESS = ["region", "province", "municipality", "barangay"]
 
 def match_addresses(addresses: DataFrame, codes: DataFrame, rules: dict) -> DataFrame:
     """Place codes for a table of address texts: every step in order."""
-    matched = attach_region(addresses, codes, rules.get("region_psgc_map", {}))
-    matched = attach_province(matched, codes)
-    matched = attach_municipality(matched, codes)
-    matched = attach_barangay(matched, codes)
+    keys = place_keys(codes, rules.get("region_psgc_map", {}))
+    matched = attach_region(addresses, keys)
+    matched = attach_province(matched, keys)
+    matched = attach_municipality(matched, keys)
+    matched = attach_barangay(matched, keys)
     if corrections := rules.get("barangay_corrections"):
         table = correction_table(codes.sparkSession, corrections)
-        matched = correct_barangays(matched, codes, table)
-    matched = backfill_special_area(matched, codes)
+        matched = correct_barangays(matched, keys, table)
+    matched = backfill_special_area(matched, keys)
     return matched.withColumn("province", title_words(F.col("province")))
 
 
@@ -425,10 +369,10 @@ def match_places(meta: DataFrame, codes: DataFrame, rules: dict) -> DataFrame:
     """Full place codes, division ids and column order for a school table.
 
     Codes depend on the four address texts alone, so distinct addresses are
-    matched and the answers joined back.  ``rules`` is a rule file as
+    matched, stored and the answers joined back.  ``rules`` is a rule file as
     ``sources.rules.load_rules`` gives it.
     """
     matched = per_distinct(
-        meta, ADDRESS, lambda addresses: match_addresses(addresses, codes, rules)
+        meta, ADDRESS, lambda addresses: durable(match_addresses(addresses, codes, rules))
     )
     return leading_columns(attach_division(matched), MATCHED_ORDER)

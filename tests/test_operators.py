@@ -225,33 +225,36 @@ def test_region_only_municipality_comes_before_province(spark):
         ("1381701000", "Pateros", "Mun"), ("1374000000", "City of Mandaluyong", "City", None, None, "HUC"),
         ("1380601000", "Tondo I/II", "SubMun"),
     )
+    keys = matching.place_keys(table)
     rows = [
         school(school_id=str(i), region="NCR", province="First District", municipality=m)
         for i, m in enumerate(["Mandaluyong City", "Tondo I/II", "Pateros", "Elsewhere"])
     ]
-    found = matching.attach_province(matching.attach_region(schools(spark, *rows), table, {}), table)
+    found = matching.attach_province(matching.attach_region(schools(spark, *rows), keys), keys)
     ids = dict(found.select("school_id", "psgc_provhuc_id").collect())
     assert ids == {"0": "1374000000", "1": "1380601000", "2": "1381701000", "3": "1381701000"}
-    munis = dict(matching.attach_municipality(found, table).select("school_id", "psgc_muni_id").collect())
+    munis = dict(matching.attach_municipality(found, keys).select("school_id", "psgc_muni_id").collect())
     assert munis == {"0": "1374000000", "1": "1380601000", "2": "1381701000", "3": None}
 
 
 def test_municipality_without_province_is_searched_everywhere(spark):
     table = codes(spark, *BASE, ("0100300500", "Bacarra", "Mun"))
+    keys = matching.place_keys(table)
     rows = schools(spark, school(province="Unknown"))
-    found = matching.attach_municipality(matching.attach_province(matching.attach_region(rows, table, {}), table), table)
+    found = matching.attach_municipality(matching.attach_province(matching.attach_region(rows, keys), keys), keys)
     assert found.first()["psgc_provhuc_id"] is None
     assert found.first()["psgc_muni_id"] == "0100100100"
 
 
 def test_fixed_province_texts(spark):
     table = codes(spark, *BASE, ("1200000000", "Region XII", "Reg"))
+    keys = matching.place_keys(table)
     rows = schools(
         spark,
         school(region="Region XII", province="(SGA - North Cotabato) "),
         school(school_id="2", province="CITY OF ISABELA"),
     )
-    found = matching.attach_province(matching.attach_region(rows, table, {}), table).orderBy("school_id")
+    found = matching.attach_province(matching.attach_region(rows, keys), keys).orderBy("school_id")
     assert [(r["region"], r["province"], r["psgc_region_id"], r["psgc_provhuc_id"]) for r in found.collect()] == [
         ("BARMM", "NORTH COTABATO", "1900000000", "1999900000"),
         ("Region I", "CITY OF ISABELA", "0900000000", "0990101000"),
@@ -261,7 +264,7 @@ def test_fixed_province_texts(spark):
 def test_aliases_resolve_and_null_aliases_drop(spark):
     table = codes(spark, *BASE, ("1300000000", "National Capital Region", "Reg"))
     rows = schools(spark, school(region="NCR"), school(school_id="2", region="PSO"), school(school_id="3", region="??"))
-    found = matching.attach_region(rows, table, load_rules()["region_psgc_map"])
+    found = matching.attach_region(rows, matching.place_keys(table, load_rules()["region_psgc_map"]))
     assert [tuple(r) for r in found.select("school_id", "psgc_region_id").collect()] == [("1000001", "1300000000")]
 
 
@@ -282,7 +285,7 @@ def test_correction_sets_name_and_code_together(spark):
          ("5", None, "0100100100", None)],
         "school_id string, barangay string, psgc_muni_id string, psgc_brgy_id string",
     )
-    found = {tuple(r) for r in matching.correct_barangays(rows, table, rules).collect()}
+    found = {tuple(r) for r in matching.correct_barangays(rows, matching.place_keys(table), rules).collect()}
     assert found == {
         ("1", "Macabaclay", "0100100100", "0100100103"), ("2", "Not Listed", "0100100100", None),
         ("3", "Libtong", "0100100100", "0100100101"), ("4", "Makabaclay", "0999900000", None),
@@ -295,19 +298,20 @@ def test_backfill_touches_only_open_rows_of_the_region(spark):
         spark, ("1999901005", "Libtong", "Bgy", None, "124701005", None),
         ("1999902005", "LIBTONG ", "Bgy", None, "124702005", None), ("1999903005", "Libtong", "Bgy", None, "9", None),
     )
+    keys = matching.place_keys(table)
     ids = "psgc_region_id string, psgc_provhuc_id string, psgc_muni_id string, psgc_brgy_id string"
     rows = spark.createDataFrame(
         [("1", "2022", "libtong", "1900000000", None, None, None), ("1", "2023", "Libtong", "1900000000", "x", "y", None),
          ("2", "2023", "Libtong", "0100000000", None, None, None), ("3", "2023", "Libtong", "1900000000", "a", "b", "c")],
         f"school_id string, school_year string, barangay string, {ids}",
     )
-    found = {tuple(r)[:2]: tuple(r)[3:] for r in matching.backfill_special_area(rows, table).collect()}
+    found = {tuple(r)[:2]: tuple(r)[3:] for r in matching.backfill_special_area(rows, keys).collect()}
     hit = ("1900000000", "1999900000", "1999901000", "1999901005")
     assert found == {
         ("1", "2022"): hit, ("1", "2023"): hit,
         ("2", "2023"): ("0100000000", None, None, None), ("3", "2023"): ("1900000000", "a", "b", "c"),
     }
-    free = matching.backfill_special_area(rows, table, restrict=False)
+    free = matching.backfill_special_area(rows, keys, restrict=False)
     assert free.where("school_id = '2'").first()["psgc_brgy_id"] == "1999901005"
     assert free.count() == 4
 

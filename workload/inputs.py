@@ -119,8 +119,10 @@ SCHOOL_OFFERS = (
 
 _REGION2 = "lpad(CAST(n_regionkey + 1 AS STRING), 2, '0')"
 _PROVINCE5 = _REGION2 + " || lpad(CAST(n_nationkey + 1 AS STRING), 3, '0')"
-_MUNI7 = _PROVINCE5 + " || lpad(CAST(s_suppkey % 99 + 1 AS STRING), 2, '0')"
-_BGY_NUMBER = "CAST(floor(p_partkey / {n_supplier}) AS BIGINT) % 999 + 1"
+# Numbers within the place above, so that no two places share a code.
+_RANKED = "(SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS s_rank FROM {supplier}) AS ranked"
+_MUNI7 = _PROVINCE5 + " || lpad(CAST(s_rank AS STRING), 2, '0')"
+_BGY_NUMBER = "CAST(floor(p_partkey / {n_supplier}) AS BIGINT) + 1"
 _PROVINCE_NAME = (
     "CASE n_nationkey % 4 WHEN 0 THEN 'Sto. Nación ' WHEN 1 THEN 'City of Nation '"
     " WHEN 2 THEN 'Nation Sta. ' ELSE 'NATION ' END || CAST(n_nationkey AS STRING)"
@@ -150,12 +152,12 @@ SELECT {_MUNI7} || '000', {_MUNI_NAME},
        CASE WHEN s_suppkey % 13 = 0 THEN 'SubMun' WHEN s_suppkey % 3 = 0 THEN 'City' ELSE 'Mun' END,
        NULL, CASE WHEN s_suppkey % 11 = 0 THEN 'HUC' WHEN s_suppkey % 11 = 1 THEN 'CC' ELSE '' END,
        CAST(s_suppkey AS STRING)
-FROM {{supplier}} JOIN {{nation}} ON s_nationkey = n_nationkey
+FROM {_RANKED} JOIN {{nation}} ON s_nationkey = n_nationkey
 UNION ALL
 SELECT {_MUNI7} || lpad(CAST({_BGY_NUMBER} AS STRING), 3, '0'),
        {_BGY_NAME}, 'Bgy', CASE WHEN p_partkey % 10 = 0 THEN 'Old ' || p_name ELSE NULL END, NULL,
        CASE WHEN n_regionkey = 2 THEN '1247' ELSE '01' END || CAST(p_partkey AS STRING)
-FROM {{part}} JOIN {{supplier}} ON p_partkey % {{n_supplier}} = s_suppkey
+FROM {{part}} JOIN {_RANKED} ON p_partkey % {{n_supplier}} = s_suppkey
 JOIN {{nation}} ON s_nationkey = n_nationkey
 """
 
@@ -262,7 +264,7 @@ SCHOOL_NAMES = (
 
 CORRECTIONS = f"""
 SELECT {_MUNI7} || '000' AS psgc_muni_id, 'old ' || p_name AS old, {_BGY_NAME} AS new, p_partkey AS position
-FROM {{part}} JOIN {{supplier}} ON p_partkey % {{n_supplier}} = s_suppkey
+FROM {{part}} JOIN {_RANKED} ON p_partkey % {{n_supplier}} = s_suppkey
 JOIN {{nation}} ON s_nationkey = n_nationkey
 """
 

@@ -276,8 +276,7 @@ def q17_union_coerce(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def q18_region_names(spark: SparkSession, sf: str) -> DataFrame:
     schools = derive(spark, sf, inputs.SCHOOLS).select("school_id", "school_name", "region")
-    codes = derive(spark, sf, inputs.PLACE_CODES)
-    return matching.attach_region(schools, codes, inputs.REGION_ALIASES)
+    return matching.attach_region(schools, _keys(spark, sf, REGIONS))
 
 
 @query
@@ -345,68 +344,75 @@ def q23_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _codes(spark: SparkSession, sf: str) -> DataFrame:
-    """Place codes, stored once as the warehouse job does: every lookup of a query reads them."""
+    """Place codes, stored once as the warehouse job does."""
     return durable(derive(spark, sf, inputs.PLACE_CODES))
 
 
-def _in_region(spark: SparkSession, sf: str, codes: DataFrame) -> DataFrame:
-    schools = derive(spark, sf, inputs.SCHOOLS)
-    return matching.attach_region(schools, codes, inputs.REGION_ALIASES)
+def _keys(spark: SparkSession, sf: str, levels: str = "true") -> DataFrame:
+    """The names of places with their codes: every step of a query reads this one relation."""
+    codes = derive(spark, sf, inputs.PLACE_CODES).where(levels)
+    return matching.place_keys(codes, inputs.REGION_ALIASES)
+
+
+REGIONS, ABOVE_BARANGAY = "geo = 'Reg'", "geo <> 'Bgy'"
+
 
+def _in_region(spark: SparkSession, sf: str, keys: DataFrame) -> DataFrame:
+    return matching.attach_region(derive(spark, sf, inputs.SCHOOLS), keys)
 
-def _in_barangay(spark: SparkSession, sf: str, codes: DataFrame) -> DataFrame:
-    matched = matching.attach_province(_in_region(spark, sf, codes), codes)
-    matched = matching.attach_municipality(matched, codes)
-    return matching.attach_barangay(matched, codes)
+
+def _in_barangay(spark: SparkSession, sf: str, keys: DataFrame) -> DataFrame:
+    matched = matching.attach_province(_in_region(spark, sf, keys), keys)
+    return matching.attach_barangay(matching.attach_municipality(matched, keys), keys)
 
 
 @query
 def q24_province_huc(spark: SparkSession, sf: str) -> DataFrame:
-    codes = _codes(spark, sf)
-    return matching.attach_province(_in_region(spark, sf, codes), codes).select(
+    keys = _keys(spark, sf, ABOVE_BARANGAY)
+    return matching.attach_province(_in_region(spark, sf, keys), keys).select(
         "school_id", "region", "province", "psgc_region_id", "psgc_provhuc_id"
     )
 
 
 @query
 def q25_municipality_prefix(spark: SparkSession, sf: str) -> DataFrame:
-    codes = _codes(spark, sf)
-    matched = matching.attach_province(_in_region(spark, sf, codes), codes)
-    return matching.attach_municipality(matched, codes).select(
+    keys = _keys(spark, sf, ABOVE_BARANGAY)
+    matched = matching.attach_province(_in_region(spark, sf, keys), keys)
+    return matching.attach_municipality(matched, keys).select(
         "school_id", "psgc_provhuc_id", "psgc_muni_id"
     )
 
 
 @query
 def q26_barangay(spark: SparkSession, sf: str) -> DataFrame:
-    return _in_barangay(spark, sf, _codes(spark, sf)).select(
+    return _in_barangay(spark, sf, _keys(spark, sf)).select(
         "school_id", "psgc_muni_id", "psgc_brgy_id"
     )
 
 
 @query
 def q27_corrections(spark: SparkSession, sf: str) -> DataFrame:
-    codes = _codes(spark, sf)
+    keys = _keys(spark, sf)
     rules = derive(spark, sf, inputs.CORRECTIONS)
-    matched = matching.correct_barangays(_in_barangay(spark, sf, codes), codes, rules)
+    matched = matching.correct_barangays(_in_barangay(spark, sf, keys), keys, rules)
     return matched.select("school_id", "barangay", "psgc_muni_id", "psgc_brgy_id")
 
 
 @query
 def q28_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    codes = _codes(spark, sf)
-    matched = _in_barangay(spark, sf, codes)
-    return matching.backfill_special_area(matched, codes, **inputs.SPECIAL_AREA).select(
+    keys = _keys(spark, sf)
+    matched = _in_barangay(spark, sf, keys)
+    return matching.backfill_special_area(matched, keys, **inputs.SPECIAL_AREA).select(
         "school_id", *matching.PLACE_IDS
     )
 
 
 @query
 def q28_backfill_anywhere(spark: SparkSession, sf: str) -> DataFrame:
-    codes = _codes(spark, sf)
-    matched = _in_barangay(spark, sf, codes)
+    keys = _keys(spark, sf)
+    matched = _in_barangay(spark, sf, keys)
     filled = matching.backfill_special_area(
-        matched, codes, restrict=False, **inputs.SPECIAL_AREA
+        matched, keys, restrict=False, **inputs.SPECIAL_AREA
     )
     return filled.select("school_id", *matching.PLACE_IDS)
 
@@ -431,14 +437,14 @@ def q30_divisions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q31_province_list(spark: SparkSession, sf: str) -> DataFrame:
-    codes = _codes(spark, sf)
-    matched = matching.attach_province(_in_region(spark, sf, codes), codes)
-    return matching.province_list(matched, codes)
+    keys = _keys(spark, sf, ABOVE_BARANGAY)
+    matched = matching.attach_province(_in_region(spark, sf, keys), keys)
+    return matching.province_list(matched, _codes(spark, sf))
 
 
 @query
 def q31_region_list(spark: SparkSession, sf: str) -> DataFrame:
-    return matching.region_list(_in_region(spark, sf, _codes(spark, sf)))
+    return matching.region_list(_in_region(spark, sf, _keys(spark, sf, REGIONS)))
 
 
 @query
@@ -451,8 +457,7 @@ def q32_location_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _hashed(spark: SparkSession, sf: str) -> DataFrame:
-    codes = _codes(spark, sf)
-    matched = _in_barangay(spark, sf, codes).withColumn(
+    matched = _in_barangay(spark, sf, _keys(spark, sf)).withColumn(
         "school_year", F.lit("2023-2024")
     )
     # Matched rows are stored before the address steps, as in the warehouse job.
@@ -608,7 +613,7 @@ def q41_schools_per_year(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q42_unmatched_names(spark: SparkSession, sf: str) -> DataFrame:
-    found = analysis.unmatched_barangays(_in_barangay(spark, sf, _codes(spark, sf)))
+    found = analysis.unmatched_barangays(_in_barangay(spark, sf, _keys(spark, sf)))
     return found.withColumnRenamed("count", "rows_seen")
 
 
