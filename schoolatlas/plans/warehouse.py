@@ -7,15 +7,11 @@ from pyspark.sql import functions as F
 
 from ..contracts import CONTRACTS
 from ..operators.distinct import last_per_key
-from ..operators.keys import (
-    build_lookup,
-    extract_lookup,
-    label_to_key,
-    with_surrogate_key,
-)
+from ..operators.keys import label_to_key, with_surrogate_key
 from ..operators.matching import match_places
 from ..operators.quality import geography_orphans, orphans, require_contract
 from ..operators.reshape import union_all
+from ..session import temporary_copies
 from ..sources.csv_folder import read_coordinates
 from ..sources.rules import load_rules, region_names, seed_tables
 from .dropouts import dropout_tables
@@ -27,28 +23,10 @@ from .geography import (
     read_place_codes,
     with_address_hash,
 )
+from .stored import extend_lookup, is_stored, merge_by_key, replace_partitions, store
 from .teachers import teacher_tables
 
 
-def store(df: DataFrame, folder: str, name: str, partition: str | None = None) -> DataFrame:
-    """Replace a table and return it as it was written."""
-    writer = df.write.mode("overwrite")
-    if partition:
-        writer = writer.partitionBy(partition)
-    writer.parquet(f"{folder}/{name}")
-    return df.sparkSession.read.parquet(f"{folder}/{name}")
-
-
-def replace_by_id(df: DataFrame, key: str = "id") -> DataFrame:
-    """Insert-or-replace: one row per key, the greatest of equal keys."""
-    return last_per_key(df, [key])
-
-
-def store_if_any(df: DataFrame, folder: str, name: str, partition: str | None = None) -> DataFrame | None:
-    """An optional table: written only when it has rows."""
-    return None if df.isEmpty() else store(df, folder, name, partition)
-
-
 #: Audit tables by the name of what they audit: stored with ``audit_`` before the name.
 AUDITS = ["invalid_counts", "csv_rejects", "teacher_rejects", "dropout_rejects", "dropout_metrics"]
 PLACE_KEYS = ["psgc_region_id", "psgc_provhuc_id", "psgc_muni_id", "psgc_brgy_id"]
@@ -77,23 +55,35 @@ def load_warehouse(
     seeds: dict[str, DataFrame],
     folder: str,
     number_facts: bool = False,
+    keep: bool = False,
 ) -> dict[str, DataFrame]:
     """Write lookups first, then the facts that point at them.
 
     Facts are partitioned by year key, the column most questions filter on.
     They keep their natural keys; ``number_facts`` adds a row number ``id`` to
-    each, at the price of a range sort.
+    each, at the price of a range sort.  With ``keep`` a load adds to a stored
+    warehouse: known labels keep their keys, places are replaced by id, the
+    years of the load take the place of the stored ones and all other years stay.
     """
+    spark = tables["enrollment"].sparkSession
 
     def numbered(df: DataFrame) -> DataFrame:
         return with_surrogate_key(df) if number_facts else df
 
+    def lookup(df: DataFrame, column: str, name: str) -> DataFrame:
+        known = spark.read.parquet(f"{folder}/{name}") if keep and is_stored(spark, folder, name) else None
+        rows = extend_lookup(df, column, known)
+        return store(rows, folder, name) if known is None else merge_by_key(rows, folder, name)
+
+    def fact(df: DataFrame, name: str, partition: str) -> DataFrame:
+        return (replace_partitions if keep else store)(numbered(df), folder, name, partition)
+
     out = {name: store(df, folder, name) for name, df in seeds.items()}
     grades = out["school_grades"]
     enrollment = tables["enrollment"]
 
-    years = out["school_years"] = store(build_lookup(enrollment, "school_year"), folder, "school_years")
-    strands = out["school_strands"] = store(build_lookup(enrollment, "strand"), folder, "school_strands")
+    years = out["school_years"] = lookup(enrollment, "school_year", "school_years")
+    strands = out["school_strands"] = lookup(enrollment, "strand", "school_strands")
 
     def with_year(df: DataFrame) -> DataFrame:
         return label_to_key(df, "school_year", years, "school_year_id", "school_year")
@@ -103,26 +93,24 @@ def load_warehouse(
         return label_to_key(keyed, "strand", strands, "strand_id", "strand")
 
     year = "school_year_id"
-    out["school_levels"] = store(numbered(with_year(tables["school_levels"])), folder, "school_levels", year)
-    out["enroll"] = store(numbered(with_grade_and_strand(with_year(enrollment))), folder, "enroll", year)
+    out["school_levels"] = fact(with_year(tables["school_levels"]), "school_levels", year)
+    out["enroll"] = fact(with_grade_and_strand(with_year(enrollment)), "enroll", year)
 
     if "dropouts" in tables:
         facts = with_year(with_grade_and_strand(tables["dropouts"]))
-        if (stored := store_if_any(numbered(facts), folder, "dropouts", year)) is not None:
-            out["dropouts"] = stored
+        if not facts.isEmpty():  # an optional table: written only when it has rows
+            out["dropouts"] = fact(facts, "dropouts", year)
 
-    out["geos"] = store(numbered(tables["geo"]), folder, "geos", "school_year")
-    out["addr"] = store(numbered(tables["address"]), folder, "addr", "school_year")
-    out["psgc"] = store(replace_by_id(tables["psgc"]), folder, "psgc")
+    out["geos"] = fact(tables["geo"], "geos", "school_year")
+    out["addr"] = fact(tables["address"], "addr", "school_year")
+    out["psgc"] = (merge_by_key if keep else store)(last_per_key(tables["psgc"], ["id"]), folder, "psgc")
 
     if "region_names" in tables:
         out["region_names"] = store(tables["region_names"], folder, "region_names")
     if "teachers" in tables and not tables["teachers"].isEmpty():
-        facts, positions = extract_lookup(
-            with_year(tables["teachers"]), "position", "teacher_position_id"
-        )
-        out["teacher_positions"] = store(positions, folder, "teacher_positions")
-        out["teachers"] = store(numbered(facts), folder, "teachers", year)
+        positions = out["teacher_positions"] = lookup(tables["teachers"], "position", "teacher_positions")
+        facts = label_to_key(with_year(tables["teachers"]), "position", positions, "teacher_position_id", "position")
+        out["teachers"] = fact(facts, "teachers", year)
     for name in AUDITS:
         if name in tables:
             out[f"audit_{name}"] = store(tables[name], folder, f"audit_{name}")
@@ -179,8 +167,10 @@ def build_warehouse(
     out_folder: str,
     seeds_file: str | None = None,
     number_facts: bool = False,
+    keep: bool = False,
     **sources: str,
 ) -> dict[str, DataFrame]:
-    """Sources to warehouse; ``sources`` as for ``extract_tables``."""
-    tables = extract_tables(spark, stage_folder=f"{out_folder}/_stage", **sources)
-    return load_warehouse(tables, seed_tables(spark, seeds_file), out_folder, number_facts)
+    """Sources to warehouse; ``sources`` as for ``extract_tables``, ``keep`` as for ``load_warehouse``."""
+    with temporary_copies(spark):
+        tables = extract_tables(spark, stage_folder=f"{out_folder}/_stage", **sources)
+        return load_warehouse(tables, seed_tables(spark, seeds_file), out_folder, number_facts, keep)

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPES: list[list[str]] = []
+
 
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName("schoolatlas")
@@ -33,15 +37,32 @@ def shared_folder(spark: SparkSession) -> str:
 def durable(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder as Parquet and read them from there.
 
-    The copy survives lost executors, is computed once and has statistics.
-    ``clear_durable`` removes the application's copies at the end of a job.
+    The copy survives lost executors, is computed once and has statistics.  It
+    goes with the ``temporary_copies`` it was made in, or with ``clear_durable``.
     """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary_copies(spark: SparkSession) -> Iterator[None]:
+    """The stored copies that a job makes go at its end, also if it fails; those made before it stay."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def clear_durable(spark: SparkSession) -> None:
     """Delete all that ``durable`` has written for this application."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, shared_folder(spark))

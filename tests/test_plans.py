@@ -1,10 +1,12 @@
 """Whole jobs: enrollment folder, warehouse, analysis."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from schoolatlas.contracts import CONTRACTS
 from schoolatlas.operators.quality import require_contract
-from schoolatlas.plans import analysis, enrollment, geography, warehouse
+from schoolatlas.plans import analysis, enrollment, geography, stored, warehouse
+from schoolatlas.session import durable, temporary_copies
 from schoolatlas.sources.rules import load_rules
 from tests.test_sources import PLACE_HEADER, dropout_books, teacher_sheets
 from tests.xlsx import write_workbook
@@ -211,14 +213,100 @@ def test_optional_tables_are_left_out(spark, built, tmp_path):
     ids = [r["id"] for r in tables["enroll"].select("id").collect()]
     assert sorted(ids) == list(range(1, len(ids) + 1))
     assert "teachers" not in tables and "dropouts" not in tables
-    empty = spark.createDataFrame([], "a string")
-    assert warehouse.store_if_any(empty, str(tmp_path), "nothing") is None
-    assert not (tmp_path / "nothing").exists()
 
 
-def test_replace_by_id(spark):
-    df = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c")], "id string, v string")
-    assert {tuple(r) for r in warehouse.replace_by_id(df).collect()} == {("1", "b"), ("2", "c")}
+def test_a_second_load_keeps_keys_and_other_years(spark, built, tmp_path):
+    _, sources, _ = built
+    some = {k: v for k, v in sources.items() if k not in ("teacher_folder", "dropout_folder")}
+    out = str(tmp_path / "out")
+    first = {n: [tuple(r) for r in t.collect()] for n, t in warehouse.build_warehouse(spark, out, **some).items()}
+    (tmp_path / "more").mkdir()
+    (tmp_path / "more" / "enrollment_2022-2023.csv").write_text(
+        "school_id,school_name,region,province,municipality,barangay,g11_newstrand_male\n"
+        "100009,New ES,Region I,Ilocos Norte,Bacarra,Libtong,4\n"
+    )
+    more = some | {"enrollment_folder": str(tmp_path / "more")}
+    for _ in range(2):  # the same load again changes nothing
+        second = warehouse.build_warehouse(spark, out, keep=True, **more)
+        years = dict(second["school_years"].select("school_year", "id").collect())
+        assert years == {"2023-2024": 1, "2025-2026": 2, "2022-2023": 3}
+        strands = {r["strand"]: r["id"] for r in second["school_strands"].collect()}
+        known = {r[1]: r[0] for r in first["school_strands"]}
+        assert "newstrand" not in known and strands == known | {"newstrand": len(known) + 1}
+        enroll = second["enroll"].select(*spark.read.parquet(f"{out}/enroll").columns)
+        old = enroll.where("school_year_id <> 3").collect()
+        assert len(old) == len(first["enroll"]) and enroll.where("school_year_id = 3").count() == 1
+        assert second["geos"].count() == len(first["geos"]) + 1
+        assert second["psgc"].count() == len(first["psgc"])
+    assert not any((tmp_path / "out" / "_next").iterdir())
+
+
+def rows(df, *columns):
+    return {tuple(r) for r in df.select(*columns).collect()}
+
+
+def test_insert_or_replace(spark, tmp_path):
+    folder, schema = str(tmp_path), "id long, year string, v string"
+    frame = lambda *values: spark.createDataFrame(values, schema)
+    stored.merge_by_key(frame((1, "a", "x"), (1, "a", "y"), (2, "a", "z"), (3, "b", "z")), folder, "t", partition="year")
+    untouched = sorted(p.name for p in (tmp_path / "t" / "year=b").iterdir())
+    # A changed row that moves to another partition, a new one, a new partition; the others stay.
+    merged = stored.merge_by_key(frame((2, "c", "moved"), (4, None, "new")), folder, "t", partition="year")
+    assert rows(merged, "id", "year", "v") == {(1, "a", "y"), (2, "c", "moved"), (3, "b", "z"), (4, None, "new")}
+    assert sorted(p.name for p in (tmp_path / "t" / "year=b").iterdir()) == untouched
+    # The last row of a partition leaves it.
+    merged = stored.merge_by_key(frame((1, "b", "w")), folder, "t", partition="year")
+    assert rows(merged, "id", "year", "v") == {(1, "b", "w"), (2, "c", "moved"), (3, "b", "z"), (4, None, "new")}
+    assert not (tmp_path / "t" / "year=a").exists()
+    # Other columns; rows without the key are appended.
+    wider = spark.createDataFrame([(3, "b", 1.5)], "id long, year string, w double")
+    merged = stored.merge_by_key(wider, folder, "t", partition="year")
+    assert rows(merged, "id", "v", "w") == {(1, "w", None), (2, "moved", None), (3, None, 1.5), (4, "new", None)}
+    merged = stored.merge_by_key(spark.createDataFrame([("q",), ("p",)], "v string"), folder, "t", partition=None)
+    assert rows(merged.where("id > 4"), "id", "v") == {(5, "p"), (6, "q")}
+    plain = stored.merge_by_key(spark.createDataFrame([("q",), ("p",)], "v string"), folder, "plain")
+    assert rows(plain, "id", "v") == {(1, "p"), (2, "q")}
+
+
+def test_a_failed_load_leaves_the_table(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    good = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id long, year string, v string")
+    stored.merge_by_key(good, folder, "t", partition="year")
+    bad = good.withColumn("v", F.when(F.col("id") == 2, F.raise_error(F.lit("no"))).otherwise("z").cast("string"))
+    with pytest.raises(Exception, match="no"):
+        stored.merge_by_key(bad, folder, "t", partition="year")
+    assert rows(spark.read.parquet(f"{folder}/t"), "id", "v") == {(1, "x"), (2, "y")}
+    # A move that fails half-way puts the moved partition back.
+    real, calls = stored._files, []
+
+    def broken(session, path):
+        calls.append(path)
+        if path.endswith("new/year=b"):
+            raise OSError("lost")
+        return real(session, path)
+
+    monkeypatch.setattr(stored, "_files", broken)
+    with pytest.raises(OSError, match="lost"):
+        stored.merge_by_key(good.withColumn("v", F.lit("changed")), folder, "t", partition="year")
+    monkeypatch.setattr(stored, "_files", real)
+    assert rows(spark.read.parquet(f"{folder}/t"), "id", "v") == {(1, "x"), (2, "y")}
+    assert calls
+
+
+def test_partitions_are_few_files(spark, tmp_path):
+    df = spark.range(4000).select("id", (F.col("id") % 3).alias("year")).repartition(16)
+    stored.store(df, str(tmp_path), "t", "year")
+    assert len(list((tmp_path / "t").glob("year=*/*.parquet"))) <= 8
+
+
+def test_temporary_copies_go_with_their_job(spark):
+    before = durable(spark.range(2))
+    with temporary_copies(spark):
+        inner = durable(spark.range(3))
+        assert inner.count() == 3
+    assert before.count() == 2
+    with pytest.raises(Exception, match="(?i)exist"):
+        spark.read.parquet(inner.inputFiles()[0]).count()
 
 
 def test_analysis(spark):

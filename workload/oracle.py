@@ -514,3 +514,22 @@ SELECT o_orderkey, o_orderkey % 10 IN (3, 7) AS rejected,
   CASE WHEN NOT rejected THEN 'Order "' || o_orderpriority || '", no. ' || o_orderkey END AS school_name,
   CASE WHEN NOT rejected THEN o_orderstatus END AS status
 FROM orders"""
+
+SQL["q49_csv_records"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS school_id,
+    'Order "' || o_orderpriority || '",' || CASE WHEN o_orderkey % 5 = 0 THEN chr(10) || chr(10) WHEN o_orderkey % 3 = 0 THEN chr(10) ELSE ' ' END
+        || 'no. ' || CAST(o_orderkey AS VARCHAR) AS school_name, o_orderstatus AS status
+FROM orders
+"""
+
+SQL["q50_insert_or_replace"] = """
+SELECT CAST(o_orderkey AS BIGINT) AS id,
+    CAST(year(o_orderdate) + CASE WHEN o_orderkey % 40 = 0 THEN 1 ELSE 0 END AS INTEGER) AS year,
+    CASE WHEN o_orderkey % 4 = 0 THEN lower(o_orderstatus) ELSE o_orderstatus END AS status
+FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 4 = 0
+"""
+
+SQL["q51_stable_keys"] = """
+WITH l AS (SELECT o_orderpriority || '-' || CAST(o_orderkey % 50 AS VARCHAR) AS label, max(o_orderkey % 50 >= 20) AS known FROM orders GROUP BY 1)
+SELECT row_number() OVER (ORDER BY known DESC, label) AS id, label FROM l
+"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 from schoolatlas.functions import counts, labels, places, school_names, text
 from schoolatlas.operators import cleaning, distinct, joins, keys, matching, quality, reshape
-from schoolatlas.plans import analysis, dropouts, enrollment, geography, teachers
-from schoolatlas.session import durable
+from schoolatlas.plans import analysis, dropouts, enrollment, geography, stored, teachers
+from schoolatlas.session import durable, shared_folder
 from schoolatlas.sources import csv_folder
 from schoolatlas.sources import rules as rule_files
 from schoolatlas.sources.sheets import column_indexes
@@ -695,3 +696,48 @@ def q48_csv_lines(spark: SparkSession, sf: str) -> DataFrame:
         (~fits).alias("rejected"),
         *[F.when(fits, F.col("p")[c]).alias(c) for c in ("school_id", "school_name", "status")],
     )
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+@query
+def q49_csv_records(spark: SparkSession, sf: str) -> DataFrame:
+    """A register of all orders as CSV files whose names hold commas, quotes and line breaks."""
+    folder = _own_folder(spark)
+    key = F.col("o_orderkey").cast("string")
+    breaks = F.when(F.col("o_orderkey") % 5 == 0, F.lit("\n\n")).when(F.col("o_orderkey") % 3 == 0, F.lit("\n")).otherwise(F.lit(" "))
+    name = F.concat(F.lit('Order "'), F.col("o_orderpriority"), F.lit('",'), breaks, F.lit("no. "), key)
+    register = table(spark, sf, "orders").select(
+        key.alias("school_id"), name.alias("school name"), F.col("o_orderstatus").alias("status")
+    )
+    register.write.options(header=True, escape='"').csv(folder)
+    found = [csv_folder.read_table(spark, paths, header) for header, paths in csv_folder.csv_headers(spark, folder)]
+    (rows,) = csv_folder.fitting(found)
+    return rows.select("school_id", F.col("school name").alias("school_name"), "status")
+
+
+@query
+def q50_insert_or_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in two loads: the second changes some rows, adds others and moves a few to another year."""
+    folder = _own_folder(spark)
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("year"), F.col("o_orderstatus").alias("status")
+    )
+    stored.merge_by_key(orders.where("id % 3 <> 0"), folder, "register", partition="year")
+    changed = orders.where("id % 4 = 0").withColumn("status", F.lower("status"))
+    changed = changed.withColumn("year", F.when(F.col("id") % 40 == 0, F.col("year") + 1).otherwise(F.col("year")))
+    return stored.merge_by_key(changed, folder, "register", partition="year").select(
+        F.col("id").cast("bigint"), F.col("year").cast("int"), "status"
+    )
+
+
+@query
+def q51_stable_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels in two loads: known ones keep their keys, new ones follow."""
+    labels = table(spark, sf, "orders").select(
+        F.concat_ws("-", "o_orderpriority", (F.col("o_orderkey") % 50).cast("string")).alias("label"), "o_orderkey"
+    )
+    known = durable(stored.extend_lookup(labels.where("o_orderkey % 50 >= 20"), "label", None))
+    return stored.extend_lookup(labels, "label", known)
