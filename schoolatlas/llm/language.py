@@ -12,9 +12,10 @@ so a text is walked once however many languages there are.  The bytes that the t
 are settled by shorter contexts, again for all languages at once.
 
 Learning reads a bounded sample: of every language the documents with the smallest hashed
-ids, up to ``DOCS_PER_LANGUAGE`` documents and ``BYTES_PER_LANGUAGE`` bytes of whole texts
-(at least one document).  Contexts are counted in Spark; the model's size follows the
-sample's, never the corpus.
+ids, up to ``DOCS_PER_LANGUAGE`` documents and ``BYTES_PER_LANGUAGE`` bytes.  A text of more
+than ``PART_CHARS`` characters teaches by a part of so many, from a hashed place on, so that
+no long text takes or blocks the budget of its language.  Contexts are counted in Spark; the
+model's size follows the sample's, never the corpus.
 
 Defined cases: a null or empty text, or one without a letter, is ``und`` with score 0; on
 equal bits the language first by code point wins; without any learning row everything is
@@ -35,6 +36,7 @@ from schoolatlas.llm.common import ship, slices, text_bytes
 ORDER = 3
 DOCS_PER_LANGUAGE = 600
 BYTES_PER_LANGUAGE = 1_000_000
+PART_CHARS = 50_000
 FOLDS = 5
 
 ship(__name__)
@@ -46,7 +48,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learning_sample(
-    docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, bytes_per_language: int = BYTES_PER_LANGUAGE
+    docs: DataFrame,
+    docs_per_language: int = DOCS_PER_LANGUAGE,
+    bytes_per_language: int = BYTES_PER_LANGUAGE,
+    part_chars: int = PART_CHARS,
 ) -> DataFrame:
     """(lang, text) of the rows to learn from: the bounded sample of the rows that are not held out."""
     rows = docs.filter(
@@ -55,6 +60,8 @@ def learning_sample(
     # A hash below share * 2^63 keeps about four times the rows needed; languages below that keep all.
     sizes = rows.groupBy("lang").agg(F.count("*").alias("of_lang"))
     hashed = rows.select("lang", "text", (F.xxhash64("doc_id", F.lit("sample")).bitwiseAND(F.lit((1 << 62) - 1))).alias("draw"))
+    spare = F.length("text") - part_chars
+    part = F.substring(F.col("text"), (F.col("draw") % (spare + 1) + 1).cast("int"), F.lit(part_chars))
     few = hashed.join(F.broadcast(sizes), "lang").filter(
         F.col("draw") < F.lit(float(1 << 62)) * F.least(F.lit(1.0), F.lit(4.0 * docs_per_language) / F.col("of_lang"))
     )
@@ -62,8 +69,9 @@ def learning_sample(
     return (
         few.withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= docs_per_language)
-        .withColumn("before", F.sum(F.octet_length("text")).over(order) - F.octet_length("text"))
-        .filter((F.col("before") + F.octet_length("text") <= bytes_per_language) | (F.col("place") == 1))
+        .withColumn("text", F.when(spare > 0, part).otherwise(F.col("text")))
+        .withColumn("until", F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("place")))
+        .filter(F.col("until") <= bytes_per_language)
         .select("lang", "text")
     )
 

@@ -9,6 +9,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from schoolatlas.llm import language
 from schoolatlas.llm.common import text_bytes
@@ -95,3 +96,21 @@ def test_edge_cases(spark, edge):
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "words", None)], "doc_id long, text string, lang string")
     assert language.identify(docs, language.learn(docs)).first().lang_pred == "und"
+
+
+def test_long_texts_do_not_take_a_language_s_budget(spark):
+    """Every tenth English text is longer than the whole budget; both languages fill theirs."""
+    rows = [(i, "the brown fox " * (9000 if i % 10 == 0 else 10), "en") for i in range(400)]
+    rows += [(i, "der braune Fuchs " * 10, "de") for i in range(400, 800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language.learning_sample(docs, bytes_per_language=20_000, part_chars=500)
+    taken = {r.lang: (r.n, r.b) for r in sample.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).collect()}
+    for lang in ("en", "de"):
+        n, size = taken[lang]
+        assert n > 80 and 19_000 <= size <= 20_000
+    assert sample.agg(F.max(F.length("text"))).first()[0] == 500
+    only_long = docs.where("lang = 'en' AND doc_id % 10 = 0")
+    assert language.learning_sample(only_long, part_chars=500).count() > 20
+    model = language.learn(docs)
+    found = language.identify(docs, model).groupBy("lang", "lang_pred").count().collect()
+    assert {(r.lang, r.lang_pred) for r in found} == {("en", "en"), ("de", "de")}
