@@ -1,10 +1,19 @@
 """Main text of web pages by site template removal.
 
-Each page is parsed once into blocks of text.  Scripts, forms, menus and the like go by their
-tag, role or class; of a page with an ``article`` or ``main`` only what stands in it is kept.  Every
-block-level element gets a hash of its subtree (tags and text, not attributes).  Spark counts per
-host on how many distinct pages each subtree stands, and the blocks inside a subtree that
-recurs on at least ``MIN_PAGES`` pages and ``PAGE_SHARE`` of the host's pages are deleted.
+Each page is parsed once into blocks of text and the block-level elements they stand in.  Every
+element gets two hashes of its subtree: of its tags and text, and of its skeleton (tags, classes, ids
+and whether there is text, without the text, digits and the number of like neighbours), since menus,
+adverts and footers keep their form while their words change from page to page.  Spark counts per
+host on how many distinct pages each subtree stands, and the blocks inside a subtree that recurs are
+deleted:
+
+* inside ``article`` or ``main``, same text on ``MIN_PAGES`` pages and ``PAGE_SHARE`` of the host's;
+* elsewhere, same text on ``MIN_PAGES`` pages and that share, or on ``MANY_PAGES`` pages of a large host;
+* elsewhere, same skeleton on as many pages, if the page has an ``article`` or ``main`` (and the
+  element doesn't hold it) or if most of the element's text is in links.
+
+What the count cannot tell (hosts of few pages) is left to the markup: ``lists`` drops blocks by
+tag, role and class, and of a page with an ``article`` or ``main`` keeps what stands in it.
 
 Counting is pre-aggregated in the map tasks and keyed by (host, page, subtree), then by (host,
 subtree), so a large host does not gather in a task; copies of a page count once.
@@ -13,9 +22,10 @@ Text: character references are decoded, white space in a block becomes one space
 trimmed and joined in page order by one space.
 
 Defined cases: null or empty html gives an empty text; a page whose url has no host has no
-template; unclosed elements end with their parent; stray end tags and a ``<`` that opens no tag are
-ignored and text; an unclosed script or comment runs to the end; repeated rows get the same
-text each; other columns do not matter.
+template; unclosed elements end with their parent; elements nest to any depth; stray end tags and a
+``<`` that opens no tag are ignored and text; an unclosed script or comment runs to the end; a very
+long page is parsed whole in one task, in memory of some ten times its size; repeated rows get
+the same text each; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -34,6 +44,12 @@ from schoolatlas.llm.common import ship, store
 
 MIN_PAGES = 5
 PAGE_SHARE = 0.5
+#: Outside the main part so many pages of a host are enough, whatever share that is.
+MANY_PAGES = 50
+#: An element with at least this share of its characters in links is no content.
+LINK_SHARE = 0.6
+#: What a subtree's hash stands for.
+MAIN_TEXT, OTHER_TEXT, SKELETON = 0, 1, 2
 
 ship(__name__)
 
@@ -99,98 +115,149 @@ def _unwanted(tag: str, attributes: str, in_main: bool) -> bool:
 
 
 class _Element:
-    __slots__ = ("blocks", "digest", "header", "is_block", "main", "tag", "unwanted")
+    __slots__ = ("block", "digest", "first", "header", "is_block", "last", "links", "main", "skeleton", "tag", "unwanted", "with_main")
 
-    def __init__(self, tag: str, unwanted: bool, main: bool, header: bool):
+    def __init__(self, tag: str, unwanted: bool, main: bool, header: bool, parent: _Element | None, names: str, first: int):
         self.tag, self.unwanted, self.main, self.header = tag, unwanted, main, header
-        self.is_block = tag in BLOCK
+        self.is_block = tag in BLOCK or parent is None
+        #: The nearest block-level element, itself included.
+        self.block = self if self.is_block else parent.block
         self.digest = hashlib.blake2b(tag.encode(), digest_size=8)
-        self.blocks: list[int] = []
-
-
-def parse(html: str) -> tuple[list[str], list[list[int]]]:
-    """The blocks of a page's main part in page order, and the hashes of the subtrees each stands in."""
-    texts: list[str] = []
-    subtrees: list[list[int]] = []
-    in_main: list[bool] = []
-    root = _Element("", False, False, False)
-    stack, pending = [root], []
-
-    def flush() -> None:
-        text = " ".join(references.unescape("".join(pending)).split())
-        pending.clear()
-        top = stack[-1]
-        if text and not top.unwanted:
-            if not (top.header and not any(e.tag in HEADINGS for e in stack)):
-                for element in stack[1:]:
-                    if element.is_block:
-                        element.blocks.append(len(texts))
-                texts.append(text)
-                subtrees.append([])
-                in_main.append(top.main)
-            for element in reversed(stack):
-                element.digest.update(b"=" + text.encode("utf-8", "replace"))
-                if element.is_block:
-                    break
-
-    def close() -> None:
-        element = stack[-1]
-        if element.is_block:
-            flush()
-        stack.pop()
-        stack[-1].digest.update(b"<" + element.digest.digest())
-        if element.is_block:
-            number = int.from_bytes(element.digest.digest(), "big", signed=True)
-            for block in element.blocks:
-                subtrees[block].append(number)
-
-    at = 0
-    for token in _TOKEN.finditer(html):
-        if token.start() > at:
-            pending.append(html[at : token.start()])
-        at = token.end()
-        tag = token["tag"]
-        if not tag:
-            continue
-        tag = tag.lower()
-        if tag == "br":
-            pending.append(" ")
-        elif token["end"]:
-            if any(e.tag == tag for e in stack):
-                while stack[-1].tag != tag:
-                    close()
-                close()
-            elif tag in BLOCK:
-                flush()
-        elif tag in VOID:
-            if tag in BLOCK:
-                flush()
-        else:
-            if tag in BLOCK:
+        self.skeleton = hashlib.blake2b(f"{tag} {names}".encode("utf-8", "replace"), digest_size=8)
+        #: Its first block, its characters within links, the last part of its skeleton, and whether the main part is in it.
+        self.first, self.links, self.last, self.with_main = first, 0, b"", main
+
+    def form(self, part: bytes) -> None:
+        """Add a part of the skeleton; like neighbours count once."""
+        if part != self.last:
+            self.skeleton.update(part)
+            self.last = part
+
+
+def _names(attributes: str) -> str:
+    """Classes, id and role without digits."""
+    found = [m for m in _ATTRIBUTE.finditer(attributes) if m[1].lower() in ("class", "id", "role")] if attributes else []
+    return " ".join(re.sub(r"[0-9]+", "", (m[2] or m[3] or m[4] or "").lower()) for m in found)
+
+
+class Page:
+    """A page's blocks in order, whether the markup keeps each, and its elements (kind, hash, first block, end)."""
+
+    def __init__(self, html: str, lists: bool = True) -> None:
+        self.texts: list[str] = []
+        self.listed: list[bool] = []
+        self.in_main: list[bool] = []
+        self.elements: list[tuple[int, int, int, int]] = []
+        self.forms: list[tuple[int, int, int, bool]] = []
+        self._parse(html)
+        has_main = any(self.in_main)
+        self.kept = [not lists or (kept and (main or not has_main)) for kept, main in zip(self.listed, self.in_main)]
+        sizes = [0]
+        for text in self.texts:
+            sizes.append(sizes[-1] + len(text))
+        for number, first, end, links in self.forms:
+            if has_main or links >= LINK_SHARE * (sizes[end] - sizes[first]):
+                self.elements.append((SKELETON, number, first, end))
+
+    def main_blocks(self) -> list[str]:
+        return [text for text, kept in zip(self.texts, self.kept) if kept]
+
+    def _parse(self, html: str) -> None:
+        texts = self.texts
+        stack, pending = [_Element("", False, False, False, None, "", 0)], []
+        #: Open elements by tag, and open links.
+        opened: dict[str, int] = {}
+        linked = 0
+
+        def flush() -> None:
+            nonlocal linked
+            text = " ".join(references.unescape("".join(pending)).split())
+            pending.clear()
+            if not text:
+                linked = 0
+                return
+            top = stack[-1]
+            in_heading = top.header and any(e.tag in HEADINGS for e in stack)
+            self.listed.append(not top.unwanted and not (top.header and not in_heading))
+            texts.append(text)
+            self.in_main.append(top.main)
+            block = top.block
+            block.links += min(linked, len(text))
+            linked = 0
+            block.digest.update(b"=" + text.encode("utf-8", "replace"))
+            block.form(b"=")
+
+        def close() -> None:
+            element = stack[-1]
+            if element.is_block:
                 flush()
-                shut, within = CLOSES.get(tag, (("p",), ("article", "main", "body", "div", "section", "td", "li", "blockquote", "details", "figure")))
-                depth = len(stack) - 1
-                while depth and stack[depth].tag not in within and stack[depth].tag not in shut:
-                    depth -= 1
-                if stack[depth].tag in shut:
-                    while len(stack) > depth:
+            stack.pop()
+            opened[element.tag] -= 1
+            parent = stack[-1]
+            parent.block.digest.update(b"<" + element.digest.digest())
+            form = element.skeleton.digest()
+            parent.block.form(b"<" + form)
+            parent.with_main |= element.with_main
+            if element.is_block:
+                parent.block.links += element.links
+                if element.first < len(texts):
+                    kind = MAIN_TEXT if element.main else OTHER_TEXT
+                    self.elements.append((kind, _number(element.digest.digest()), element.first, len(texts)))
+                    if not element.with_main:
+                        self.forms.append((_number(form), element.first, len(texts), element.links))
+
+        at = 0
+        for token in _TOKEN.finditer(html):
+            if token.start() > at:
+                part = html[at : token.start()]
+                pending.append(part)
+                if opened.get("a"):
+                    linked += len(part)
+            at = token.end()
+            tag = token["tag"]
+            if not tag:
+                continue
+            tag = tag.lower()
+            if tag == "br":
+                pending.append(" ")
+            elif token["end"]:
+                if opened.get(tag):
+                    while stack[-1].tag != tag:
                         close()
-            top = stack[-1]
-            attributes = token["attributes"] or ""
-            main = top.main or tag in ("article", "main") or "role" in attributes and bool(re.search(r"role\s*=\s*[\"']?main\b", attributes))
-            unwanted = top.unwanted or _unwanted(tag, attributes, top.main)
-            if len(stack) < 500:  # an element deeper than any real page's counts as its parent
-                stack.append(_Element(tag, unwanted, main and not unwanted, top.header or (tag == "header" and main)))
+                    close()
+                elif tag in BLOCK:
+                    flush()
+            elif tag in VOID:
+                if tag in BLOCK:
+                    flush()
+            else:
+                if tag in BLOCK:
+                    flush()
+                    shut, within = CLOSES.get(tag, (("p",), ("article", "main", "body", "div", "section", "td", "li", "blockquote", "details", "figure")))
+                    if any(opened.get(t) for t in shut):
+                        depth = len(stack) - 1
+                        while depth and stack[depth].tag not in within and stack[depth].tag not in shut:
+                            depth -= 1
+                        if stack[depth].tag in shut:
+                            while len(stack) > depth:
+                                close()
+                top = stack[-1]
+                attributes = token["attributes"] or ""
+                main = top.main or tag in ("article", "main") or "role" in attributes and bool(re.search(r"role\s*=\s*[\"']?main\b", attributes))
+                unwanted = top.unwanted or _unwanted(tag, attributes, top.main)
+                main, header = main and not unwanted, top.header or (tag == "header" and main)
+                stack.append(_Element(tag, unwanted, main, header, top, _names(attributes), len(texts)))
+                opened[tag] = opened.get(tag, 0) + 1
                 if attributes.endswith("/") and tag not in BLOCK:
                     close()
-    pending.append(html[at:])
-    flush()
-    while len(stack) > 1:
-        close()
-    if any(in_main):
-        kept = [i for i, m in enumerate(in_main) if m]
-        return [texts[i] for i in kept], [subtrees[i] for i in kept]
-    return texts, subtrees
+        pending.append(html[at:])
+        flush()
+        while len(stack) > 1:
+            close()
+
+
+def _number(digest: bytes) -> int:
+    return int.from_bytes(digest, "big", signed=True)
 
 
 def host_of(url: Column) -> Column:
@@ -199,24 +266,33 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-_PARSED = "texts array<string>, subtrees array<array<bigint>>"
+_PARSED = (
+    "texts array<string>, kept array<boolean>, elements array<struct<kind:int, hash:bigint, first:int, end:int>>"
+)
 
 
-def blocks(pages: DataFrame) -> DataFrame:
-    """(page_id, url, host, page, texts, subtrees): the parsed pages; ``page`` stands for the html."""
+def blocks(pages: DataFrame, lists: bool = True) -> DataFrame:
+    """(page_id, url, host, page, texts, kept, elements): the parsed pages; ``page`` stands for the html."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = [("kind", pa.int32()), ("hash", pa.int64()), ("first", pa.int32()), ("end", pa.int32())]
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
-                parsed = [parse(h or "") for h in part.column("html").to_pylist()]
+                parsed = [Page(h or "", lists) for h in part.column("html").to_pylist()]
+                flat = [element for page in parsed for element in page.elements]
+                offsets = [0]
+                for page in parsed:
+                    offsets.append(offsets[-1] + len(page.elements))
+                columns = [pa.array([e[i] for e in flat], kind) for i, (_, kind) in enumerate(fields)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part.column(c) for c in ("page_id", "url", "host", "page")),
-                        pa.array([p[0] for p in parsed], pa.list_(pa.string())),
-                        pa.array([p[1] for p in parsed], pa.list_(pa.list_(pa.int64()))),
+                        pa.array([page.texts for page in parsed], pa.list_(pa.string())),
+                        pa.array([page.kept for page in parsed], pa.list_(pa.bool_())),
+                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(columns, [f for f, _ in fields])),
                     ],
-                    names=["page_id", "url", "host", "page", "texts", "subtrees"],
+                    names=["page_id", "url", "host", "page", "texts", "kept", "elements"],
                 )
 
     keyed = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), F.xxhash64("html").alias("page"), "html")
@@ -224,30 +300,46 @@ def blocks(pages: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, schema)
 
 
-def templates(parsed: DataFrame, min_pages: int = MIN_PAGES, page_share: float = PAGE_SHARE) -> DataFrame:
-    """(host, template): per host the hashes of the subtrees that recur."""
-    own = F.explode(F.concat(F.array(F.lit(None).cast("bigint")), F.array_distinct(F.flatten("subtrees"))))
-    seen = parsed.filter("host is not null").select("host", "page", own.alias("subtree")).distinct()
-    counts = seen.groupBy("host", "subtree").agg(F.count("*").alias("n"))
+def templates(
+    parsed: DataFrame, min_pages: int = MIN_PAGES, page_share: float = PAGE_SHARE, many_pages: int = MANY_PAGES
+) -> DataFrame:
+    """(host, template): per host the (kind, hash) of the subtrees that recur."""
+    own = F.transform("elements", lambda e: F.struct(e["kind"].alias("kind"), e["hash"].alias("hash")))
+    none = F.array(F.struct(F.lit(None).cast("int").alias("kind"), F.lit(None).cast("bigint").alias("hash")))
+    seen = parsed.filter("host is not null").select("host", "page", F.explode(F.concat(none, F.array_distinct(own))).alias("e"))
+    counts = seen.select("host", "page", "e.*").distinct().groupBy("host", "kind", "hash").agg(F.count("*").alias("n"))
     # The row without a subtree counts the host's distinct pages.
-    pages = counts.filter("subtree is null").select("host", F.col("n").alias("pages"))
-    recurring = counts.filter((F.col("n") >= min_pages) & F.col("subtree").isNotNull()).join(pages, "host")
-    recurring = recurring.filter(F.col("n") >= F.col("pages") * page_share)
-    return recurring.groupBy("host").agg(F.collect_list("subtree").alias("template"))
-
-
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, page_share: float = PAGE_SHARE) -> DataFrame:
-    """(page_id, url, text, n_chars, n_template_blocks): the main text of every page."""
-    parsed = store(blocks(pages))
-    with_template = parsed.join(store(templates(parsed, min_pages, page_share)), "host", "left")
-    zipped = F.arrays_zip("texts", "subtrees")
-    kept = F.when(
-        F.col("template").isNull(), F.col("texts")
-    ).otherwise(
-        F.transform(F.filter(zipped, lambda b: ~F.arrays_overlap(b["subtrees"], F.col("template"))), lambda b: b["texts"])
+    pages = counts.filter("hash is null").select("host", F.col("n").alias("pages"))
+    recurring = counts.filter((F.col("n") >= min_pages) & F.col("hash").isNotNull()).join(pages, "host")
+    enough = F.col("n") >= F.col("pages") * page_share
+    recurring = recurring.filter(enough | ((F.col("kind") != MAIN_TEXT) & (F.col("n") >= many_pages)))
+    return recurring.groupBy("host").agg(F.collect_list(F.struct("kind", "hash")).alias("template"))
+
+
+def extract(
+    pages: DataFrame,
+    min_pages: int = MIN_PAGES,
+    page_share: float = PAGE_SHARE,
+    many_pages: int = MANY_PAGES,
+    lists: bool = True,
+) -> DataFrame:
+    """(page_id, url, text, n_chars, n_template_blocks): the main text of every page.
+
+    ``n_template_blocks`` are all blocks that stand in recurring subtrees, whatever
+    the markup says of them.
+    """
+    parsed = store(blocks(pages, lists))
+    with_template = parsed.join(store(templates(parsed, min_pages, page_share, many_pages)), "host", "left")
+    recurs = lambda e: F.array_contains(F.col("template"), F.struct(e["kind"].alias("kind"), e["hash"].alias("hash")))
+    gone = F.when(F.col("template").isNotNull(), F.filter("elements", recurs))
+    inside = lambda i: F.coalesce(F.exists("gone", lambda e: (e["first"] <= i) & (i < e["end"])), F.lit(False))
+    judged = with_template.withColumn("gone", gone).withColumn(
+        "deleted", F.transform("texts", lambda _, i: inside(i))
     )
-    text = F.concat_ws(" ", F.col("kept"))
-    return with_template.withColumn("kept", kept).select(
+    zipped = F.arrays_zip("texts", "kept", "deleted")
+    left = F.transform(F.filter(zipped, lambda b: b["kept"] & ~b["deleted"]), lambda b: b["texts"])
+    text = F.concat_ws(" ", left)
+    return judged.select(
         "page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"),
-        (F.size("texts") - F.size("kept")).alias("n_template_blocks"),
+        F.size(F.filter("deleted", lambda d: d)).alias("n_template_blocks"),
     )
