@@ -19,7 +19,7 @@ model's size follows the sample's, never the corpus.
 
 Defined cases: a null or empty text, or one without a letter, is ``und`` with score 0; on
 equal bits the language first by code point wins; without any learning row everything is
-``und``; rows of null lang or null id teach nothing; repeated rows are predicted alike.
+``und``; a very long text is scored in pieces, with the result of the whole; rows of null lang or null id teach nothing; repeated rows are predicted alike.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ ORDER = 3
 DOCS_PER_LANGUAGE = 600
 BYTES_PER_LANGUAGE = 1_000_000
 PART_CHARS = 50_000
+#: Texts are scored in pieces of so many bytes, whatever their length.
+PIECE_BYTES = 1 << 17
 FOLDS = 5
 
 ship(__name__)
@@ -184,9 +186,31 @@ class Model:
                     step[front, self.symbol[gram % 257]] = number
             self.step.append(step)
 
-    def total_bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Bits of every text under every language."""
+    def total_bits(self, data: np.ndarray, offsets: np.ndarray, piece: int = PIECE_BYTES) -> np.ndarray:
+        """Bits of every text under every language.
+
+        Texts are scored in pieces; a later piece starts with the bytes before it as context, so
+        the sum is that of the whole text.
+        """
+        sums = np.zeros((len(offsets) - 1, len(self.langs)))
+        starts, owners = [], []
+        for text in range(len(offsets) - 1):
+            own = list(range(int(offsets[text]), int(offsets[text + 1]), piece)) or [int(offsets[text])]
+            starts += own
+            owners += [text] * len(own)
+        starts, owners = np.array(starts, np.int64), np.array(owners, np.int64)
+        ends = np.minimum(starts + piece, offsets[owners + 1])
+        known = np.minimum(self.order, starts - offsets[owners])
+        for a, b in slices(ends - starts, piece):
+            parts = [data[s - k : e] for s, k, e in zip(starts[a:b].tolist(), known[a:b].tolist(), ends[a:b].tolist())]
+            cuts = np.r_[0, np.cumsum([len(part) for part in parts])].astype(np.int64)
+            np.add.at(sums, owners[a:b], self._bits(np.concatenate(parts), cuts, known[a:b]))
+        return sums
+
+    def _bits(self, data: np.ndarray, offsets: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Bits of every piece behind its first ``known`` bytes."""
         symbols, first, end = _padded(data, offsets, self.order)
+        first = first + known
         small = self.symbol[symbols]
         n = len(small)
         # contexts[k][i]: node of the k symbols before position i.
@@ -209,6 +233,8 @@ class Model:
                 left, context = left[~found], context[~found]
         out[left] += 8.0
         out[symbols == 0] = 0
+        for back in range(int(known.max(initial=0))):  # bytes that are context only
+            out[first[known > back] - 1 - back] = 0
         sums = np.zeros((len(first), out.shape[1]))
         some = np.flatnonzero(end > first)
         if len(some):
@@ -238,10 +264,7 @@ def identify(docs: DataFrame, model: Model, text: Column | None = None) -> DataF
         names = np.array(model.langs, object)
         for batch in columns:
             data, offsets = text_bytes(batch.column("_text"))
-            bits = [np.zeros((0, len(names)))]
-            for a, b in slices(np.diff(offsets), 1 << 19):
-                bits.append(model.total_bits(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
-            bits = np.vstack(bits)
+            bits = model.total_bits(data, offsets)
             best = bits.argmin(axis=1)
             least = bits.min(axis=1)
             score = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(axis=1)

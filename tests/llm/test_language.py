@@ -70,6 +70,8 @@ def test_bits_are_those_of_a_plain_version(order):
     bits = model.total_bits(data, offsets)
     expected = [[plain_bits(rows, lang, text, order) for lang in model.langs] for text in texts]
     assert np.allclose(bits, expected)
+    for piece in (1, 2, 7, 64):  # pieces of any size give the bits of the whole
+        assert np.allclose(model.total_bits(data, offsets, piece), expected)
 
 
 def test_held_out_documents_are_predicted(spark, sf_dir):
