@@ -16,6 +16,8 @@ ADDRESS_PLACEHOLDERS = r"^(not applicable|na|n\s*/\s*a|null|none|0)$"
 
 # Every character that Unicode counts as whitespace.
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+# The same without the four separators of ASCII, which patterns do not take for white space.
+SPACES = "".join(c for c in WHITESPACE if not "\x1c" <= c <= "\x1f")
 
 
 def let(col: Column, body: Callable[[Column], Column]) -> Column:

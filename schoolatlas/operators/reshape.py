@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.counts import header_text
 from ..functions.labels import split_label
+from ..functions.text import let
 
 
 def value_columns(df: DataFrame, ids: list[str]) -> list[str]:
@@ -56,22 +58,30 @@ def flags_to_levels(df: DataFrame, ids: list[str], upper: bool = False) -> DataF
     )
 
 
+def _runs(starts: Column, size: Column) -> Column:
+    """(start, end) of the runs that begin at the given places, one before the first place included."""
+    return F.arrays_zip(
+        F.concat(F.array(F.lit(0)), starts).alias("start"), F.concat(starts, F.array(size)).alias("end")
+    )
+
+
+def _where(array: Column, holds: Callable[[Column], Column]) -> Column:
+    """Places of an array at which ``holds(place)`` is true."""
+    places = F.transform(array, lambda _, i: F.when(holds(i), i))
+    return F.filter(places, lambda i: i.isNotNull())
+
+
 def forward_fill(cells: Column) -> Column:
     """Array in which a blank cell takes the last text before it.
 
-    Meant for a header row, which the workbook format bounds at 16,384 cells.
+    The cells from one text to the next repeat it, so a row of any width is gone through once.
     """
-    texts = F.transform(cells, header_text)
-    return F.transform(
-        texts,
-        lambda cell, i: F.coalesce(
-            cell,
-            F.try_element_at(
-                F.filter(F.slice(texts, F.lit(1), i + 1), lambda c: c.isNotNull()),
-                F.lit(-1),
-            ),
-        ),
-    )
+
+    def filled(texts: Column) -> Column:
+        runs = _runs(_where(texts, lambda i: F.get(texts, i).isNotNull()), F.size(texts))
+        return F.flatten(F.transform(runs, lambda r: F.array_repeat(F.get(texts, r["start"]), r["end"] - r["start"])))
+
+    return let(F.transform(cells, header_text), filled)
 
 
 def joined_headers(rows: Column) -> Column:
@@ -102,15 +112,24 @@ def named_headers(labels: Column, indexes: Column) -> Column:
 
 
 def unique_headers(labels: Column) -> Column:
-    """The second and later uses of a label get ``_1``, ``_2`` ..."""
+    """The second and later uses of a label get ``_1``, ``_2`` ...
 
-    def numbered(label: Column, i: Column) -> Column:
-        earlier = F.size(F.filter(F.slice(labels, 1, i), lambda other: other == label))
-        return F.when(
-            earlier > 0, F.concat(label, F.lit("_"), earlier.cast("string"))
-        ).otherwise(label)
+    Labels are sorted with their places, numbered in each run of equals, and sorted back.
+    """
 
-    return F.transform(labels, numbered)
+    def ranked(ordered: Column) -> Column:
+        starts = _where(ordered, lambda j: (j > 0) & ~F.get(ordered, j)["label"].eqNullSafe(F.get(ordered, j - 1)["label"]))
+        ranks = F.flatten(
+            F.transform(_runs(starts, F.size(ordered)), lambda r: F.sequence(F.lit(0), r["end"] - r["start"] - 1))
+        )
+        placed = F.zip_with(ordered, ranks, lambda o, rank: F.struct(o["place"], rank.alias("rank"), o["label"]))
+        return F.transform(
+            F.array_sort(placed),
+            lambda p: F.when(p["rank"] > 0, F.concat(p["label"], F.lit("_"), p["rank"].cast("string"))).otherwise(p["label"]),
+        )
+
+    places = F.transform(labels, lambda label, i: F.struct(label.alias("label"), i.alias("place")))
+    return F.when(F.size(labels) == 0, labels).otherwise(let(F.array_sort(places), ranked))
 
 
 def coerce_to(df: DataFrame, schema: StructType) -> DataFrame:

@@ -1,5 +1,7 @@
 """Joins, ordinals, picks, contracts and matching on small tables."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -369,3 +371,24 @@ def test_bundled_location_rules(spark):
         "10": like(division="Davao De Oro"),
     }
     assert cleaning.clean_locations(rows, {}).exceptAll(rows).isEmpty()
+
+
+def test_headers_of_any_width(spark):
+    """A full row of 16,384 cells, against plain loops; an empty row and rows of blanks."""
+    wide = [None if i % 3 else f" l{i % 50} " for i in range(16_384)]
+    rows = [wide, [], [None, "", " "], ["a"], [None, "a", None, "b", "a", None], ["x_1", "x", "x", "x"]]
+    frame = spark.createDataFrame(list(enumerate(rows)), "k int, cells array<string>")
+    filled = F.col("filled")
+    found = frame.withColumn("filled", reshape.forward_fill(F.col("cells"))).withColumn("names", reshape.unique_headers(filled))
+    start = time.perf_counter()
+    by_key = {r.k: r for r in found.collect()}
+    assert time.perf_counter() - start < 20
+    for k, cells in enumerate(rows):
+        last, out, seen, names = None, [], {}, []
+        for cell in cells:
+            last = (cell or "").strip() or last
+            out.append(last)
+            n = seen.get(last, 0)
+            seen[last] = n + 1
+            names.append(f"{last}_{n}" if n and last is not None else last)
+        assert by_key[k].filled == out and by_key[k].names == names, k
