@@ -169,7 +169,7 @@ lined AS (SELECT host, text, norm, max(n) AS n FROM own GROUP BY host, text, nor
 hosts AS (SELECT host, count(DISTINCT coalesce('=' || text, '')) AS d FROM docs GROUP BY host),
 frequent AS (
     SELECT host, norm FROM lined JOIN hosts USING (host) GROUP BY host, norm, d
-    HAVING count(*) > 8 AND count(*) > d * 0.01::DOUBLE),
+    HAVING count(*) > 8 AND count(*) > least(d * 0.01::DOUBLE, 50)),
 removed AS (SELECT host, text, sum(n) AS n FROM lined JOIN frequent USING (host, norm) GROUP BY host, text),
 rated AS (
     SELECT doc_id, len(words) AS n_words, coalesce(length(array_to_string(words, '')), 0) AS word_chars,
@@ -295,20 +295,31 @@ hits AS (
 banded AS (
     SELECT *, unnest([floor(diagonal / 8.0)::BIGINT * 2, floor((diagonal + 4) / 8.0)::BIGINT * 2 + 1]) AS band FROM hits),
 candidates AS (
-    SELECT DISTINCT r, item_id, diagonals FROM (
-        SELECT r, item_id, n, band, list_sort(list(DISTINCT diagonal)) AS diagonals, count(DISTINCT place) AS covered
-        FROM banded GROUP BY r, item_id, n, band) WHERE covered >= n * 0.4::DOUBLE),
+    SELECT r, item_id, diagonals, max(whole) AS whole FROM (
+        SELECT r, item_id, n, band, list_sort(list(DISTINCT diagonal)) AS diagonals, count(DISTINCT place) >= n * 0.4::DOUBLE AS whole
+        FROM banded GROUP BY r, item_id, n, band)
+    WHERE whole OR n >= 14 GROUP BY r, item_id, diagonals),
 placed AS (
-    SELECT r, item_id, diagonals, unnest(diagonals) AS d, docs.doc_id, docs.words AS dw, items.words AS iw
+    SELECT r, item_id, diagonals, whole, unnest(diagonals) AS d, docs.doc_id, docs.words AS dw, items.words AS iw
     FROM candidates JOIN docs USING (r) JOIN items USING (item_id)),
 standing AS (
-    SELECT r, doc_id, item_id, diagonals, len(iw) AS n, count(DISTINCT place) AS matched
+    SELECT r, doc_id, item_id, diagonals, whole, len(iw) AS n, place,
+        bool_or(place + d >= 0 AND coalesce(dw[place + d + 1] = iw[place + 1], false)) AS stands
     FROM (SELECT *, unnest(range(0, len(iw))) AS place FROM placed)
-    WHERE place + d >= 0 AND dw[place + d + 1] = iw[place + 1]
-    GROUP BY r, doc_id, item_id, diagonals, n),
+    GROUP BY r, doc_id, item_id, diagonals, whole, n, place),
+summed AS (
+    SELECT *, sum(stands::INTEGER) OVER (PARTITION BY r, item_id, diagonals ORDER BY place) AS c FROM standing),
+parts AS (
+    SELECT DISTINCT a.r, a.item_id, a.diagonals, true AS part
+    FROM summed a JOIN summed b ON a.r = b.r AND a.item_id IS NOT DISTINCT FROM b.item_id AND a.diagonals = b.diagonals
+    WHERE a.stands AND b.stands AND b.place - a.place >= 13 AND 5 * (b.c - a.c + 1) >= 4 * (b.place - a.place + 1)),
+judged AS (
+    SELECT r, doc_id, item_id, diagonals, n, whole AND matched::DOUBLE / n >= 0.8::DOUBLE AS whole, matched
+    FROM (SELECT r, doc_id, item_id, diagonals, whole, n, count(*) FILTER (stands) AS matched FROM standing GROUP BY ALL)),
 best AS (
-    SELECT *, row_number() OVER (PARTITION BY r, item_id ORDER BY matched DESC, diagonals[1]) AS k
-    FROM standing WHERE matched::DOUBLE / n >= 0.8::DOUBLE)
+    SELECT j.*, row_number() OVER (PARTITION BY j.r, j.item_id ORDER BY j.whole DESC, matched DESC, j.diagonals[1]) AS k
+    FROM judged j LEFT JOIN parts p ON j.r = p.r AND j.item_id IS NOT DISTINCT FROM p.item_id AND j.diagonals = p.diagonals
+    WHERE j.whole OR p.part)
 SELECT doc_id, item_id, n::INTEGER AS n_words, matched::INTEGER AS n_matched, matched::DOUBLE / n AS similarity,
     diagonals[1]::INTEGER AS start
 FROM best WHERE k = 1

@@ -51,6 +51,9 @@ def documents():
         (-5, base * 2 + PASSAGE, "en", "b"),
         (30, "x" * 3000, "en", "b"),
         (31, "x" * 200, "en", "b"),
+        (33, base + " ".join(ITEM.split()[3:19]) + " " + base, "en", "a"),  # parts of an item
+        (34, " ".join(ITEM.split()[8:21] + ["and", "nothing", "else"]) + " " + base, "en", "a"),
+        (35, " ".join(w if i % 6 else "changed" for i, w in enumerate(ITEM.split()[1:20])) + " " + base, "en", "a"),
         (32, "abcde abcdf abcdef bcdef Abcde ÀBCDE àbcde abcde×÷ " * 9 + "abcdefg " * 40 + "colour color " * 5, "en", "b"),
     ]
     rows += [(100 + i, f"Shared header line of the site\n{base}Document {i} number {i * 7919 % 1000} speaks of {i}.\n  FOOTER  of the\tsite", "en", "h") for i in range(30)]
