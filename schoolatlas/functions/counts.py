@@ -44,10 +44,19 @@ def _bare(col: Column) -> Column:
     return F.btrim(F.replace(col, F.lit(","), F.lit("")), F.lit(SPACES))
 
 
+def decimal_text(col: Column) -> Column:
+    """A cell as ``decimal_of`` reads it: without commas and outer white space."""
+    return strip(F.replace(col, F.lit(","), F.lit("")))
+
+
+def decimal_of(text: Column) -> Column:
+    """The number of a ``decimal_text``; null for any other text."""
+    return F.when(text.rlike(DECIMAL), text.try_cast("double"))
+
+
 def lenient_double(col: Column) -> Column:
     """Decimal number text, commas ignored; anything else is null."""
-    text = strip(F.replace(col, F.lit(","), F.lit("")))
-    return F.when(text.rlike(DECIMAL), text.try_cast("double"))
+    return decimal_of(decimal_text(col))
 
 
 def lenient_long(col: Column) -> Column:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable, Mapping
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..contracts import Contract
@@ -26,20 +29,12 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("rows")).where("rows > 1")
 
 
-def contract_errors(
-    df: DataFrame, contract: Contract, dtypes: bool = False, keys: bool = False
-) -> list[str]:
-    """Missing columns and nulls in required columns; types and keys on demand."""
+def shape_errors(df: DataFrame, contract: Contract, dtypes: bool = False) -> list[str]:
+    """Missing columns and, on demand, other types; from the schema alone."""
     errors = []
     missing = sorted(set(contract.schema.names) - set(df.columns))
     if missing:
         errors.append(f"[{contract.name}] missing columns: {', '.join(missing)}")
-    required = [c for c in contract.required if c in df.columns]
-    if required:
-        counts = null_counts(df, required).first()
-        errors += [
-            f"[{contract.name}] column '{c}' contains nulls" for c in required if counts[c]
-        ]
     if dtypes:
         errors += [
             f"[{contract.name}] column '{f.name}' is {df.schema[f.name].dataType.simpleString()}"
@@ -47,20 +42,75 @@ def contract_errors(
             for f in contract.schema.fields
             if f.name in df.columns and df.schema[f.name].dataType != f.dataType
         ]
-    if keys and not missing and not duplicate_keys(df, list(contract.key)).isEmpty():
-        errors.append(f"[{contract.name}] key {', '.join(contract.key)} is not unique")
     return errors
 
 
-def require_contract(df: DataFrame, contract: Contract, **checks: bool) -> DataFrame:
-    """Return the table, or raise with the errors and three sample rows."""
-    errors = contract_errors(df, contract, **checks)
+def null_errors(contract: Contract, counts: Mapping[str, int]) -> list[str]:
+    return [f"[{contract.name}] column '{c}' contains nulls" for c in contract.required if counts.get(c)]
+
+
+def key_errors(df: DataFrame, contract: Contract) -> list[str]:
+    if duplicate_keys(df, list(contract.key)).isEmpty():
+        return []
+    return [f"[{contract.name}] key {', '.join(contract.key)} is not unique"]
+
+
+def contract_errors(
+    df: DataFrame, contract: Contract, dtypes: bool = False, keys: bool = False
+) -> list[str]:
+    """Missing columns and nulls in required columns; types and keys on demand."""
+    errors = shape_errors(df, contract, dtypes)
+    required = [c for c in contract.required if c in df.columns]
+    if required:
+        errors += null_errors(contract, null_counts(df, required).first().asDict())
+    if keys and set(contract.schema.names) <= set(df.columns):
+        errors += key_errors(df, contract)
+    return errors
+
+
+def _raise(errors: list[str], df: DataFrame) -> None:
     if errors:
         sample = [row.asDict() for row in df.take(3)]
         raise ContractError(f"{'; '.join(errors)}; sample={sample}")
+
+
+def require_contract(df: DataFrame, contract: Contract, **checks: bool) -> DataFrame:
+    """Return the table, or raise with the errors and three sample rows."""
+    _raise(contract_errors(df, contract, **checks), df)
     return df
 
 
+def store_checked(
+    df: DataFrame, contract: Contract, store: Callable[[DataFrame], DataFrame], keys: bool = False
+) -> DataFrame:
+    """Store a table and hold it against its contract.
+
+    Columns and types are checked before anything runs and nulls are counted by the
+    write itself.  ``keys`` asks for a unique key, which takes a job of its own.
+    """
+    _raise(shape_errors(df, contract, dtypes=True), df)
+    required = [c for c in contract.required if c in df.columns]
+    nulls = Observation()
+    counts = [F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in required]
+    stored = store(df.observe(nulls, *counts) if counts else df)
+    _raise(null_errors(contract, nulls.get if counts else {}), stored)
+    if keys:
+        _raise(key_errors(stored, contract), stored)
+    return stored
+
+
+def key_report(tables: dict[str, DataFrame], contracts: dict[str, Contract]) -> DataFrame:
+    """(table, key, repeated_keys, rows) of the tables whose declared key repeats."""
+    found = [
+        duplicate_keys(tables[name], list(contract.key))
+        .agg(F.count("*").alias("repeated_keys"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+        .select(F.lit(name).alias("table"), F.lit(", ".join(contract.key)).alias("key"), "repeated_keys", "rows")
+        for name, contract in contracts.items()
+        if name in tables
+    ]
+    return reduce(DataFrame.unionByName, found).where("repeated_keys > 0")
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"{what} produced no rows")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.counts import school_id_text, truncated_number
+from ..functions.counts import decimal_of, decimal_text, school_id_text
 from ..functions.labels import dropout_label
 from ..operators.distinct import last_per_key
-from ..operators.quality import require_rows, split_rejects
+from ..operators.quality import split_rejects
 from ..session import durable
 from ..sources.layouts import DROPOUT_LAYOUTS, Layout
 from ..sources.sheets import check_sheets, labelled_rows
@@ -40,13 +40,17 @@ def melt_sheet(rows: DataFrame) -> DataFrame:
         "school_year",
         "school_id",
         "cell.label_parts.*",
-        truncated_number(F.col("cell.values")).alias("num_dropouts"),
+        # A column of its own: the parser looks at the text twice.
+        decimal_text(F.col("cell.values")).alias("_text"),
         F.col("cell.column_labels").alias("raw_col"),
         F.col("cell.values").alias("raw_count"),
         "col_pos",
         "source_file",
         "source_row",
-    ).where("num_dropouts >= 1")
+    ).where("_text <> ''").withColumn("num_dropouts", decimal_of(F.col("_text")).try_cast("bigint")).select(
+        "school_year", "school_id", "grade", "strand", "sex", "num_dropouts", "raw_col", "raw_count",
+        "col_pos", "source_file", "source_row",
+    ).where("num_dropouts >= 1")
 
 
 def judge(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -106,12 +110,22 @@ def dropout_tables(
     grid = read_workbooks(spark, paths, sorted({l.sheet for l in layouts}))
     grid = durable(grid.repartition("source_file", "row_idx"))
     check_sheets(grid, layouts)
-    parsed = melt_sheet(labelled_rows(grid, layouts, parse=dropout_label))
+    melted = melt_sheet(labelled_rows(grid, layouts, parse=dropout_label))
+    # Counted while it is written: facts and rejects read the stored cells, metrics read nothing.
+    cells, kept = Observation(), Observation()
+    ok = F.col("grade").isNotNull() & F.col("school_id").isNotNull()
+    parsed = durable(melted.observe(cells, F.count("*").alias("rows"), F.count_if(ok).alias("ok")))
+    if not cells.get["ok"]:
+        raise ValueError("dropout reading produced no rows")
     valid, rejected = judge(parsed)
-    require_rows(valid, "dropout reading")
     stamped = valid.withColumn("ingested_at", F.lit(datetime.now(timezone.utc)))
-    return {
-        "dropouts": latest_facts(stamped),
-        "dropout_rejects": rejected,
-        "dropout_metrics": dropout_metrics(parsed, grid),
+    facts = durable(latest_facts(stamped).observe(kept, F.count("*").alias("rows")))
+    counted = {
+        "dropouts_files": len(paths),
+        "dropouts_rows_melted": cells.get["rows"],
+        "dropouts_valid_rows": kept.get["rows"],
+        "dropouts_invalid_rows": cells.get["rows"] - cells.get["ok"],
+        "dropouts_duplicates_removed": cells.get["ok"] - kept.get["rows"],
     }
+    metrics = spark.createDataFrame([tuple(counted.values())], ", ".join(f"{name} long" for name in counted))
+    return {"dropouts": facts, "dropout_rejects": rejected, "dropout_metrics": metrics}

@@ -9,7 +9,7 @@ from ..contracts import CONTRACTS
 from ..operators.distinct import last_per_key
 from ..operators.keys import label_to_key, with_surrogate_key
 from ..operators.matching import match_places
-from ..operators.quality import geography_orphans, orphans, require_contract
+from ..operators.quality import geography_orphans, key_report, orphans, require_contract, store_checked
 from ..operators.reshape import union_all
 from ..session import temporary_copies
 from ..sources.csv_folder import read_coordinates
@@ -28,7 +28,7 @@ from .teachers import teacher_tables
 
 
 #: Audit tables by the name of what they audit: stored with ``audit_`` before the name.
-AUDITS = ["invalid_counts", "csv_rejects", "teacher_rejects", "dropout_rejects", "dropout_metrics"]
+AUDITS = ["invalid_counts", "csv_rejects", "teacher_rejects", "dropout_rejects", "dropout_metrics", "duplicate_keys"]
 PLACE_KEYS = ["psgc_region_id", "psgc_provhuc_id", "psgc_muni_id", "psgc_brgy_id"]
 
 
@@ -138,8 +138,7 @@ def extract_tables(
     tables = enrollment_tables(spark, enrollment_folder, rules)
 
     def staged(name: str, df: DataFrame) -> None:
-        stored = store(df, stage_folder, name)
-        tables[name] = require_contract(stored, CONTRACTS[name])
+        tables[name] = store_checked(df, CONTRACTS[name], lambda rows: store(rows, stage_folder, name))
 
     staged("psgc", read_place_codes(spark, place_workbook))
     for name in ("school_year_meta", "enrollment", "school_levels"):
@@ -159,6 +158,8 @@ def extract_tables(
     if dropout_folder:
         tables |= dropout_tables(spark, dropout_folder)
         staged("dropouts", tables["dropouts"])
+    # Sources may repeat a key, so that is no error; it is put on record.
+    tables["duplicate_keys"] = key_report(tables, CONTRACTS)
     return tables
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from schoolatlas.contracts import CONTRACTS
-from schoolatlas.operators.quality import require_contract
+from schoolatlas.operators.quality import ContractError, require_contract, store_checked
 from schoolatlas.plans import analysis, enrollment, geography, stored, warehouse
 from schoolatlas.session import durable, temporary_copies
 from schoolatlas.sources.rules import load_rules
@@ -170,6 +170,32 @@ def test_warehouse_tables(built):
     assert all((base / "out" / name / "_SUCCESS").exists() for name in expected)
 
 
+def test_repeated_keys_are_on_record(built):
+    tables = built[0]
+    found = {r["table"]: r for r in tables["audit_duplicate_keys"].collect()}
+    enroll = tables["enroll"]
+    key = ["school_year_id", "school_id", "grade_id", "sex", "strand_id"]
+    repeated = [r["count"] for r in enroll.groupBy(*key).count().where("count > 1").collect()]
+    assert (found["enrollment"]["repeated_keys"], found["enrollment"]["rows"]) == (len(repeated), sum(repeated))
+    assert found["enrollment"]["key"] == "school_year, school_id, grade, sex, strand"
+    assert "psgc" not in found and "dropouts" not in found
+
+
+def test_a_contract_is_checked_by_the_write(spark, tmp_path):
+    contract = CONTRACTS["school_levels"]
+    rows = spark.createDataFrame([("1", "2023", "es", True), ("1", None, "jhs", False)], "school_id string, school_year string, level string, offered boolean")
+    keep = lambda name: lambda df: stored.store(df, str(tmp_path), name)
+    with pytest.raises(ContractError, match="'school_year' contains nulls"):
+        store_checked(rows, contract, keep("a"))
+    with pytest.raises(ContractError, match="'offered' is string, not boolean"):
+        store_checked(rows.withColumn("offered", F.lit("x")), contract, keep("b"))
+    assert not (tmp_path / "b").exists()  # the shape is checked before anything runs
+    good = rows.where("school_year IS NOT NULL")
+    assert store_checked(good.union(good), contract, keep("c")).count() == 2
+    with pytest.raises(ContractError, match="not unique"):
+        store_checked(good.union(good), contract, keep("d"), keys=True)
+
+
 def test_warehouse_keys(built):
     tables = built[0]
     years = dict(tables["school_years"].select("school_year", "id").collect())
