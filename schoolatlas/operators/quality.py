@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..contracts import Contract
+from ..functions.counts import DECIMAL
+from .reshape import union_all, wide_to_long
 
 SAMPLE_VALUES = 5
 
@@ -150,6 +152,43 @@ def invalid_values(
     )
 
 
+#: Types of texts from narrow to wide; an empty text has none.
+TEXT_TYPES = ["long", "double", "text"]
+
+
+def type_profile(tables: list[DataFrame], by: str, skip: list[str]) -> DataFrame:
+    """(by, column, long, double, text, sample): how many values of each type a file's column holds.
+
+    One pass over all files; cells are counted before they move.  ``sample`` is the least text.
+    """
+    cells = union_all(
+        [wide_to_long(t, [by], "column", "value", [c for c in t.columns if c not in (by, *skip)]) for t in tables]
+    )
+    value = F.btrim("value")
+    kind = F.when(value.rlike("^[+-]?[0-9]+$"), 0).when(value.rlike(DECIMAL), 1).when(value != "", 2)
+    typed = cells.select(by, "column", value.alias("value"), kind.alias("kind")).where("kind IS NOT NULL")
+    return typed.groupBy(by, "column").agg(
+        *[F.count_if(F.col("kind") == i).alias(name) for i, name in enumerate(TEXT_TYPES)],
+        F.min(F.when(F.col("kind") == 2, F.col("value"))).alias("sample"),
+    )
+
+
+def type_misfits(profile: DataFrame, by: str) -> DataFrame:
+    """(by, column, wanted, misfits, sample): values of later files that do not fit the first file's type.
+
+    The first file (by name) with a value in a column sets its type, the widest that its values need.
+    """
+    wanted = F.when(F.col("text") > 0, 2).when(F.col("double") > 0, 1).otherwise(0)
+    first = profile.groupBy("column").agg(F.min_by(wanted, by).alias("wanted"))
+    misfits = F.when(F.col("wanted") == 0, F.col("double") + F.col("text")).when(F.col("wanted") == 1, F.col("text"))
+    return (
+        profile.join(first, "column")
+        .withColumn("misfits", misfits)
+        .where("misfits > 0")
+        .select(by, "column", F.get(F.array(*map(F.lit, TEXT_TYPES)), F.col("wanted")).alias("wanted"), "misfits", "sample")
+    )
+
+
 def split_rejects(
     df: DataFrame, reasons: dict[str, Column]
 ) -> tuple[DataFrame, DataFrame]:

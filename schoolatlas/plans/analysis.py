@@ -32,6 +32,27 @@ def schools_per_year_estimate(df: DataFrame, management: str) -> DataFrame:
     )
 
 
+#: Buckets of a sketch, as a power of two; counts are within ``SKETCH_ERROR`` (three standard errors).
+SKETCH_BITS, SKETCH_ERROR = 14, 0.025
+
+
+def school_sketches(df: DataFrame) -> DataFrame:
+    """(school_year, school_management, schools): a mergeable sketch of each group's distinct schools.
+
+    Stored once, some kilobytes a row; any union of years and types is then a
+    question to these rows and not to the schools.
+    """
+    return df.groupBy("school_year", "school_management").agg(
+        F.hll_sketch_agg("school_id", SKETCH_BITS).alias("schools")
+    )
+
+
+def schools_from_sketches(sketches: DataFrame, *by: str) -> DataFrame:
+    """Distinct schools by any of the sketches' columns, schools of several groups counted once."""
+    united = sketches.groupBy(*by).agg(F.hll_union_agg("schools").alias("schools"))
+    return united.withColumn("schools", F.hll_sketch_estimate("schools")).withColumnRenamed("schools", "num_schools")
+
+
 def unmatched_barangays(meta: DataFrame) -> DataFrame:
     """Barangay names without a code, most frequent first."""
     return (

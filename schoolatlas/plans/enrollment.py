@@ -23,7 +23,7 @@ from ..functions.text import annex_status, collapse_spaces, street_address
 from ..operators.cleaning import clean_locations
 from ..operators.distinct import first_per_key
 from ..operators.joins import per_distinct
-from ..operators.quality import invalid_values
+from ..operators.quality import invalid_values, type_misfits, type_profile
 from ..operators.reshape import (
     flags_to_levels,
     label_table,
@@ -181,7 +181,7 @@ def enrollment_tables(
 ) -> dict[str, DataFrame]:
     """Metadata, counts and levels of a folder of yearly CSV files.
 
-    The files are parsed once; all five tables read the columns they need of the
+    The files are parsed once; all tables, audits among them, read the columns they need of the
     stored copy.
     """
     staged = stage_yearly(spark, folder, latest_only, store)
@@ -193,4 +193,5 @@ def enrollment_tables(
         "school_levels": offered_levels(schools),
         "invalid_counts": invalid_counts(wides),
         "csv_rejects": misfits(staged),
+        "type_misfits": type_misfits(type_profile(fitting(staged), "source_file", ["school_year"]), "source_file"),
     }

@@ -14,6 +14,7 @@ from ..operators.reshape import union_all
 from ..session import temporary_copies
 from ..sources.csv_folder import read_coordinates
 from ..sources.rules import load_rules, region_names, seed_tables
+from .analysis import school_sketches
 from .dropouts import dropout_tables
 from .enrollment import enrollment_tables
 from .geography import (
@@ -28,7 +29,7 @@ from .teachers import teacher_tables
 
 
 #: Audit tables by the name of what they audit: stored with ``audit_`` before the name.
-AUDITS = ["invalid_counts", "csv_rejects", "teacher_rejects", "dropout_rejects", "dropout_metrics", "duplicate_keys"]
+AUDITS = ["invalid_counts", "csv_rejects", "type_misfits", "teacher_rejects", "dropout_rejects", "dropout_metrics", "duplicate_keys"]
 PLACE_KEYS = ["psgc_region_id", "psgc_provhuc_id", "psgc_muni_id", "psgc_brgy_id"]
 
 
@@ -105,6 +106,8 @@ def load_warehouse(
     out["addr"] = fact(tables["address"], "addr", "school_year")
     out["psgc"] = (merge_by_key if keep else store)(last_per_key(tables["psgc"], ["id"]), folder, "psgc")
 
+    if "school_year_meta" in tables:
+        out["school_sketches"] = store(school_sketches(tables["school_year_meta"]), folder, "school_sketches")
     if "region_names" in tables:
         out["region_names"] = store(tables["region_names"], folder, "region_names")
     if "teachers" in tables and not tables["teachers"].isEmpty():

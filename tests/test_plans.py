@@ -164,6 +164,7 @@ def test_warehouse_tables(built):
     expected = {
         "school_sizes", "school_epochs", "school_grades", "school_years", "school_strands", "school_levels",
         "enroll", "dropouts", "geos", "addr", "psgc", "region_names", "teachers", "teacher_positions",
+        "school_sketches",
     }
     expected |= {f"audit_{name}" for name in (*warehouse.AUDITS, "foreign_keys")}
     assert set(tables) == expected
@@ -181,6 +182,27 @@ def test_repeated_keys_are_on_record(built):
     assert "psgc" not in found and "dropouts" not in found
 
 
+def test_a_retyped_column_is_on_record(spark, tmp_path):
+    (tmp_path / "enrollment_2023-2024.csv").write_text("school_id,district,g1_male\n1,3,5\n2,,6\n")
+    (tmp_path / "enrollment_2024-2025.csv").write_text("school_id,district,g1_male,x\n1,3rd,1.5\n2,4,x,y\n3,5th,7,y\n")
+    tables = enrollment.enrollment_tables(spark, str(tmp_path), load_rules())
+    assert {tuple(r) for r in tables["type_misfits"].collect()} == {
+        ("enrollment_2024-2025.csv", "district", "long", 1, "5th"),
+        ("enrollment_2024-2025.csv", "g1_male", "long", 1, "x"),
+    }
+    assert [r["line"] for r in tables["csv_rejects"].collect()] == ["1,3rd,1.5"]
+
+
+def test_sketches_unite(spark):
+    rows = [(y, m, str(i)) for y in ("a", "b") for m, n in (("x", 3000), ("y", 4000)) for i in range(n)]
+    df = spark.createDataFrame(rows, "school_year string, school_management string, school_id string")
+    sketches = analysis.school_sketches(df)
+    assert sketches.count() == 4
+    for by, exact in ((["school_year"], 4000), ([], 4000)):
+        for r in analysis.schools_from_sketches(sketches, *by).collect():
+            assert abs(r["num_schools"] - exact) <= analysis.SKETCH_ERROR * exact
+
+
 def test_a_contract_is_checked_by_the_write(spark, tmp_path):
     contract = CONTRACTS["school_levels"]
     rows = spark.createDataFrame([("1", "2023", "es", True), ("1", None, "jhs", False)], "school_id string, school_year string, level string, offered boolean")
@@ -227,7 +249,7 @@ def test_warehouse_build_is_repeatable(spark, built, tmp_path):
     tables, sources, _ = built
     again = warehouse.build_warehouse(spark, str(tmp_path / "again"), **sources)
     for name, first in tables.items():
-        columns = [c for c in first.columns if c != "ingested_at"]
+        columns = [c for c in first.columns if c not in ("ingested_at", "schools")]
         a, b = first.select(columns), again[name].select(columns)
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
 

@@ -485,6 +485,8 @@ SQL["q41_rows_per_school_year"] = _with(y=inputs.SCHOOL_YEARS) + """
 SELECT school_year, school_id, count(*) AS num_records FROM y GROUP BY ALL"""
 SQL["q41_schools_per_year"] = _with(y=inputs.SCHOOL_YEARS) + """
 SELECT school_year, count(DISTINCT school_id) AS num_schools FROM y WHERE school_management = 'DepEd' GROUP BY ALL"""
+SQL["q41_school_sketches"] = _with(y=inputs.SCHOOL_YEARS) + """
+SELECT school_year, count(DISTINCT school_id) AS num_schools, true AS within FROM y GROUP BY ALL"""
 SQL["q42_unmatched_names"] = _MATCHED + """
 SELECT psgc_muni_id, barangay, count(*) AS rows_seen FROM m4 WHERE psgc_brgy_id IS NULL GROUP BY ALL"""
 SQL["q43_name_search"] = _with(codes=inputs.PLACE_CODES) + """, f AS (SELECT id, name, old_names FROM codes
@@ -533,3 +535,11 @@ SQL["q51_stable_keys"] = """
 WITH l AS (SELECT o_orderpriority || '-' || CAST(o_orderkey % 50 AS VARCHAR) AS label, max(o_orderkey % 50 >= 20) AS known FROM orders GROUP BY 1)
 SELECT row_number() OVER (ORDER BY known DESC, label) AS id, label FROM l
 """
+
+SQL["q52_type_misfits"] = """
+WITH o AS (SELECT year(o_orderdate) AS y, count(*) FILTER (o_orderkey % 11 = 0) AS late FROM orders GROUP BY 1)
+SELECT CAST(y AS VARCHAR) || '.csv' AS source_file, 'customer' AS "column", 'long' AS wanted, late AS misfits, 'n/a' AS sample
+FROM o WHERE y > 1996 AND late > 0 AND (SELECT min(y) FROM o) <= 1996
+UNION ALL
+SELECT CAST(y AS VARCHAR) || '.csv', 'weight', 'long', late, NULL FROM o WHERE y > 1997 AND late > 0 AND (SELECT min(y) FROM o) <= 1997
+"""

@@ -612,6 +612,18 @@ def q41_schools_per_year(spark: SparkSession, sf: str) -> DataFrame:
     return analysis.schools_per_year(derive(spark, sf, inputs.SCHOOL_YEARS), "DepEd")
 
 
+@query
+def q41_school_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Schools of every year over all management types, from stored sketches, and whether they keep the error bound."""
+    years = derive(spark, sf, inputs.SCHOOL_YEARS)
+    found = analysis.schools_from_sketches(durable(analysis.school_sketches(years)), "school_year")
+    exact = years.groupBy("school_year").agg(F.count_distinct("school_id").alias("exact"))
+    error = F.abs(F.col("num_schools") - F.col("exact")) / F.col("exact")
+    return exact.join(found, "school_year").select(
+        "school_year", F.col("exact").alias("num_schools"), (error <= analysis.SKETCH_ERROR).alias("within")
+    )
+
+
 @query
 def q42_unmatched_names(spark: SparkSession, sf: str) -> DataFrame:
     found = analysis.unmatched_barangays(_in_barangay(spark, sf, _keys(spark, sf)))
@@ -741,3 +753,17 @@ def q51_stable_keys(spark: SparkSession, sf: str) -> DataFrame:
     )
     known = durable(stored.extend_lookup(labels.where("o_orderkey % 50 >= 20"), "label", None))
     return stored.extend_lookup(labels, "label", known)
+
+
+@query
+def q52_type_misfits(spark: SparkSession, sf: str) -> DataFrame:
+    """Registers of orders by year: what later files hold that the first file's types do not take."""
+    late = F.col("o_orderkey") % 11 == 0
+    rows = table(spark, sf, "orders").select(
+        F.concat(F.year("o_orderdate").cast("string"), F.lit(".csv")).alias("source_file"),
+        F.when((F.year("o_orderdate") > 1996) & late, F.lit("n/a")).otherwise(F.col("o_custkey").cast("string")).alias("customer"),
+        F.when(late, F.lit("")).otherwise(F.concat(F.col("o_orderkey").cast("string"), F.lit(".0"))).alias("share"),
+        F.col("o_orderstatus").alias("status"),
+        F.when((F.year("o_orderdate") > 1997) & late, F.lit(" 1.5 ")).otherwise(F.lit("2")).alias("weight"),
+    )
+    return quality.type_misfits(quality.type_profile([rows], "source_file", []), "source_file")
