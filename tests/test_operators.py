@@ -18,16 +18,16 @@ def codes(spark, *rows):
 
 BASE = [
     ("0100000000", "Region I", "Reg"),
-    ("0100100000", "Ilocos Norte", "Prov"),
-    ("0100100100", "Bacarra", "Mun", "", "", "City"),
-    ("0100100101", "Libtong", "Bgy"),
+    ("0100100000", "Hilagang Baybay", "Prov"),
+    ("0100100100", "Lumang Tulay", "Mun", "", "", "City"),
+    ("0100100101", "Malayang Bukid", "Bgy"),
 ]
 
 
 def school(**changes):
     return {
         "school_id": "1000001", "school_name": "Test School", "region": "Region I",
-        "province": "Ilocos Norte", "municipality": "Bacarra", "barangay": "Libtong",
+        "province": "Hilagang Baybay", "municipality": "Lumang Tulay", "barangay": "Malayang Bukid",
         "street_address": "123 Main", "legislative_district": "1st District",
         "division": "Division A", "school_district": "District 1", "sector": "Public",
         "school_management": "DepEd", "annex_status": "standalone school",
@@ -213,8 +213,8 @@ def test_one_school_gets_four_codes(spark):
 def test_duplicate_names_do_not_multiply_rows(spark):
     table = codes(
         spark, *BASE,
-        ("0100100200", "BACARRA", "Mun"), ("0100100102", "Libtong", "Bgy"),
-        ("0100200000", "Ilocos Norte (old)", "Prov"), ("0100000009", "REGION I", "Reg"),
+        ("0100100200", "LUMANG TULAY", "Mun"), ("0100100102", "Malayang Bukid", "Bgy"),
+        ("0100200000", "Hilagang Baybay (old)", "Prov"), ("0100000009", "REGION I", "Reg"),
     )
     matched = matching.match_places(schools(spark, school()), table, {})
     assert matched.count() == 1
@@ -240,7 +240,7 @@ def test_region_only_municipality_comes_before_province(spark):
 
 
 def test_municipality_without_province_is_searched_everywhere(spark):
-    table = codes(spark, *BASE, ("0100300500", "Bacarra", "Mun"))
+    table = codes(spark, *BASE, ("0100300500", "Lumang Tulay", "Mun"))
     keys = matching.place_keys(table)
     rows = schools(spark, school(province="Unknown"))
     found = matching.attach_municipality(matching.attach_province(matching.attach_region(rows, keys), keys), keys)
@@ -271,40 +271,40 @@ def test_aliases_resolve_and_null_aliases_drop(spark):
 
 
 def test_correction_sets_name_and_code_together(spark):
-    table = codes(spark, *BASE, ("0100100103", "Macabaclay", "Bgy"))
+    table = codes(spark, *BASE, ("0100100103", "Mataas na Kahoy", "Bgy"))
     rules = matching.correction_table(
         spark,
         [
-            {"psgc_muni_id": "0100100100", "old": "MAKABACLAY", "new": "Macabaclay"},
-            {"psgc_muni_id": "0100100100", "old": "Makabaclay", "new": "Ignored"},
+            {"psgc_muni_id": "0100100100", "old": "MATAAS NA KAHUY", "new": "Mataas na Kahoy"},
+            {"psgc_muni_id": "0100100100", "old": "Mataas na Kahuy", "new": "Ignored"},
             {"psgc_muni_id": "0100100100", "old": "gone", "new": "Not Listed"},
-            {"psgc_muni_id": "0100100100", "old": "LIBTONG", "new": "Other"},
+            {"psgc_muni_id": "0100100100", "old": "MALAYANG BUKID", "new": "Other"},
         ],
     )
     rows = spark.createDataFrame(
-        [("1", "makabaclay", "0100100100", None), ("2", "Gone", "0100100100", None),
-         ("3", "Libtong", "0100100100", "0100100101"), ("4", "Makabaclay", "0999900000", None),
+        [("1", "mataas na kahuy", "0100100100", None), ("2", "Gone", "0100100100", None),
+         ("3", "Malayang Bukid", "0100100100", "0100100101"), ("4", "Mataas na Kahuy", "0999900000", None),
          ("5", None, "0100100100", None)],
         "school_id string, barangay string, psgc_muni_id string, psgc_brgy_id string",
     )
     found = {tuple(r) for r in matching.correct_barangays(rows, matching.place_keys(table), rules).collect()}
     assert found == {
-        ("1", "Macabaclay", "0100100100", "0100100103"), ("2", "Not Listed", "0100100100", None),
-        ("3", "Libtong", "0100100100", "0100100101"), ("4", "Makabaclay", "0999900000", None),
+        ("1", "Mataas na Kahoy", "0100100100", "0100100103"), ("2", "Not Listed", "0100100100", None),
+        ("3", "Malayang Bukid", "0100100100", "0100100101"), ("4", "Mataas na Kahuy", "0999900000", None),
         ("5", None, "0100100100", None),
     }
 
 
 def test_backfill_touches_only_open_rows_of_the_region(spark):
     table = codes(
-        spark, ("1999901005", "Libtong", "Bgy", None, "124701005", None),
-        ("1999902005", "LIBTONG ", "Bgy", None, "124702005", None), ("1999903005", "Libtong", "Bgy", None, "9", None),
+        spark, ("1999901005", "Malayang Bukid", "Bgy", None, "124701005", None),
+        ("1999902005", "MALAYANG BUKID ", "Bgy", None, "124702005", None), ("1999903005", "Malayang Bukid", "Bgy", None, "9", None),
     )
     keys = matching.place_keys(table)
     ids = "psgc_region_id string, psgc_provhuc_id string, psgc_muni_id string, psgc_brgy_id string"
     rows = spark.createDataFrame(
-        [("1", "2022", "libtong", "1900000000", None, None, None), ("1", "2023", "Libtong", "1900000000", "x", "y", None),
-         ("2", "2023", "Libtong", "0100000000", None, None, None), ("3", "2023", "Libtong", "1900000000", "a", "b", "c")],
+        [("1", "2022", "malayang bukid", "1900000000", None, None, None), ("1", "2023", "Malayang Bukid", "1900000000", "x", "y", None),
+         ("2", "2023", "Malayang Bukid", "0100000000", None, None, None), ("3", "2023", "Malayang Bukid", "1900000000", "a", "b", "c")],
         f"school_id string, school_year string, barangay string, {ids}",
     )
     found = {tuple(r)[:2]: tuple(r)[3:] for r in matching.backfill_special_area(rows, keys).collect()}
@@ -326,7 +326,7 @@ def test_region_and_province_lists(spark):
     )
     assert [tuple(r) for r in matching.region_list(meta).collect()] == [("0100000000", "Region I")]
     assert [tuple(r) for r in matching.province_list(meta, table).collect()] == [
-        ("0100100000", "Ilocos Norte", "0100000000")
+        ("0100100000", "Hilagang Baybay", "0100000000")
     ]
 
 
@@ -352,7 +352,7 @@ def test_bundled_location_rules(spark):
         r["school_id"]: (r["region"], r["province"], r["municipality"], r["division"])
         for r in cleaning.clean_locations(rows, load_rules()).collect()
     }
-    base = ("Region I", "Ilocos Norte", "Bacarra", "Division A")
+    base = ("Region I", "Hilagang Baybay", "Lumang Tulay", "Division A")
 
     def like(**changes):
         return tuple(changes.get(n, v) for n, v in zip(("region", "province", "municipality", "division"), base))

@@ -8,7 +8,6 @@ texts are dirtied on purpose; every row of every table is used.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,13 +18,11 @@ TABLES = (
 ).split()
 
 
-@lru_cache(maxsize=None)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table.  Only its schema is kept between calls, never its rows."""
+    """A test table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@lru_cache(maxsize=None)
 def size(spark: SparkSession, sf_dir: str, name: str) -> int:
     """Row count, from the file footers."""
     return table(spark, sf_dir, name).count()

@@ -5,6 +5,9 @@ The input texts are shared with the Spark side; what is asked of them is not.
 
 from __future__ import annotations
 
+from schoolatlas.functions.places import ROMAN
+from schoolatlas.functions.school_names import ABBREVIATIONS, EXPANSIONS, REPEATED_ANY, REPEATED_MEMORIAL
+
 from . import inputs
 from .inputs import plain
 
@@ -234,27 +237,17 @@ def _school_name_steps() -> str:
     step(collapse("n"))
     swap(r"\s*[-–—]\s*", "-")
     step(title("n"))
-    for a in "ES PS CES MES CS SPED JHS SHS NHS MHS HS IS NATL".split():
-        swap(rf"\b{a[0] + a[1:].lower()}\b", a)
-    for p, text in {
-        r"\bES\b": "Elementary School", r"\bE/S\b": "Elementary School",
-        r"\bElem\.?( School)?\b": "Elementary School", r"\bElem\b": "Elementary School",
-        r"\bPS\b": "Primary School", r"\bC/S\b": "Central School", r"\bCS\b": "Central School",
-        r"\bCES\b": "Central Elementary School", r"\bMES\b": "Memorial Elementary School",
-        r"\bMem\.?\b": "Memorial", r"\bMeml\.?\b": "Memorial", r"\bJHS\b": "Junior High School",
-        r"\bSHS\b": "Senior High School", r"\bNHS\b": "National High School",
-        r"\bMHS\b": "Memorial High School", r"\bIS\b": "Integrated School", r"\bHS\b": "High School",
-        r"(?i)\bNatl\b": "National", r"(?i)\bNational\b": "National", r"(?i)\bVoc'l\.?\b": "Vocational",
-        r"(?i)\bInd'l\.?\b": "Industrial", r"(?i)\bAgro\b": "Agricultural",
-    }.items():
+    for a in ABBREVIATIONS:
+        swap(rf"\b{a.capitalize()}\b", a)
+    for p, text in EXPANSIONS:
         swap(p, text)
-    romans = " ".join(f"WHEN '{r.lower()}' THEN '{r}'" for r in "I II III IV V VI VII VIII IX X".split())
+    romans = " ".join(f"WHEN '{r.lower()}' THEN '{r}'" for r in ROMAN)
     step(
         "array_to_string(list_transform(string_split(n, ' '), lambda w:"
         f" CASE lower(replace(w, '.', '')) {romans} ELSE w END), ' ')"
     )
     swap(r"(?i)Memorial\.", "Memorial")
-    once("Memorial Elementary School", "Memorial High School")
+    once(*REPEATED_MEMORIAL)
     steps.append(
         f"m AS (SELECT id, trim(split_part(n, ',', 1)) AS main, CASE WHEN contains(n, ',') THEN"
         f" ', ' || trim(substring(n, position(',' IN n) + 1)) ELSE '' END AS suffix FROM s{len(steps) - 1})"
@@ -266,8 +259,7 @@ def _school_name_steps() -> str:
       ELSE main END || suffix"""
     steps.append(f"s{len(steps)} AS (SELECT id, {typed} AS n FROM m)")
     swap(r"\s*[-–]\s*", "–")
-    once("Elementary School", "High School", "Integrated School", "Central School",
-         "Central Elementary School", "Memorial Elementary School", "Memorial High School")
+    once(*REPEATED_ANY)
     return ", ".join(steps) + f" SELECT id, trim(n) AS school_name FROM s{len(steps) - 1}"
 
 
