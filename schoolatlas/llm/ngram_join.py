@@ -31,7 +31,8 @@ other ids; repeated rows share a component; other columns do not matter.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -260,9 +261,9 @@ class PrefixTree:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.marked = np.zeros(vocabulary, bool)
         self.tail_from = self.sizes.copy()
-        #: Per level: token and range of sets of each node; by node of the level before, the ranges of its nodes and tails.
-        self.token, self.lo, self.hi, self.child, self.tails, self.tail = [], [], [], [], [], []
-        rows, parent, parents, level = np.arange(self.n), np.zeros(self.n, np.int64), 1, 0
+        #: Per level: the sets that reach a node there which others reach too, that node, and the nodes' tokens.
+        self.rows, self.node, self.token = [], [], []
+        rows, parent, level = np.arange(self.n), np.zeros(self.n, np.int64), 0
         while len(rows):
             longer = self.sizes[rows] > level
             rows, parent = rows[longer], parent[longer]
@@ -272,50 +273,66 @@ class PrefixTree:
             group = np.cumsum(new) - 1
             alone = np.bincount(group, minlength=1)[group] == 1 if len(rows) else np.zeros(0, bool)
             self.tail_from[rows[alone]] = level
-            self.tails.append(rows[alone])
-            self.tail.append(np.searchsorted(parent[alone], np.arange(parents + 1)))
             rows, parent, values, new = rows[~alone], parent[~alone], values[~alone], new[~alone]
             first = np.flatnonzero(new)
             self.token.append(values[first])
-            self.lo.append(rows[first])
-            self.hi.append(rows[np.append(first[1:], len(rows)) - 1] + 1 if len(first) else rows)
-            self.child.append(np.searchsorted(parent[first], np.arange(parents + 1)))
-            parent, parents, level = np.cumsum(new) - 1, len(first), level + 1
-
-    def probe(self, tokens: np.ndarray, wanted: np.ndarray, percent: int) -> np.ndarray:
-        """Places of the wanted sets that link with the tokens."""
+            parent, level = np.cumsum(new) - 1, level + 1
+            self.rows.append(rows)
+            self.node.append(parent)
+        #: By token the sets that have it among their first tokens, one of which a linked set must share.
+        self.index_at = np.zeros(vocabulary + 1, np.int64)
+        self.index = np.zeros(0, np.int64)
+
+    def index_first(self, percent: int) -> None:
+        """Index the first tokens of every set: all but as many as the least overlap of a link, less one."""
+        width = self.sizes - -(-percent * self.sizes // 100) + 1
+        owner = np.repeat(np.arange(self.n), width)
+        token = self.flat[_ranges(self.starts, width)] if self.n else owner
+        self.index = owner[np.argsort(token, kind="stable")]
+        self.index_at = np.searchsorted(np.sort(token), np.arange(len(self.index_at)))
+
+    def probe(self, tokens: np.ndarray, wanted: Callable[[np.ndarray], np.ndarray], percent: int) -> np.ndarray:
+        """Places of the wanted sets that link with the tokens.
+
+        Both sets of a link share one of their first tokens, so only the tree's paths to the sets that the
+        index names are gone down, each node once for all the sets below it.
+        """
         own = len(tokens)
         at_least, at_most = -(-percent * own // 100), 100 * own // percent
-        wanted = wanted & (self.sizes >= at_least) & (self.sizes <= at_most)
-        before = np.concatenate([[0], np.cumsum(wanted)])
+        first = tokens[: own - at_least + 1]
+        start, end = self.index_at[first], self.index_at[first + 1]
+        rows = np.unique(self.index[_ranges(start, end - start)])
+        rows = rows[(self.sizes[rows] >= at_least) & (self.sizes[rows] <= at_most)]
+        rows = rows[wanted(rows)]
         fewest = _needed(np.array([at_least]), own, percent)[0]
         self.marked[tokens] = True
         found, tails, shared_by = [], [], []
-        node, overlap = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        for level in range(min(len(self.token), at_most)):
-            first, end = self.tail[level][node], self.tail[level][node + 1]
-            rows = self.tails[level][_ranges(first, end - first)]
-            keep = wanted[rows]
-            tails.append(rows[keep])
-            shared_by.append(np.repeat(overlap, end - first)[keep])
-            first, end = self.child[level][node], self.child[level][node + 1]
-            shared = np.repeat(overlap, end - first)
-            child = _ranges(first, end - first)
-            lo = self.lo[level][child]
-            alive = before[self.hi[level][child]] > before[lo]
-            child, shared, lo = child[alive], shared[alive], lo[alive]
-            if not len(child):
+        overlap = np.zeros(1, np.int64)  # by node of the level before
+        node = np.zeros(len(rows), np.int64)
+        for level in range(len(self.token)):
+            if not len(rows):
+                break
+            hanging = self.tail_from[rows] == level
+            tails.append(rows[hanging])
+            shared_by.append(overlap[node[hanging]])
+            rows, node = rows[~hanging], node[~hanging]
+            if not len(rows):
                 break
-            token = self.token[level][child]
-            shared = shared + self.marked[token]
+            # Nodes of this level on the way to the rows, and what each shares with the tokens.
+            below = self.node[level][np.searchsorted(self.rows[level], rows)]
+            nodes, inverse = np.unique(below, return_inverse=True)
+            token = self.token[level][nodes]
+            by_parent = np.zeros(len(nodes), np.int64)
+            by_parent[inverse] = overlap[node]
+            overlap = by_parent + self.marked[token]
             left = np.minimum(own - np.searchsorted(tokens, token, "right"), at_most - level - 1)
-            alive = shared + left >= fewest
-            node, overlap, lo = child[alive], shared[alive], lo[alive]
-            # A set that ends here stands first in its node's range; equal sets do not occur.
-            ends = self.sizes[lo] == level + 1
-            done = lo[ends]
-            linked = wanted[done] & (100 * overlap[ends] >= percent * (own + level + 1 - overlap[ends]))
-            found.append(done[linked])
+            alive = (overlap + left >= fewest)[inverse]
+            rows, node = rows[alive], inverse[alive]
+            ends = self.sizes[rows] == level + 1
+            done = rows[ends]
+            shared = overlap[node[ends]]
+            found.append(done[100 * shared >= percent * (own + level + 1 - shared)])
+            rows, node = rows[~ends], node[~ends]
         if tails:
             found.append(self._follow(np.concatenate(tails), np.concatenate(shared_by), tokens, percent))
         self.marked[tokens] = False
@@ -348,25 +365,46 @@ def join_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
     bounds = np.cumsum([0, *map(len, sets)])
     ranked = [np.sort(rank[inverse[a:b]]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     tree = PrefixTree(ranked, len(tokens))
+    tree.index_first(percent)
     own = [ranked[i] for i in tree.order]
     comp = np.arange(tree.n)
+    members = {i: [i] for i in range(tree.n)}
+    unprobed = [1] * tree.n  # by component
     probed = np.zeros(tree.n, bool)
+    queue: list[tuple[int, int]] = []
 
     def probe(i: int) -> None:
         probed[i] = True
-        linked = tree.probe(own[i], comp != comp[i], percent)
-        for other in np.unique(comp[linked]):
-            comp[comp == other] = comp[i]
+        unprobed[comp[i]] -= 1
+        linked = tree.probe(own[i], lambda rows: comp[rows] != comp[i], percent)
+        for other in np.unique(comp[linked]).tolist():
+            small, large = sorted((other, int(comp[i])), key=lambda c: len(members[c]))
+            comp[members[small]] = large
+            members[large] += members.pop(small)
+            unprobed[large] += unprobed[small]
+            heapq.heappush(queue, (unprobed[large], large))
 
     for i in range(tree.n):  # first the sets that no set before has reached
-        if np.count_nonzero(comp == comp[i]) == 1:
+        if len(members[comp[i]]) == 1:
+            probe(i)
+    # Then the component with the fewest sets left, till one has any.
+    queue.extend((unprobed[c], c) for c in members if unprobed[c])
+    heapq.heapify(queue)
+
+    def fewest(beside: int = -1) -> int:
+        while queue:
+            left, c = heapq.heappop(queue)
+            # Else it has grown, is part of another, or stands in the queue twice.
+            if c != beside and left and c in members and unprobed[c] == left:
+                return c
+        return -1
+
+    while (now := fewest()) >= 0 and (then := fewest(now)) >= 0:
+        heapq.heappush(queue, (unprobed[then], then))
+        for i in [i for i in members[now] if not probed[i]]:
             probe(i)
-    while True:  # then the component with the fewest sets left, till one has any
-        left, sizes = np.unique(comp[~probed], return_counts=True)
-        if len(left) <= 1:
-            break
-        for i in np.flatnonzero(~probed & (comp == left[sizes.argmin()])):
-            probe(int(i))
+        c = int(comp[i])
+        heapq.heappush(queue, (unprobed[c], c))
     out = np.empty(tree.n, np.int64)
     out[np.array(tree.order)] = np.array(tree.order)[comp]
     return out

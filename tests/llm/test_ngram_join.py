@@ -1,6 +1,7 @@
 """Components against brute force."""
 
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -109,3 +110,16 @@ def test_components_of_long_paths_and_stars(spark):
     assert all(found[i] == 0 for i in range(301))
     assert all(found[i] == 1000 for i in [1000, 3000, *range(2000, 2050)])
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sets_without_links_take_time_in_proportion():
+    """Eight thousand unlinked sets, and as many that share most words without a link, in a few seconds each."""
+    rng = np.random.default_rng(0)
+    common = rng.integers(0, 1 << 60, 40, dtype=np.uint64)
+    own = lambda k: rng.integers(0, 1 << 60, k, dtype=np.uint64)
+    for sets in ([np.unique(own(8)) for _ in range(8000)], [np.unique(np.r_[common, own(12)]) for _ in range(8000)]):
+        start = time.process_time()
+        assert len(set(ngram_join.join_sets(sets, 85).tolist())) == 8000
+        assert time.process_time() - start < 4
+    chain = [np.arange(i, i + 40, dtype=np.uint64) for i in range(3000)]  # each links with its neighbours only
+    assert len(set(ngram_join.join_sets(chain, 85).tolist())) == 1
