@@ -141,23 +141,39 @@ def _names(attributes: str) -> str:
 
 
 class Page:
-    """A page's blocks in order, whether the markup keeps each, and its elements (kind, hash, first block, end)."""
+    """A page's blocks in order, whether the markup keeps each, and its elements (hash, first block, end).
+
+    The last two bits of a hash are its kind.  Of elements around the same blocks the innermost stands
+    for all, as it recurs at least as often; like neighbours are one run.
+    """
 
     def __init__(self, html: str, lists: bool = True) -> None:
         self.texts: list[str] = []
         self.listed: list[bool] = []
         self.in_main: list[bool] = []
-        self.elements: list[tuple[int, int, int, int]] = []
-        self.forms: list[tuple[int, int, int, bool]] = []
+        self.elements: list[tuple[int, int, int]] = []
+        self._forms: list[tuple[int, int, int, int]] = []
+        self._last = [(-1, -1)] * 3
         self._parse(html)
         has_main = any(self.in_main)
         self.kept = [not lists or (kept and (main or not has_main)) for kept, main in zip(self.listed, self.in_main)]
         sizes = [0]
         for text in self.texts:
             sizes.append(sizes[-1] + len(text))
-        for number, first, end, links in self.forms:
-            if has_main or links >= LINK_SHARE * (sizes[end] - sizes[first]):
-                self.elements.append((SKELETON, number, first, end))
+        for number, first, end, links in self._forms:
+            if not (has_main or links >= LINK_SHARE * (sizes[end] - sizes[first])):
+                continue
+            before = self.elements[-1] if self.elements else (0, 0, 0)
+            if before[0] == number and before[2] == first:
+                self.elements[-1] = (number, before[1], end)
+            else:
+                self.elements.append((number, first, end))
+
+    def _innermost(self, kind: int, first: int, end: int) -> bool:
+        if self._last[kind] == (first, end):
+            return False
+        self._last[kind] = (first, end)
+        return True
 
     def main_blocks(self) -> list[str]:
         return [text for text, kept in zip(self.texts, self.kept) if kept]
@@ -202,9 +218,10 @@ class Page:
                 parent.block.links += element.links
                 if element.first < len(texts):
                     kind = MAIN_TEXT if element.main else OTHER_TEXT
-                    self.elements.append((kind, _number(element.digest.digest()), element.first, len(texts)))
-                    if not element.with_main:
-                        self.forms.append((_number(form), element.first, len(texts), element.links))
+                    if self._innermost(kind, element.first, len(texts)):
+                        self.elements.append((_number(element.digest.digest(), kind), element.first, len(texts)))
+                    if not element.with_main and self._innermost(SKELETON, element.first, len(texts)):
+                        self._forms.append((_number(form, SKELETON), element.first, len(texts), element.links))
 
         at = 0
         for token in _TOKEN.finditer(html):
@@ -256,8 +273,8 @@ class Page:
             close()
 
 
-def _number(digest: bytes) -> int:
-    return int.from_bytes(digest, "big", signed=True)
+def _number(digest: bytes, kind: int) -> int:
+    return int.from_bytes(digest, "big", signed=True) & ~3 | kind
 
 
 def host_of(url: Column) -> Column:
@@ -267,7 +284,7 @@ def host_of(url: Column) -> Column:
 
 
 _PARSED = (
-    "texts array<string>, kept array<boolean>, elements array<struct<kind:int, hash:bigint, first:int, end:int>>"
+    "texts array<string>, kept array<boolean>, elements array<struct<hash:bigint, first:int, end:int>>"
 )
 
 
@@ -275,7 +292,7 @@ def blocks(pages: DataFrame, lists: bool = True) -> DataFrame:
     """(page_id, url, host, page, texts, kept, elements): the parsed pages; ``page`` stands for the html."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fields = [("kind", pa.int32()), ("hash", pa.int64()), ("first", pa.int32()), ("end", pa.int32())]
+        fields = [("hash", pa.int64()), ("first", pa.int32()), ("end", pa.int32())]
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
@@ -288,7 +305,8 @@ def blocks(pages: DataFrame, lists: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part.column(c) for c in ("page_id", "url", "host", "page")),
-                        pa.array([page.texts for page in parsed], pa.list_(pa.string())),
+                        # A block that the markup drops needs no text.
+                        pa.array([[t if k else "" for t, k in zip(p.texts, p.kept)] for p in parsed], pa.list_(pa.string())),
                         pa.array([page.kept for page in parsed], pa.list_(pa.bool_())),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(columns, [f for f, _ in fields])),
                     ],
@@ -303,17 +321,17 @@ def blocks(pages: DataFrame, lists: bool = True) -> DataFrame:
 def templates(
     parsed: DataFrame, min_pages: int = MIN_PAGES, page_share: float = PAGE_SHARE, many_pages: int = MANY_PAGES
 ) -> DataFrame:
-    """(host, template): per host the (kind, hash) of the subtrees that recur."""
-    own = F.transform("elements", lambda e: F.struct(e["kind"].alias("kind"), e["hash"].alias("hash")))
-    none = F.array(F.struct(F.lit(None).cast("int").alias("kind"), F.lit(None).cast("bigint").alias("hash")))
-    seen = parsed.filter("host is not null").select("host", "page", F.explode(F.concat(none, F.array_distinct(own))).alias("e"))
-    counts = seen.select("host", "page", "e.*").distinct().groupBy("host", "kind", "hash").agg(F.count("*").alias("n"))
+    """(host, template): per host the hashes of the subtrees that recur."""
+    own = F.concat(F.array(F.lit(None).cast("bigint")), F.array_distinct("elements.hash"))
+    seen = parsed.filter("host is not null").select("host", "page", F.explode(own).alias("hash")).distinct()
+    counts = seen.groupBy("host", "hash").agg(F.count("*").alias("n"))
     # The row without a subtree counts the host's distinct pages.
     pages = counts.filter("hash is null").select("host", F.col("n").alias("pages"))
     recurring = counts.filter((F.col("n") >= min_pages) & F.col("hash").isNotNull()).join(pages, "host")
     enough = F.col("n") >= F.col("pages") * page_share
-    recurring = recurring.filter(enough | ((F.col("kind") != MAIN_TEXT) & (F.col("n") >= many_pages)))
-    return recurring.groupBy("host").agg(F.collect_list(F.struct("kind", "hash")).alias("template"))
+    in_main = F.col("hash").bitwiseAND(3) == MAIN_TEXT
+    recurring = recurring.filter(enough | (~in_main & (F.col("n") >= many_pages)))
+    return recurring.groupBy("host").agg(F.collect_list("hash").alias("template"))
 
 
 def extract(
@@ -330,16 +348,16 @@ def extract(
     """
     parsed = store(blocks(pages, lists))
     with_template = parsed.join(store(templates(parsed, min_pages, page_share, many_pages)), "host", "left")
-    recurs = lambda e: F.array_contains(F.col("template"), F.struct(e["kind"].alias("kind"), e["hash"].alias("hash")))
-    gone = F.when(F.col("template").isNotNull(), F.filter("elements", recurs))
-    inside = lambda i: F.coalesce(F.exists("gone", lambda e: (e["first"] <= i) & (i < e["end"])), F.lit(False))
-    judged = with_template.withColumn("gone", gone).withColumn(
-        "deleted", F.transform("texts", lambda _, i: inside(i))
-    )
-    zipped = F.arrays_zip("texts", "kept", "deleted")
-    left = F.transform(F.filter(zipped, lambda b: b["kept"] & ~b["deleted"]), lambda b: b["texts"])
+    # The host's hashes are looked up in a set, once a page.  What a lambda uses is its own argument or a
+    # stored column: an expression would be evaluated anew for each element.
+    recurring = F.array(F.array_intersect("elements.hash", "template"))
+    gone = F.get(F.transform(recurring, lambda found: F.filter("elements", lambda e: F.array_contains(found, e["hash"]))), F.lit(0))
+    places = F.flatten(F.transform(gone, lambda e: F.sequence(e["first"], e["end"] - 1)))
+    judged = with_template.withColumn("deleted", F.coalesce(F.array_distinct(places), F.array().cast("array<int>")))
+    kept = F.filter(F.transform("kept", lambda keep, i: F.when(keep, i)), lambda i: i.isNotNull())
+    left = F.transform(F.array_except(kept, "deleted"), lambda i: F.get("texts", i))
     text = F.concat_ws(" ", left)
     return judged.select(
         "page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"),
-        F.size(F.filter("deleted", lambda d: d)).alias("n_template_blocks"),
+        F.size("deleted").alias("n_template_blocks"),
     )

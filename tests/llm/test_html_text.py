@@ -74,13 +74,13 @@ def counted_templates(pages, min_pages, share, many):
         if host:
             host = host[1].lower()
             by_host.setdefault(host, set()).add(page.html)
-            for kind, number, *_ in Page(page.html or "").elements:
-                seen.setdefault((host, kind, number), set()).add(page.html)
+            for number, *_ in Page(page.html or "").elements:
+                seen.setdefault((host, number), set()).add(page.html)
     out = {}
-    for (host, kind, number), found in seen.items():
+    for (host, number), found in seen.items():
         n = len(found)
-        if n >= min_pages and (n >= share * len(by_host[host]) or kind != MAIN_TEXT and n >= many):
-            out.setdefault(host, set()).add((kind, number))
+        if n >= min_pages and (n >= share * len(by_host[host]) or number & 3 != MAIN_TEXT and n >= many):
+            out.setdefault(host, set()).add(number)
     return out
 
 
@@ -88,7 +88,7 @@ def test_templates_against_a_plain_count(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     for limits in ((5, 0.5, 50), (3, 0.3, 6)):
         rows = html_text.templates(html_text.blocks(pages), *limits).collect()
-        found = {r.host: {tuple(e) for e in r.template} for r in rows}
+        found = {r.host: set(r.template) for r in rows}
         assert found == counted_templates(pages.collect(), *limits)
         assert found
 
