@@ -17,13 +17,20 @@ from __future__ import annotations
 
 import csv
 import re
+import sys
 from collections.abc import Callable, Iterator
+from functools import reduce
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# Executors get this module's functions by value: they need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _TEXT = r'(?:[^"]|"")*+'
 _OPENS = rf'(?:(?:"{_TEXT}"[^,]*+|[^",][^,]*+|),)*+"{_TEXT}\Z'
 #: A line that leaves a field open: if none was open before, and if one was.
@@ -101,9 +108,9 @@ def _pieces(inside: frozenset[tuple[str, int]]) -> Callable[[Iterator[pa.RecordB
     return run
 
 
-def _lines(spark: SparkSession, paths: list[str] | str, **options: str) -> DataFrame:
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     meta = F.col("_metadata")
-    return spark.read.options(**options).text(paths).select(
+    return spark.read.text(paths).select(
         "value", meta["file_path"].alias("file"), meta["file_name"].alias("name"), meta["file_block_start"].alias("start")
     )
 
@@ -172,35 +179,41 @@ def read_records(
     return records.unionByName(crossing)
 
 
-def _header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first record of a file's first block; what comes behind it is not asked for."""
-    block = None
-    lines: list[str] = []
-    for batch in batches:
-        if not batch.num_rows or batch.column(3)[0].as_py():
-            return
-        block = block or _Block(batch.column(1)[0].as_py(), "", 1, False)
-        for line in batch.column(0).to_pylist():
-            found = [text for _, text in block.add([line])]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array([block.place[0]]), pa.array(found)], names=["file", "header"])
-                return
-            lines.append(line)
-    if block and any(lines):
-        yield pa.RecordBatch.from_arrays([pa.array([block.place[0]]), pa.array(["\n".join(lines)])], names=["file", "header"])
+#: Lines of a file that may hold its header, and files that are looked at in one job.
+HEAD_LINES, FILES_A_JOB = 64, 200
+
+
+def _first_record(lines: list[str]) -> str | None:
+    """The first record of a file's first lines; None without any."""
+    block = _Block("", "", 1, False)
+    for line in lines:
+        for _, text in block.add([line]):
+            return text
+    if len(lines) == HEAD_LINES:
+        raise ValueError(f"a header of more than {HEAD_LINES} lines: {lines[0][:80]}")
+    return "\n".join(lines) if any(lines) else None
 
 
 def csv_headers(spark: SparkSession, path: str) -> list[tuple[tuple[str, ...], list[str]]]:
     """(header, files) for each distinct header below a path, in order of the first file name.
 
-    A task per block looks at a few lines: a first block's task takes the first
-    record, the others stop at once.  Distinct headers and the names of the
-    files come to the driver.
+    A task per file stops after its first lines, so little more than a read
+    buffer of each file is read.  These lines come to the driver.
     """
-    session = spark.newSession()  # with settings of its own: a block per task, few lines a batch
-    session.conf.set("spark.sql.files.openCostInBytes", session.conf.get("spark.sql.files.maxPartitionBytes"))
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    first = _lines(session, path, pathGlobFilter="*.csv").mapInArrow(_header, "file string, header string")
-    found = first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).collect()
-    parsed = [(tuple(next(csv.reader([r["header"].lstrip("﻿")]))), list(r["files"])) for r in found]
+    listing = spark.read.option("pathGlobFilter", "*.csv").text(path)
+    files = sorted(unquote(file) for file in listing.inputFiles())
+    session = spark.newSession()  # with settings of its own: a file is one partition, of which the limit reads the start
+    session.conf.set("spark.sql.files.maxPartitionBytes", "1t")
+    session.conf.set("spark.sql.files.minPartitionNum", "1")
+    found: dict[str, list[str]] = {}
+    for start in range(0, len(files), FILES_A_JOB):
+        part = files[start : start + FILES_A_JOB]
+        heads = [session.read.text(file).limit(HEAD_LINES).select(F.lit(i).alias("i"), "value") for i, file in enumerate(part)]
+        lines: list[list[str]] = [[] for _ in part]
+        for row in reduce(DataFrame.unionAll, heads).collect():
+            lines[row["i"]].append(row["value"])
+        for file, own in zip(part, lines):
+            if (header := _first_record(own)) is not None:
+                found.setdefault(header, []).append(file)
+    parsed = [(tuple(next(csv.reader([header.lstrip("\ufeff")]))), own) for header, own in found.items()]
     return sorted(parsed, key=lambda p: p[1][0].rpartition("/")[2])
