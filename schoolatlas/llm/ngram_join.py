@@ -261,9 +261,11 @@ class PrefixTree:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.marked = np.zeros(vocabulary, bool)
         self.tail_from = self.sizes.copy()
-        #: Per level: the sets that reach a node there which others reach too, that node, and the nodes' tokens.
-        self.rows, self.node, self.token = [], [], []
-        rows, parent, level = np.arange(self.n), np.zeros(self.n, np.int64), 0
+        #: Per level: token and range of sets of each node; by node of the level before, the ranges of its nodes and tails.
+        self.token, self.lo, self.hi, self.child, self.tails, self.tail = [], [], [], [], [], []
+        #: Per level: the sets that have a node there, and that node.
+        self.rows, self.node = [], []
+        rows, parent, parents, level = np.arange(self.n), np.zeros(self.n, np.int64), 1, 0
         while len(rows):
             longer = self.sizes[rows] > level
             rows, parent = rows[longer], parent[longer]
@@ -273,12 +275,18 @@ class PrefixTree:
             group = np.cumsum(new) - 1
             alone = np.bincount(group, minlength=1)[group] == 1 if len(rows) else np.zeros(0, bool)
             self.tail_from[rows[alone]] = level
+            self.tails.append(rows[alone])
+            self.tail.append(np.searchsorted(parent[alone], np.arange(parents + 1)))
             rows, parent, values, new = rows[~alone], parent[~alone], values[~alone], new[~alone]
             first = np.flatnonzero(new)
             self.token.append(values[first])
-            parent, level = np.cumsum(new) - 1, level + 1
+            self.lo.append(rows[first])
+            self.hi.append(rows[np.append(first[1:], len(rows)) - 1] + 1 if len(first) else rows)
+            self.child.append(np.searchsorted(parent[first], np.arange(parents + 1)))
+            parent, parents, level = np.cumsum(new) - 1, len(first), level + 1
             self.rows.append(rows)
             self.node.append(parent)
+        self.candidate = np.zeros(self.n, bool)
         #: By token the sets that have it among their first tokens, one of which a linked set must share.
         self.index_at = np.zeros(vocabulary + 1, np.int64)
         self.index = np.zeros(0, np.int64)
@@ -301,41 +309,61 @@ class PrefixTree:
         at_least, at_most = -(-percent * own // 100), 100 * own // percent
         first = tokens[: own - at_least + 1]
         start, end = self.index_at[first], self.index_at[first + 1]
-        rows = np.unique(self.index[_ranges(start, end - start)])
+        listed = self.index[_ranges(start, end - start)]
+        if 8 * len(listed) > self.n:  # long lists are marked, short ones sorted
+            self.candidate[listed] = True
+            rows = np.flatnonzero(self.candidate)
+            self.candidate[rows] = False
+        else:
+            rows = np.unique(listed)
         rows = rows[(self.sizes[rows] >= at_least) & (self.sizes[rows] <= at_most)]
         rows = rows[wanted(rows)]
         fewest = _needed(np.array([at_least]), own, percent)[0]
-        self.marked[tokens] = True
+        self.marked[tokens], self.candidate[rows] = True, True
         found, tails, shared_by = [], [], []
-        overlap = np.zeros(1, np.int64)  # by node of the level before
-        node = np.zeros(len(rows), np.int64)
-        for level in range(len(self.token)):
-            if not len(rows):
-                break
-            hanging = self.tail_from[rows] == level
-            tails.append(rows[hanging])
-            shared_by.append(overlap[node[hanging]])
-            rows, node = rows[~hanging], node[~hanging]
-            if not len(rows):
+        # Nodes on the way to candidates, what each shares with the tokens, and its range of the candidates.
+        node, overlap, a, b = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64), np.array([len(rows)])
+        for level in range(min(len(self.token), at_most) if len(rows) else 0):
+            tail, tail_end = self.tail[level][node], self.tail[level][node + 1]
+            child, child_end = self.child[level][node], self.child[level][node + 1]
+            if (tail_end - tail + child_end - child).sum() <= (b - a).sum():  # few branches: look at each
+                hanging, shared = self.tails[level][_ranges(tail, tail_end - tail)], np.repeat(overlap, tail_end - tail)
+                keep = self.candidate[hanging]
+                hanging, shared_tail = hanging[keep], shared[keep]
+                shared = np.repeat(overlap, child_end - child)
+                child = _ranges(child, child_end - child)
+                a, b = np.searchsorted(rows, self.lo[level][child]), np.searchsorted(rows, self.hi[level][child])
+                alive = b > a
+                child, shared, a, b = child[alive], shared[alive], a[alive], b[alive]
+            else:  # few candidates: look for their branches
+                place, shared = _ranges(a, b - a), np.repeat(overlap, b - a)
+                here = self.sizes[rows[place]] > level
+                place, shared = place[here], shared[here]
+                tailed = self.tail_from[rows[place]] == level
+                hanging, shared_tail = rows[place[tailed]], shared[tailed]
+                place, shared = place[~tailed], shared[~tailed]
+                below = self.node[level][np.searchsorted(self.rows[level], rows[place])]
+                first = np.flatnonzero(np.r_[True, below[1:] != below[:-1]]) if len(below) else np.zeros(0, np.int64)
+                child, shared, a = below[first], shared[first], place[first]
+                b = place[np.append(first[1:], len(below)) - 1] + 1 if len(first) else a
+            tails.append(hanging)
+            shared_by.append(shared_tail)
+            if not len(child):
                 break
-            # Nodes of this level on the way to the rows, and what each shares with the tokens.
-            below = self.node[level][np.searchsorted(self.rows[level], rows)]
-            nodes, inverse = np.unique(below, return_inverse=True)
-            token = self.token[level][nodes]
-            by_parent = np.zeros(len(nodes), np.int64)
-            by_parent[inverse] = overlap[node]
-            overlap = by_parent + self.marked[token]
+            token = self.token[level][child]
+            shared = shared + self.marked[token]
             left = np.minimum(own - np.searchsorted(tokens, token, "right"), at_most - level - 1)
-            alive = (overlap + left >= fewest)[inverse]
-            rows, node = rows[alive], inverse[alive]
-            ends = self.sizes[rows] == level + 1
-            done = rows[ends]
-            shared = overlap[node[ends]]
-            found.append(done[100 * shared >= percent * (own + level + 1 - shared)])
-            rows, node = rows[~ends], node[~ends]
+            alive = shared + left >= fewest
+            node, overlap, a, b = child[alive], shared[alive], a[alive], b[alive]
+            # A set that ends here stands first in its node's range; equal sets do not occur.
+            lo = self.lo[level][node]
+            ends = self.sizes[lo] == level + 1
+            done = lo[ends]
+            linked = self.candidate[done] & (100 * overlap[ends] >= percent * (own + level + 1 - overlap[ends]))
+            found.append(done[linked])
         if tails:
             found.append(self._follow(np.concatenate(tails), np.concatenate(shared_by), tokens, percent))
-        self.marked[tokens] = False
+        self.marked[tokens], self.candidate[rows] = False, False
         return np.concatenate([*found, np.zeros(0, np.int64)])
 
     def _follow(self, rows: np.ndarray, shared: np.ndarray, tokens: np.ndarray, percent: int, step: int = 24) -> np.ndarray:
