@@ -20,6 +20,16 @@ def lookup_join(left: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
     return joined.select(*left.columns, *[c for c in lookup.columns if c not in on])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows, dealt evenly over tasks before costly work on each of them.
+
+    A table of few files, or one that comes out of a join with few keys, stands in
+    few tasks however many cores there are.  Adaptive execution sets the number of
+    tasks by the size of the rows, so a small table is not cut up.
+    """
+    return df.hint("rebalance")
+
+
 def per_distinct(
     df: DataFrame, columns: list[str], resolve: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:

@@ -23,7 +23,7 @@ from ..functions.places import barangay_name, place_name, region_name
 from ..functions.text import fold, title_words
 from ..session import durable
 from .distinct import first_per_key
-from .joins import lookup_join, per_distinct
+from .joins import lookup_join, per_distinct, spread
 from .ordinals import with_group_ordinal
 from .reshape import leading_columns
 
@@ -87,12 +87,13 @@ def place_keys(codes: DataFrame, aliases: dict[str, str | None] | None = None) -
     an equality on them, and under ``ANYWHERE`` for rows without a province.
     Barangays stand under their municipality by cleaned and by upper-case name,
     and under their old code's and own code's first digits.  A caller that needs
-    fewer levels passes the codes of these levels only.
+    fewer levels passes the codes of these levels only.  The places are spread
+    before their names are normalized, which is the costly part.
     """
     is_bgy, is_reg = F.col("geo") == "Bgy", F.col("geo") == "Reg"
-    named = codes.select(
-        "id", "geo", "name", "cc",
-        F.coalesce(F.lower("city_class").contains("huc"), F.lit(False)).alias("huc"),
+    huc = F.coalesce(F.lower("city_class").contains("huc"), F.lit(False))
+    named = spread(codes.select("id", "geo", "name", "cc", huc.alias("huc"))).select(
+        "id", "geo", "name", "cc", "huc",
         F.when(is_bgy, barangay_name(F.col("name"))).when(is_reg, region_name(F.col("name")))
         .otherwise(place_name(F.col("name"))).alias("normal"),
     )
@@ -146,7 +147,15 @@ def _probe(rows: DataFrame, keys: DataFrame, kind: str, scope: Column, name: Col
 
 
 def attach_region(meta: DataFrame, keys: DataFrame) -> DataFrame:
-    """Add ``psgc_region_id``; rows whose region has no code are dropped."""
+    """Add ``psgc_region_id``; rows whose region has no code are dropped.
+
+    The rows are spread first: this step and those that follow normalize several
+    texts of each.
+    """
+    return _find_region(spread(meta), keys)
+
+
+def _find_region(meta: DataFrame, keys: DataFrame) -> DataFrame:
     found = _probe(meta, keys, "region", F.lit(""), region_name(F.col("region")), "psgc_region_id")
     return leading_columns(
         found.where("psgc_region_id IS NOT NULL"), ["region", "psgc_region_id", "school_id", "school_name"]
@@ -354,7 +363,7 @@ ADDRESS = ["region", "province", "municipality", "barangay"]
 def match_addresses(addresses: DataFrame, codes: DataFrame, rules: dict) -> DataFrame:
     """Place codes for a table of address texts: every step in order."""
     keys = place_keys(codes, rules.get("region_psgc_map", {}))
-    matched = attach_region(addresses, keys)
+    matched = _find_region(addresses, keys)  # distinct addresses come spread
     matched = attach_province(matched, keys)
     matched = attach_municipality(matched, keys)
     matched = attach_barangay(matched, keys)

@@ -270,6 +270,33 @@ def test_aliases_resolve_and_null_aliases_drop(spark):
     assert [tuple(r) for r in found.select("school_id", "psgc_region_id").collect()] == [("1000001", "1300000000")]
 
 
+@pytest.fixture
+def uncut(spark):
+    """Shuffles keep their number of partitions, however small the tables."""
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    yield
+    spark.conf.unset(setting)
+
+
+def test_places_of_one_partition_are_normalized_in_many(spark, uncut, monkeypatch):
+    task = F.spark_partition_id().cast("string")
+    monkeypatch.setattr(matching, "barangay_name", lambda col: F.concat(col, F.lit("@"), task))
+    table = codes(spark, *[(f"01001001{i:02}", f"Bukid {i}", "Bgy") for i in range(80)]).coalesce(1)
+    names = matching.place_keys(table).where("kind = 'barangay'").select("name").collect()
+    assert len(names) == 80
+    assert len({n.split("@")[1] for (n,) in names}) > 1
+
+
+def test_schools_of_one_partition_are_matched_in_many(spark, uncut):
+    keys = matching.place_keys(codes(spark, *BASE))
+    rows = [school(school_id=str(i), region=["Region I", "REGION I (old)", "?", "", None][i % 5]) for i in range(200)]
+    found = matching.attach_region(schools(spark, *rows).coalesce(1), keys)
+    placed = found.select("school_id", F.spark_partition_id()).collect()
+    assert sorted(int(i) for i, _ in placed) == [i for i in range(200) if i % 5 < 2]
+    assert len({task for _, task in placed}) > 1
+
+
 def test_correction_sets_name_and_code_together(spark):
     table = codes(spark, *BASE, ("0100100103", "Mataas na Kahoy", "Bgy"))
     rules = matching.correction_table(

@@ -592,7 +592,7 @@ def q40_orphans(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def q40_place_orphans(spark: SparkSession, sf: str) -> DataFrame:
     codes = _codes(spark, sf)
-    matched = _in_barangay(spark, sf, _keys(spark, sf))
+    matched = _in_barangay(spark, sf, matching.place_keys(codes, inputs.REGION_ALIASES))
     # Regions and sub-municipalities are known by other ids, so those in use are orphans.
     renamed = F.when(F.col("geo").isin("SubMun", "Reg"), F.concat(F.lit("x"), "id")).otherwise(F.col("id"))
     found = quality.geography_orphans(matched, codes.withColumn("id", renamed), matching.PLACE_IDS)
