@@ -156,7 +156,9 @@ def attach_region(meta: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def _find_region(meta: DataFrame, keys: DataFrame) -> DataFrame:
-    found = _probe(meta, keys, "region", F.lit(""), region_name(F.col("region")), "psgc_region_id")
+    # A key that can't be null gets no null filter, which would normalize the texts once more, before the spread.
+    name = F.coalesce(region_name(F.col("region")), F.lit(""))
+    found = _probe(meta.where("region IS NOT NULL"), keys, "region", F.lit(""), name, "psgc_region_id")
     return leading_columns(
         found.where("psgc_region_id IS NOT NULL"), ["region", "psgc_region_id", "school_id", "school_name"]
     )
