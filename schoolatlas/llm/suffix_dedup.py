@@ -9,7 +9,8 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts in a docu
    others, first within the map tasks, then in the bucket.  A seed left with one context is settled.
 3. Different contexts of one seed can still share windows.  Only these contexts are cut out of their texts;
    the contexts of a seed are joined to one string, and its suffix array (``suffix_array``) puts equal
-   windows side by side.  Within such a range the least id covers the others.
+   windows side by side.  Within such a range the least id covers the others.  A context that a text
+   holds more than once is cut out once, with all its places.
 4. The covered bytes go back to the texts, which meet them in buckets of ids, packed and compressed.
 
 Hot keys are split.  Seeds in a ``HEAVY_PART``-th of all documents or more (found by map-side counts) and
@@ -129,6 +130,7 @@ def _text_slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray,
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
+_NUMBERS = ("bucket", "kind", "bytes", "singles")
 _FIVE = np.dtype([("low", "<u4"), ("high", "u1")])
 
 
@@ -168,7 +170,7 @@ def _numbers(table: pa.Table, name: str, kind: type = np.int64) -> np.ndarray:
 
 def _batch(names: list[str], rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-    kinds = [pa.int64() if n in ("bucket", "kind", "bytes") else pa.binary() for n in names]
+    kinds = [pa.int64() if n in _NUMBERS else pa.binary() for n in names]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
@@ -211,13 +213,13 @@ def heavy_seeds(docs: DataFrame) -> tuple[np.ndarray, int, int]:
 
 
 _SENT = ["bucket", "ids", "lengths", "seeds", "contexts"]
-_REPLY = ["bucket", "ids", "names", "flags"]
+_REPLY = ["bucket", "ids", "names", "flags", "singles"]
 _COVER = ["kind", "bucket", "ids", "texts", "lo", "hi", "seeds", "lengths", "data"]
 COVER, CONTEXT, SINGLE = 0, 1, 2
 
 
 def _sql(names: list[str]) -> str:
-    return ", ".join(f"{n} {'bigint' if n in ('bucket', 'kind', 'bytes') else 'binary'}" for n in names)
+    return ", ".join(f"{n} {'bigint' if n in _NUMBERS else 'binary'}" for n in names)
 
 
 def _covers(ids: np.ndarray, texts: np.ndarray, lo: np.ndarray, hi: np.ndarray, buckets: int) -> list[tuple]:
@@ -241,7 +243,7 @@ class Plan:
 
 
 def match_runs(docs: DataFrame, plan: Plan) -> DataFrame:
-    """(bucket of ids, ids, names, flags): what is known of each run: covered, or to be cut out.
+    """(bucket of ids, ids, names, flags, number of single ones): what is known of each run: covered, or to be cut out.
 
     Single windows meet in buckets after those of the seeds, by their whole hashes, which are their names.
     """
@@ -263,25 +265,24 @@ def match_runs(docs: DataFrame, plan: Plan) -> DataFrame:
                 least = doc[np.flatnonzero(first)][np.cumsum(first) - 1] if len(doc) else doc
                 covered = (doc > least) & ~again
                 rows = []
-                name = np.where(single, context, _names(seed, context))[covered]
-                to = mix(seed[first])
-                to = np.where(single[first], seed_buckets + to % np.uint64(window_buckets), to % np.uint64(seed_buckets))
-                for bucket, at in _split(to.astype(np.int64), doc[first]):
-                    own = doc[first][at]
+                name, told = np.where(single, context, _names(seed, context))[covered], doc[covered]
+                doc, seed, context, single = doc[first], seed[first], context[first], single[first]
+                to = mix(seed)
+                to = np.where(single, seed_buckets + to % np.uint64(window_buckets), to % np.uint64(seed_buckets))
+                for bucket, at in _split(to.astype(np.int64), doc):
+                    own = doc[at]
                     starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
                     lengths = np.diff(np.append(starts, len(own))).astype(np.int32)
-                    if bucket < seed_buckets:
-                        keys = _five(seed[first][at]), _five(context[first][at])
-                    else:
-                        keys = b"", context[first][at].tobytes()
+                    keys = (_five(seed[at]), _five(context[at])) if bucket < seed_buckets else (b"", context[at].tobytes())
                     rows.append((bucket, own[starts].tobytes(), lengths.tobytes(), *keys))
-                for bucket, at in _split(_doc_bucket(doc[covered], doc_buckets)):
-                    rows.append((-1 - bucket, doc[covered][at].tobytes(), b"", b"", name[at].tobytes()))
+                for bucket, at in _split(_doc_bucket(told, doc_buckets)):
+                    rows.append((-1 - bucket, told[at].tobytes(), b"", b"", name[at].tobytes()))
                 yield _batch(_SENT, rows)
 
     def replies(doc: np.ndarray, name: np.ndarray, flag: np.ndarray) -> pa.Table:
         rows = [
-            (b, doc[at].tobytes(), name[at].tobytes(), flag[at].tobytes()) for b, at in _split(_doc_bucket(doc, doc_buckets), doc)
+            (b, doc[at].tobytes(), name[at].tobytes(), flag[at].tobytes(), int((flag[at] == SINGLE).sum()))
+            for b, at in _split(_doc_bucket(doc, doc_buckets), doc)
         ]
         return pa.Table.from_batches([_batch(_REPLY, rows)])
 
@@ -289,7 +290,7 @@ def match_runs(docs: DataFrame, plan: Plan) -> DataFrame:
         bucket = table.column("bucket")[0].as_py()
         if bucket < 0:
             n = len(_joined(table, "ids")) // 8
-            rows = [(-1 - bucket, _joined(table, "ids"), _joined(table, "contexts"), bytes(n))]
+            rows = [(-1 - bucket, _joined(table, "ids"), _joined(table, "contexts"), bytes(n), 0)]
             return pa.Table.from_batches([_batch(_REPLY, rows)])
         doc = np.repeat(_numbers(table, "ids"), _numbers(table, "lengths", np.int32))
         if bucket >= seed_buckets:
@@ -347,16 +348,28 @@ def packed(docs: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _unpack(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Ids, text hashes, bytes and offsets of each packed piece."""
-    for row in table.select(_PACKED[1:]).to_pylist():
-        body = pa.decompress(row["data"], row["bytes"], codec="zstd", asbytes=True) if row["bytes"] else b""
-        offsets = np.concatenate([[0], np.cumsum(np.frombuffer(row["lengths"], np.int64))])
-        yield np.frombuffer(row["ids"], np.int64), np.frombuffer(row["texts"], np.int64), np.frombuffer(body, np.uint8), offsets
+    """Ids, text hashes, bytes and offsets of the packed pieces, some SLICE bytes of them at a time."""
+    for a, b in slices(table.column("bytes").to_numpy(), SLICE):
+        rows = table.slice(a, b - a).select(_PACKED[1:]).to_pylist()
+        ids, texts, lengths = (np.frombuffer(b"".join(r[n] for r in rows), np.int64) for n in ("ids", "texts", "lengths"))
+        body = b"".join(pa.decompress(r["data"], r["bytes"], codec="zstd", asbytes=True) for r in rows if r["bytes"])
+        yield ids, texts, np.frombuffer(body, np.uint8), np.concatenate([[0], np.cumsum(lengths)])
+
+
+def _together(parts: list[tuple]) -> list[np.ndarray]:
+    return [np.concatenate(x) for x in zip(*parts, strict=True)]
 
 
 def cut_out(docs: DataFrame, replies: DataFrame, plan: Plan) -> DataFrame:
-    """Covered bytes, contexts and single windows (``_COVER`` rows) from the replies and the texts."""
+    """Covered bytes, contexts and single windows (``_COVER`` rows) from the replies and the texts.
+
+    The slices of a bucket of ids are put together before they are sent: a row per bucket, not per slice and bucket.
+    Contexts go once per text, with the places of all their occurrences (``hi`` counts them).
+    """
     held, seed_buckets, doc_buckets = plan.heavy, plan.seed_buckets, plan.doc_buckets
+    # A told run has LENGTH - SEED + 1 windows at most.
+    told_single = replies.agg(F.sum("singles")).first()[0] or 0
+    single_buckets = max(1, told_single * (LENGTH - SEED + 1) // BUCKET_ANCHORS)
 
     def keys(ids: np.ndarray, name: np.ndarray) -> np.ndarray:
         return mix(ids.view(np.uint64) + _TAG) ^ mix(name)
@@ -366,7 +379,7 @@ def cut_out(docs: DataFrame, replies: DataFrame, plan: Plan) -> DataFrame:
         flags = np.frombuffer(_joined(told, "flags"), np.uint8)
         order = np.argsort(key)
         key, flags = key[order], flags[order]
-        rows = []
+        covers, contexts, places, bodies, windows = [], [], [], [], []
         for ids, hashes, data, offsets in _unpack(texts) if len(key) else ():
             row, lo, hi, seed, context, single = runs(data, offsets, held.value)
             own = keys(ids[row], np.where(single, context, _names(seed, context)))
@@ -382,24 +395,40 @@ def cut_out(docs: DataFrame, replies: DataFrame, plan: Plan) -> DataFrame:
                 starts = np.flatnonzero(fresh)
                 stops = end[np.append(starts[1:], len(some)) - 1]
                 first = some[starts]
-                rows += _covers(ids[row[first]], hashes[row[first]], lo[first] - begin[first], stops - begin[first], doc_buckets)
+                covers.append((ids[row[first]], hashes[row[first]], lo[first] - begin[first], stops - begin[first]))
             some = np.flatnonzero(flag == CONTEXT)
-            for bucket, part in _split((mix(seed[some]) % np.uint64(seed_buckets)).astype(np.int64), seed[some]):
-                at = some[part]
-                width = hi[at] + LENGTH - lo[at]
-                rows.append(
-                    (CONTEXT, bucket, ids[row[at]].tobytes(), hashes[row[at]].tobytes(), (lo - begin)[at].tobytes(), b"",
-                     seed[at].tobytes(), width.astype(np.int64).tobytes(), data[_windows(lo[at], lo[at] + width - 1)].tobytes())
-                )
+            if len(some):
+                some = some[np.lexsort((lo[some], context[some], seed[some], row[some]))]
+                new = np.ones(len(some), bool)
+                new[1:] = False
+                for x in (row, seed, context):
+                    new[1:] |= x[some][1:] != x[some][:-1]
+                first, counts = some[new], np.diff(np.append(np.flatnonzero(new), len(some)))
+                end = hi[first] + LENGTH
+                contexts.append((ids[row[first]], hashes[row[first]], seed[first], counts, end - lo[first]))
+                places.append((lo - begin)[some])
+                bodies.append(data[_windows(lo[first], end - 1)])
             some = np.flatnonzero(flag == SINGLE)
             if len(some):
                 single, owner = _windows(lo[some], hi[some]), np.repeat(row[some], hi[some] - lo[some] + 1)
                 window = span_hashes(prefix_sums(data), single, single + LENGTH)
-                for bucket, at in _split((mix(window) % np.uint64(seed_buckets)).astype(np.int64)):
-                    rows.append(
-                        (SINGLE, -1 - bucket, ids[owner[at]].tobytes(), hashes[owner[at]].tobytes(),
-                         (single - offsets[owner])[at].tobytes(), b"", window[at].tobytes(), b"", b"")
-                    )
+                windows.append((ids[owner], hashes[owner], single - offsets[owner], window))
+        rows = _covers(*_together(covers), doc_buckets) if covers else []
+        if contexts:
+            ids, hashes, seed, counts, width = _together(contexts)
+            place, data = np.concatenate(places), np.concatenate(bodies)
+            place_at, data_at = np.cumsum(counts) - counts, np.cumsum(width) - width
+            for bucket, at in _split((mix(seed) % np.uint64(seed_buckets)).astype(np.int64), seed):
+                lo = place[_windows(place_at[at], place_at[at] + counts[at] - 1)]
+                body = data[_windows(data_at[at], data_at[at] + width[at] - 1)]
+                rows.append(
+                    (CONTEXT, bucket, *(x.tobytes() for x in (ids[at], hashes[at], lo, counts[at], seed[at], width[at], body)))
+                )
+        if windows:
+            ids, hashes, place, window = _together(windows)
+            for bucket, at in _split((mix(window) % np.uint64(single_buckets)).astype(np.int64)):
+                numbers = (x[at].tobytes() for x in (ids, hashes, place))
+                rows.append((SINGLE, -1 - bucket, *numbers, b"", window[at].tobytes(), b"", b""))
         return pa.Table.from_batches([_batch(_COVER, rows)])
 
     return store(
@@ -469,17 +498,26 @@ def compare(pieces: DataFrame, plan: Plan) -> DataFrame:
             new = np.r_[True, seed[order][1:] != seed[order][:-1]]
             least = ids[order][np.flatnonzero(new)][np.cumsum(new) - 1]
             covered = order[ids[order] > least]
-            begin = lo[covered]
+            rows = _covers(ids[covered], texts[covered], lo[covered], lo[covered] + LENGTH, doc_buckets)
         else:
-            width = _numbers(table, "lengths")
+            width, counts = _numbers(table, "lengths"), _numbers(table, "hi")
+            places = np.cumsum(counts) - counts
             data = np.frombuffer(_joined(table, "data"), np.uint8)
             starts = np.cumsum(width) - width
             order = np.lexsort((ids, seed))
             contexts = [data[starts[i] : starts[i] + width[i]] for i in order.tolist()]
             context, place = equal_windows(contexts, ids[order], seed[order])
-            covered = order[context]
-            begin = lo[covered] + place
-        rows = _covers(ids[covered], texts[covered], begin, begin + LENGTH, doc_buckets)
+            # Windows that touch are merged; what is covered is so at every occurrence of the context.
+            by = np.lexsort((place, context))
+            context, place = context[by], place[by]
+            fresh = np.ones(len(context), bool)
+            fresh[1:] = (context[1:] != context[:-1]) | (place[1:] > place[:-1] + LENGTH)
+            first, last = np.flatnonzero(fresh), np.flatnonzero(np.append(fresh[1:], True)[: len(fresh)])
+            covered, n = order[context[first]], counts[order[context[first]]]
+            begin = lo[_windows(places[covered], places[covered] + n - 1)]
+            end = begin + np.repeat(place[last] + LENGTH, n)
+            begin += np.repeat(place[first], n)
+            rows = _covers(np.repeat(ids[covered], n), np.repeat(texts[covered], n), begin, end, doc_buckets)
         return pa.Table.from_batches([_batch(_COVER, rows)])
 
     rows = pieces.filter(F.col("kind") != COVER)

@@ -78,3 +78,33 @@ def test_different_windows_of_a_heavy_seed(spark, monkeypatch):
     # Bytes of all texts, and three windows a document.
     longer = spark.createDataFrame([(i, t + "zz") for i, t in rows], "doc_id bigint, text string").coalesce(1)
     assert suffix_dedup.heavy_seeds(longer)[1:] == (52 * len(rows), 3 * len(rows))
+
+
+def test_a_context_is_compared_once(spark, monkeypatch):
+    # The repeated word's context stands in the first text a thousand times, the other texts share its seeds.
+    word = "areanerator "
+    rows = [(1, word * 1000 + "one"), (2, "of " + word * 6 + "two of these"), (3, "to " + word * 5 + "three to those"), (4, word * 30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    compared = suffix_dedup.equal_windows
+
+    def compare(contexts, owner, group):
+        if sum(map(len, contexts)) > 5000:
+            raise ValueError("contexts are compared for each of their places")
+        return compared(contexts, owner, group)
+
+    monkeypatch.setattr(suffix_dedup, "equal_windows", compare)
+    assert sorted((tuple(r) for r in suffix_dedup.remove_repeats(docs).collect()), key=str) == brute(rows)
+
+
+def test_contexts_and_windows_go_by_bucket(spark, monkeypatch):
+    for name, value in {"MOST_CONTEXTS": 3, "BUCKET_BYTES": 1 << 13, "BUCKET_ANCHORS": 300}.items():
+        monkeypatch.setattr(suffix_dedup, name, value)
+    shared = ["Shared words of every second text, and nothing that matters. ", "Seeds of few contexts stand in three of the texts alone. "]
+    rows = [(i, f"{i * 7919} {i * 104729} " * 9 + shared[0][i % 9 :] + f"{i}" + shared[1] * (i % 20 == 0)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(20)
+    plan = suffix_dedup.Plan(docs)
+    found = suffix_dedup.cut_out(docs, suffix_dedup.match_runs(docs, plan), plan).groupBy("kind", "bucket").count().collect()
+    # A bucket of ids has a row for a bucket, and not one for each of its pieces.
+    assert {r["kind"] for r in found} == {suffix_dedup.COVER, suffix_dedup.CONTEXT, suffix_dedup.SINGLE}
+    assert all(r["count"] <= plan.doc_buckets for r in found) and plan.doc_buckets < 20
+    assert sorted((tuple(r) for r in suffix_dedup.remove_repeats(docs).collect()), key=str) == brute(rows)
